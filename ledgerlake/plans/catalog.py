@@ -157,3 +157,438 @@ def q_null_profile(spark, d):
     return (null_profile(fx.bars_raw(spark, d), "bars_raw")
             .unionByName(null_profile(fx.fin_raw(spark, d), "fin_raw"))
             .unionByName(null_profile(_daily(spark, d), "daily")))
+
+
+# ---- financial statements ----------------------------------------------------------
+from ..operators.asof import asof_join, asof_join_by_group  # noqa: E402
+from ..operators.batching import chunk_ids, filter_symbols, symbol_universe  # noqa: E402
+from ..operators.calendar import (clean_calendar, coverage_missing_dates, coverage_summary,  # noqa: E402
+                                  latest_open_for, recent_trade_dates, trade_dates_between)
+from ..operators.products import (build_daily_master, build_financial_event_stream,  # noqa: E402
+                                  left_join_suffix)
+from ..operators.quality import batch_stats  # noqa: E402
+from ..operators.union import concat_batches, union_aligned  # noqa: E402
+from ..functions.casting import cast_numeric_like, nan_to_null, numeric_like_profile  # noqa: E402
+from ..functions.dates import date_text, date_windows, iso_text  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+
+
+def _fin_prepared(spark, d) -> DataFrame:
+    """All statements typed, PIT-guarded and filtered (no dedup)."""
+    return prepare_table("income", fx.fin_raw(spark, d))
+
+
+@query("clean_financial", with_fixtures(["fin"], """
+SELECT ts_code, end_date, ann_date, f_ann_date, real_ann_date, 'income' AS source_table, update_flag,
+       amount, o_orderkey
+FROM fin
+QUALIFY row_number() OVER (PARTITION BY ts_code, end_date, ann_date
+        ORDER BY CAST(update_flag = '1' AS INT) DESC, CAST(f_ann_date IS NOT NULL AS INT) DESC,
+                 o_orderkey DESC) = 1"""))
+def q_clean_financial(spark, d):
+    res = clean_table("income", fx.fin_raw(spark, d).drop("src"), order_first=["o_orderkey"])
+    return res.frame.select("ts_code", "end_date", "ann_date", "f_ann_date", "real_ann_date",
+                            "source_table", "update_flag", "amount", "o_orderkey")
+
+
+@query("real_ann_date", with_fixtures(["fin"],
+       "SELECT o_orderkey, ann_date, f_ann_date, real_ann_date FROM fin"))
+def q_real_ann_date(spark, d):
+    return _fin_prepared(spark, d).select("o_orderkey", "ann_date", "f_ann_date", "real_ann_date")
+
+
+# ---- auxiliary tables and calendar --------------------------------------------------
+STOCK_RAW_SQL = """stock_raw AS (
+  SELECT 'C' || CAST(c_custkey AS VARCHAR) AS ts_code, c_name AS name, c_mktsegment AS industry,
+         CAST(c_nationkey AS VARCHAR) AS area,
+         strftime(DATE '1990-01-01' + CAST(c_custkey % 3000 AS INTEGER), '%Y%m%d') AS list_date,
+         printf('%.2f', c_acctbal) AS acctbal
+  FROM customer
+  UNION ALL
+  SELECT 'C' || CAST(c_custkey AS VARCHAR), c_name, NULL, CAST(c_nationkey AS VARCHAR),
+         strftime(DATE '1990-01-01' + CAST(c_custkey % 3000 AS INTEGER), '%Y%m%d'),
+         printf('%.2f', c_acctbal)
+  FROM customer WHERE c_custkey % 10 = 0)"""
+
+
+def _stock_raw(spark, d) -> DataFrame:
+    """Customers as a symbol table; every 10th symbol arrives twice, the
+    second copy without its industry (the fuller row must survive)."""
+    c = fx.table(spark, d, "customer")
+
+    def rows(src, industry):
+        return src.select(
+            F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("ts_code"),
+            F.col("c_name").alias("name"), industry.alias("industry"),
+            F.col("c_nationkey").cast("string").alias("area"),
+            F.date_format(F.date_add(F.lit("1990-01-01").cast("date"),
+                                     (F.col("c_custkey") % 3000).cast("int")), "yyyyMMdd").alias("list_date"),
+            F.format_string("%.2f", F.col("c_acctbal")).alias("acctbal"))
+
+    return rows(c, F.col("c_mktsegment")).unionByName(
+        rows(c.where(F.col("c_custkey") % 10 == 0), F.lit(None).cast("string")))
+
+
+@query("clean_aux", with_fixtures([], """
+SELECT ts_code, name, industry, CAST(area AS DOUBLE) AS area, CAST(strptime(list_date, '%Y%m%d') AS DATE) AS list_date,
+       CAST(acctbal AS DOUBLE) AS acctbal
+FROM stock_raw
+QUALIFY row_number() OVER (PARTITION BY ts_code ORDER BY CAST(industry IS NOT NULL AS INT) DESC) = 1""",
+       STOCK_RAW_SQL))
+def q_clean_aux(spark, d):
+    res = clean_table("stock_basic", _stock_raw(spark, d))
+    return res.frame.select("ts_code", "name", "industry", "area", "list_date", "acctbal")
+
+
+@query("calendar_clean", with_fixtures(["cal"], """
+SELECT exchange, cal_date, is_open FROM cal
+WHERE NOT (exchange = 'SSE' AND dayofmonth(cal_date) = 13)"""))
+def q_calendar_clean(spark, d):
+    return clean_calendar(fx.cal_raw(spark, d)).select("exchange", "cal_date", "is_open")
+
+
+# ---- data-dependent typing ------------------------------------------------------------
+def _events_text(spark, d) -> DataFrame:
+    e = fx.table(spark, d, "events")
+    v = F.format_string("%.2f", F.col("value"))
+    return e.select(
+        "event_id",
+        F.col("event_id").cast("string").alias("event_id_s"),
+        F.when(F.col("event_id") % 17 == 0, F.concat(F.lit(" "), v, F.lit(" ")))
+         .when(F.col("event_id") % 19 == 0, F.concat(F.lit("+"), v)).otherwise(v).alias("value_s"),
+        "event_type", "props",
+        F.when(F.col("event_id") % 1000 == 7, F.concat(F.lit("x"), F.col("user_id").cast("string")))
+         .otherwise(F.col("user_id").cast("string")).alias("user_code"),
+        F.lit(None).cast("string").alias("empty_s"))
+
+
+EVENTS_TEXT_SQL = """events_text AS (
+  SELECT event_id, CAST(event_id AS VARCHAR) AS event_id_s,
+         CASE WHEN event_id % 17 = 0 THEN ' ' || printf('%.2f', value) || ' '
+              WHEN event_id % 19 = 0 THEN '+' || printf('%.2f', value)
+              ELSE printf('%.2f', value) END AS value_s,
+         event_type, props,
+         CASE WHEN event_id % 1000 = 7 THEN 'x' || CAST(user_id AS VARCHAR) ELSE CAST(user_id AS VARCHAR) END AS user_code,
+         CAST(NULL AS VARCHAR) AS empty_s
+  FROM events)"""
+_NUM_RE = r"^[+-]?(?:\d+(?:\.\d+)?|\.\d+)(?:[eE][+-]?\d+)?$"
+
+
+def _profile_sql(cols) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, COALESCE(bool_and(regexp_matches(trim({c}), '{_NUM_RE}')), true) "
+        f"AS all_numeric FROM events_text" for c in cols)
+
+
+@query("numeric_like_profile", with_fixtures([], _profile_sql(
+    ["event_id_s", "value_s", "event_type", "props", "user_code", "empty_s"]), EVENTS_TEXT_SQL))
+def q_numeric_like_profile(spark, d):
+    return numeric_like_profile(_events_text(spark, d))
+
+
+@query("numeric_like_cast", with_fixtures([], """
+SELECT event_id, CAST(event_id_s AS DOUBLE) AS event_id_s, CAST(trim(value_s) AS DOUBLE) AS value_s,
+       event_type, user_code, CAST(empty_s AS DOUBLE) AS empty_s
+FROM events_text""", EVENTS_TEXT_SQL))
+def q_numeric_like_cast(spark, d):
+    out = cast_numeric_like(_events_text(spark, d))
+    return out.select("event_id", "event_id_s", "value_s", "event_type", "user_code", "empty_s")
+
+
+@query("date_text", """
+SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%Y%m%d') AS ymd,
+       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS iso
+FROM orders""")
+def q_date_text(spark, d):
+    o = fx.table(spark, d, "orders")
+    return o.select("o_orderkey", date_text(F.to_date("o_orderdate")).alias("ymd"),
+                    iso_text("o_orderdate").alias("iso"))
+
+
+# ---- landing batches and unions ----------------------------------------------------------
+@query("ingest_nan_to_null", """
+SELECT event_id, CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END AS value FROM events""")
+def q_ingest_nan_to_null(spark, d):
+    from ..sources.ingest import read_landing
+    e = fx.table(spark, d, "events")
+    landing = e.select("event_id", F.when(F.col("event_id") % 9 == 0, F.lit(float("nan")))
+                       .otherwise(F.col("value")).alias("value"))
+    path = scratch_path(spark, "landing")
+    landing.write.parquet(path)
+    return read_landing(spark, path).select("event_id", "value")
+
+
+@query("concat_batches", """
+SELECT event_id, CAST(value AS VARCHAR) AS value, event_type AS tag, 0 AS batch FROM events WHERE event_id % 3 = 0
+UNION ALL
+SELECT event_id, printf('%.2f', value) AS value, CAST(NULL AS VARCHAR) AS tag, 1 AS batch FROM events WHERE event_id % 3 = 1
+UNION ALL
+SELECT event_id, CAST(NULL AS VARCHAR) AS value, event_type AS tag, 2 AS batch FROM events WHERE event_id % 3 = 2""")
+def q_concat_batches(spark, d):
+    e = fx.table(spark, d, "events")
+    m = F.col("event_id") % 3
+    a = e.where(m == 0).select("event_id", "value", F.col("event_type").alias("tag"), F.lit(0).alias("batch"))
+    b = e.where(m == 1).select("event_id", F.format_string("%.2f", "value").alias("value"), F.lit(1).alias("batch"))
+    c = e.where(m == 2).select("event_id", F.col("event_type").alias("tag"), F.lit(2).alias("batch"))
+    empty = spark.range(0).select()          # a zero-width batch is skipped
+    return concat_batches([a, empty, b, c]).select("event_id", "value", "tag", "batch")
+
+
+@query("union_aligned", """
+SELECT c_custkey AS id, CAST(c_nationkey AS VARCHAR) AS v, CAST(NULL AS INTEGER) AS extra FROM customer
+UNION ALL
+SELECT s_suppkey AS id, s_name AS v, s_nationkey AS extra FROM supplier""")
+def q_union_aligned(spark, d):
+    c = fx.table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("v"))
+    s = fx.table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("v"),
+                                              F.col("s_nationkey").alias("extra"))
+    return union_aligned([c, s]).select("id", "v", "extra")
+
+
+# ---- joins and products ---------------------------------------------------------------------
+@query("left_join_suffix", with_fixtures(["bars_raw", "basic"], """
+SELECT d.ts_code, d.trade_date, d.close, b.close AS close_daily_basic, d.event_id,
+       b.event_id AS event_id_daily_basic, b.turnover_rate
+FROM daily d LEFT JOIN basic b ON d.ts_code = b.ts_code AND d.trade_date = b.trade_date""", DAILY_SQL))
+def q_left_join_suffix(spark, d):
+    out = left_join_suffix(_daily(spark, d), fx.basic(spark, d), ("ts_code", "trade_date"), "_daily_basic")
+    return out.select("ts_code", "trade_date", "close", "close_daily_basic", "event_id",
+                      "event_id_daily_basic", "turnover_rate")
+
+
+_MASTER_COLS = ("ts_code", "trade_date", "close", "tag", "update_flag", "event_id", "close_daily_basic",
+                "turnover_rate", "event_id_daily_basic", "adj_factor", "event_id_adj_factor")
+MASTER_SQL = DAILY_SQL + """,
+master AS (
+  SELECT d.ts_code, d.trade_date, d.close, d.tag, d.update_flag, d.event_id,
+         b.close AS close_daily_basic, b.turnover_rate, b.event_id AS event_id_daily_basic,
+         a.adj_factor, a.event_id AS event_id_adj_factor
+  FROM daily d
+  LEFT JOIN basic b ON d.ts_code = b.ts_code AND d.trade_date = b.trade_date
+  LEFT JOIN adj a ON d.ts_code = a.ts_code AND d.trade_date = a.trade_date)"""
+
+
+def _master(spark, d) -> DataFrame:
+    return build_daily_master(_daily(spark, d), fx.basic(spark, d), fx.adj(spark, d))
+
+
+@query("daily_master", with_fixtures(["bars_raw", "basic", "adj"], "SELECT * FROM master", MASTER_SQL))
+def q_daily_master(spark, d):
+    return _master(spark, d).select(*_MASTER_COLS)
+
+
+# financial statements split in three tables with different value columns;
+# fina_indicator has no report_type, f_ann_date or comp_type.
+def _statement_slices(spark, d) -> dict[str, DataFrame]:
+    raw = fx.fin_raw(spark, d)
+    base = ["ts_code", "ann_date", "f_ann_date", "end_date", "report_type", "comp_type", "update_flag"]
+    return {
+        "fina_indicator": raw.where(F.col("src") == "fina_indicator").select(
+            "ts_code", "ann_date", "end_date", "update_flag", F.col("amount").alias("roe"), "o_orderkey"),
+        "income": raw.where(F.col("src") == "income").select(
+            *base, F.col("amount").alias("revenue"), "o_orderkey"),
+        "balancesheet": raw.where(F.col("src") == "balancesheet").select(
+            *base, F.col("amount").alias("total_assets"), "o_orderkey"),
+    }
+
+
+def _event_stream(spark, d) -> DataFrame:
+    cleaned = {n: clean_table(n, df, order_first=["o_orderkey"]).frame
+               for n, df in _statement_slices(spark, d).items()}
+    return build_financial_event_stream(cleaned)
+
+
+_EVENT_OUT = ("ts_code", "source_table", "ann_date", "f_ann_date", "real_ann_date", "end_date",
+              "report_type", "comp_type", "update_flag", "roe", "revenue", "total_assets", "o_orderkey")
+EVENTS_SQL = """fr AS (
+  SELECT ts_code, src, o_orderkey, CAST(amount AS DOUBLE) AS amount,
+         CAST(strptime(ann_date, '%Y%m%d') AS DATE) AS ann_date,
+         CAST(strptime(f_ann_date, '%Y%m%d') AS DATE) AS f_ann_date,
+         CAST(strptime(end_date, '%Y%m%d') AS DATE) AS end_date, report_type, comp_type, update_flag
+  FROM fin_raw WHERE ann_date IS NOT NULL),
+fi AS (
+  SELECT ts_code, 'fina_indicator' AS source_table, ann_date, CAST(NULL AS DATE) AS f_ann_date,
+         ann_date AS real_ann_date, end_date, CAST(NULL AS VARCHAR) AS report_type, '' AS comp_type,
+         update_flag, amount AS roe, CAST(NULL AS DOUBLE) AS revenue, CAST(NULL AS DOUBLE) AS total_assets,
+         o_orderkey
+  FROM fr WHERE src = 'fina_indicator'
+  QUALIFY row_number() OVER (PARTITION BY ts_code, end_date, ann_date
+          ORDER BY CAST(update_flag = '1' AS INT) DESC, o_orderkey DESC) = 1),
+st AS (
+  SELECT ts_code, src AS source_table, ann_date, f_ann_date, least(ann_date, coalesce(f_ann_date, ann_date)) AS real_ann_date,
+         end_date, report_type, comp_type, update_flag, CAST(NULL AS DOUBLE) AS roe,
+         CASE WHEN src = 'income' THEN amount END AS revenue,
+         CASE WHEN src = 'balancesheet' THEN amount END AS total_assets, o_orderkey
+  FROM fr WHERE src IN ('income', 'balancesheet') AND report_type = '1'
+  QUALIFY row_number() OVER (PARTITION BY src, ts_code, end_date, ann_date
+          ORDER BY CAST(update_flag = '1' AS INT) DESC, CAST(f_ann_date IS NOT NULL AS INT) DESC,
+                   o_orderkey DESC) = 1),
+events_stream AS (SELECT * FROM fi UNION ALL SELECT * FROM st)"""
+
+
+@query("financial_event_stream", with_fixtures(["fin_raw"], "SELECT * FROM events_stream", EVENTS_SQL))
+def q_financial_event_stream(spark, d):
+    return _event_stream(spark, d).select(*_EVENT_OUT)
+
+
+# ---- point-in-time as-of joins -------------------------------------------------------------
+@query("pit_asof_join", with_fixtures(["fin", "trades"], """
+SELECT t.l_orderkey, t.l_linenumber, t.l_extendedprice, t.ts_code, t.trade_date,
+       f.o_orderkey AS ev_o_orderkey, f.real_ann_date AS ev_real_ann_date, f.amount AS ev_amount
+FROM trades t ASOF LEFT JOIN fd f ON t.ts_code = f.ts_code AND t.trade_date >= f.real_ann_date""",
+       """fd AS (SELECT * FROM fin QUALIFY row_number() OVER (PARTITION BY ts_code, real_ann_date
+                 ORDER BY o_orderkey DESC) = 1)"""))
+def q_pit_asof_join(spark, d):
+    return asof_join(fx.trades(spark, d), _fin_prepared(spark, d), by="ts_code", left_on="trade_date",
+                     right_on="real_ann_date", columns=["o_orderkey", "real_ann_date", "amount"],
+                     tiebreak=["o_orderkey"], prefix="ev_")
+
+
+_SRCS = ("fina_indicator", "income", "balancesheet")
+
+
+def _by_source_sql() -> str:
+    ctes = ",\n".join(
+        f"""f_{s} AS (SELECT * FROM fin WHERE src = '{s}' QUALIFY row_number() OVER
+            (PARTITION BY ts_code, real_ann_date ORDER BY o_orderkey DESC) = 1)""" for s in _SRCS)
+    cols = ", ".join(f"f_{s}.real_ann_date AS {s}_real_ann_date, f_{s}.o_orderkey AS {s}_o_orderkey"
+                     for s in _SRCS)
+    joins = " ".join(f"ASOF LEFT JOIN f_{s} ON t.ts_code = f_{s}.ts_code AND t.trade_date >= f_{s}.real_ann_date"
+                     for s in _SRCS)
+    return with_fixtures(["fin", "trades"], f"SELECT t.l_orderkey, t.l_linenumber, {cols} FROM trades t {joins}", ctes)
+
+
+@query("pit_asof_by_source", _by_source_sql())
+def q_pit_asof_by_source(spark, d):
+    out = asof_join_by_group(fx.trades(spark, d), _fin_prepared(spark, d), by="ts_code", left_on="trade_date",
+                             right_on="real_ann_date", group_col="src", groups=_SRCS,
+                             columns=["o_orderkey"], tiebreak=["o_orderkey"])
+    return out.select("l_orderkey", "l_linenumber",
+                      *[c for s in _SRCS for c in (f"{s}_real_ann_date", f"{s}_o_orderkey")])
+
+
+# ---- calendar and coverage -------------------------------------------------------------------
+@query("calendar_between", with_fixtures(["cal"], """
+SELECT cal_date FROM cal WHERE exchange = 'SSE' AND is_open = 1
+AND cal_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"""))
+def q_calendar_between(spark, d):
+    return trade_dates_between(fx.cal(spark, d), "20240105", "2024-01-20")
+
+
+@query("latest_trade_date", with_fixtures(["cal"], """
+SELECT t.target, (SELECT max(c.cal_date) FROM cal c WHERE c.exchange = 'SSE' AND c.is_open = 1
+                  AND c.cal_date <= t.target) AS latest_open
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS target FROM events) t"""))
+def q_latest_trade_date(spark, d):
+    targets = fx.table(spark, d, "events").select(F.to_date("ts").alias("target")).distinct()
+    return latest_open_for(fx.cal(spark, d), targets, "target").select("target", "latest_open")
+
+
+@query("recent_trade_dates", with_fixtures(["cal"], """
+SELECT cal_date FROM (SELECT cal_date FROM cal WHERE exchange = 'SSE' AND is_open = 1
+                      AND cal_date <= DATE '2024-01-28' ORDER BY cal_date DESC LIMIT 5)"""))
+def q_recent_trade_dates(spark, d):
+    return recent_trade_dates(fx.cal(spark, d), "20240128", 5)
+
+
+_COV_CTES = """exp AS (SELECT cal_date FROM cal WHERE exchange = 'SSE' AND is_open = 1
+                AND cal_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'),
+act AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events),
+users AS (SELECT DISTINCT user_id FROM events),
+miss AS (SELECT u.user_id, e.cal_date AS missing_date FROM users u CROSS JOIN exp e
+         WHERE NOT EXISTS (SELECT 1 FROM act a WHERE a.user_id = u.user_id AND a.d = e.cal_date))"""
+
+
+def _user_dates(spark, d) -> DataFrame:
+    return fx.table(spark, d, "events").select("user_id", F.to_date("ts").alias("d"))
+
+
+@query("coverage_missing_dates", with_fixtures(["cal"], "SELECT user_id, missing_date FROM miss", _COV_CTES))
+def q_coverage_missing_dates(spark, d):
+    return coverage_missing_dates(fx.cal(spark, d), _user_dates(spark, d), "d", "20240101", "20240130",
+                                  group_cols=["user_id"])
+
+
+@query("coverage_summary", with_fixtures(["cal"], """
+SELECT u.user_id, CAST((SELECT COUNT(*) FROM exp) AS BIGINT) AS expected_dates,
+       CAST((SELECT COUNT(*) FROM act a WHERE a.user_id = u.user_id) AS BIGINT) AS actual_dates,
+       CAST((SELECT COUNT(*) FROM exp) - (SELECT COUNT(*) FROM miss m WHERE m.user_id = u.user_id) AS BIGINT)
+         AS covered_dates,
+       CAST((SELECT COUNT(*) FROM miss m WHERE m.user_id = u.user_id) AS BIGINT) AS n_missing
+FROM users u""", _COV_CTES))
+def q_coverage_summary(spark, d):
+    s = coverage_summary(fx.cal(spark, d), _user_dates(spark, d), "d", "20240101", "20240130",
+                         group_cols=["user_id"])
+    return s.select("user_id", "expected_dates", "actual_dates", "covered_dates",
+                    F.size("missing_dates").cast("long").alias("n_missing"))
+
+
+# ---- symbols, years, batches, windows -------------------------------------------------------
+@query("filter_symbols", with_fixtures(["trades"], """
+SELECT l_orderkey, l_linenumber, ts_code FROM trades
+WHERE ts_code IN (SELECT 'C' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'BUILDING')"""))
+def q_filter_symbols(spark, d):
+    c = fx.table(spark, d, "customer").where(F.col("c_mktsegment") == "BUILDING")
+    syms = c.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("ts_code"))
+    return filter_symbols(fx.trades(spark, d), syms).select("l_orderkey", "l_linenumber", "ts_code")
+
+
+@query("symbol_universe", "SELECT DISTINCT 'C' || CAST(o_custkey AS VARCHAR) AS ts_code FROM orders")
+def q_symbol_universe(spark, d):
+    o = fx.table(spark, d, "orders").select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ts_code"))
+    return symbol_universe(o)
+
+
+@query("impacted_years", with_fixtures(["trades"], """
+SELECT DISTINCT CAST(year(trade_date) AS INTEGER) AS year FROM trades
+UNION
+SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders"""))
+def q_impacted_years(spark, d):
+    t = fx.trades(spark, d).select(F.year("trade_date").alias("year"))
+    o = fx.table(spark, d, "orders").select(F.year("o_orderdate").alias("year"))
+    return t.union(o).distinct()
+
+
+_BATCH_LOG_SQL = """batch_log AS (
+  SELECT event_type AS table_name, CAST(ts AS DATE) AS batch_date, COUNT(*) AS fetched_rows,
+         1 AS request_count, 1 AS success_count,
+         COUNT(*) FILTER (WHERE value > 400) AS retry_count
+  FROM events GROUP BY event_type, CAST(ts AS DATE))"""
+
+
+@query("batch_stats", with_fixtures([], """
+SELECT table_name, CAST(SUM(fetched_rows) AS BIGINT) AS fetched_rows,
+       CAST(SUM(request_count) AS BIGINT) AS request_count, CAST(SUM(success_count) AS BIGINT) AS success_count,
+       CAST(SUM(retry_count) AS BIGINT) AS retry_count
+FROM batch_log GROUP BY table_name""", _BATCH_LOG_SQL))
+def q_batch_stats(spark, d):
+    e = fx.table(spark, d, "events")
+    log = (e.groupBy(F.col("event_type").alias("table_name"), F.to_date("ts").alias("batch_date"))
+             .agg(F.count(F.lit(1)).alias("fetched_rows"), F.lit(1).alias("request_count"),
+                  F.lit(1).alias("success_count"),
+                  F.count(F.when(F.col("value") > 400, 1)).alias("retry_count")))
+    return batch_stats(log)
+
+
+@query("date_windows", """
+WITH r AS (SELECT CAST(min(o_orderdate) AS DATE) AS s, CAST(max(o_orderdate) AS DATE) AS e FROM orders)
+SELECT CAST(ws AS DATE) AS window_start, least(CAST(ws AS DATE) + 119, e) AS window_end
+FROM r, unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 120 DAY)) AS g(ws)""")
+def q_date_windows(spark, d):
+    o = fx.table(spark, d, "orders")
+    r = o.agg(F.min(F.to_date("o_orderdate")).alias("s"), F.max(F.to_date("o_orderdate")).alias("e"))
+    return r.select(F.explode(date_windows("s", "e", 120)).alias("w")).select("w.window_start", "w.window_end")
+
+
+@query("symbol_batches", """
+SELECT CAST((row_number() OVER (ORDER BY c_custkey) - 1) // 100 AS BIGINT) AS batch_id, c_custkey
+FROM customer""".join(["SELECT batch_id, CAST(COUNT(*) AS BIGINT) AS n, "
+                        "string_agg('C' || CAST(c_custkey AS VARCHAR), ',' ORDER BY c_custkey) AS symbols "
+                        "FROM (", ") GROUP BY batch_id"]))
+def q_symbol_batches(spark, d):
+    c = fx.table(spark, d, "customer").select("c_custkey")
+    chunks = chunk_ids(c, ["c_custkey"], 100)
+    return chunks.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.concat_ws(",", F.transform(F.sort_array(F.collect_list("c_custkey")),
+                                     lambda k: F.concat(F.lit("C"), k.cast("string")))).alias("symbols"))
