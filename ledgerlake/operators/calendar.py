@@ -125,3 +125,9 @@ def coverage_missing_dates(cal: DataFrame, actual: DataFrame, date_col: str, sta
     """One row per (group, missing open day)."""
     summary = coverage_summary(cal, actual, date_col, start, end, group_cols, exchange)
     return summary.select(*group_cols, F.explode("missing_dates").alias("missing_date"))
+
+
+def calendar_from_parquet(spark, path: str) -> DataFrame:
+    """Read a calendar file projecting only the three calendar columns (the
+    scan's ReadSchema holds just these), then clean it."""
+    return clean_calendar(spark.read.parquet(path).select("exchange", "cal_date", "is_open"))

@@ -592,3 +592,217 @@ def q_symbol_batches(spark, d):
         F.count(F.lit(1)).alias("n"),
         F.concat_ws(",", F.transform(F.sort_array(F.collect_list("c_custkey")),
                                      lambda k: F.concat(F.lit("C"), k.cast("string")))).alias("symbols"))
+
+
+# ---- lake: partitioned writes, pruned reads, upserts -----------------------------------------
+from ..operators.calendar import calendar_from_parquet  # noqa: E402
+from ..operators.quality import table_quality  # noqa: E402
+from ..sources.lake import Lake  # noqa: E402
+from .lakehouse import (backfill_daily, backfill_financial, daily_update, history_build,  # noqa: E402
+                        process_table, rebuild_summary, write_raw)
+from .query import head, query_daily_master, query_financial_events  # noqa: E402
+
+
+def _new_lake(spark) -> Lake:
+    return Lake(spark, scratch_path(spark, "lake"))
+
+
+def _orders_lake(spark, d) -> Lake:
+    lake = _new_lake(spark)
+    o = fx.table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"),
+                                            "o_totalprice", "o_custkey")
+    lake.write_years("dwd", "orders", o, "o_orderdate", sort_cols=("o_orderkey",))
+    return lake
+
+
+@query("scan_all_years", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, COUNT(*) AS n_rows,
+       CAST(SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_cents
+FROM orders GROUP BY 1""")
+def q_scan_all_years(spark, d):
+    df = _orders_lake(spark, d).scan("dwd", "orders")
+    return df.groupBy(F.col("year").alias("order_year")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("total_cents"))
+
+
+@query("scan_one_year", """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, 1997 AS year FROM orders
+WHERE year(o_orderdate) = 1997""")
+def q_scan_one_year(spark, d):
+    return _orders_lake(spark, d).read_year("dwd", "orders", 1997).select("o_orderkey", "o_orderdate", "year")
+
+
+@query("partition_write_log", """
+SELECT 'orders' AS dataset_name, CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS row_count
+FROM orders GROUP BY 2""")
+def q_partition_write_log(spark, d):
+    return _orders_lake(spark, d).partition_log("dwd", "orders").select("dataset_name", "year", "row_count")
+
+
+@query("calendar_scan", with_fixtures(["cal"], "SELECT exchange, cal_date, is_open FROM cal"))
+def q_calendar_scan(spark, d):
+    path = scratch_path(spark, "calendar")
+    c = fx.cal(spark, d).withColumn("pretrade_date", F.date_sub("cal_date", 1)).withColumn("note", F.lit("x"))
+    c.write.parquet(path)
+    return calendar_from_parquet(spark, path)
+
+
+@query("write_partitions", with_fixtures(["trades"], """
+SELECT CAST(year(trade_date) AS INTEGER) AS year, COUNT(*) AS n_rows FROM trades GROUP BY 1"""))
+def q_write_partitions(spark, d):
+    lake = _new_lake(spark)
+    lake.write_years("dwd", "trades", fx.trades(spark, d), "trade_date", sort_cols=("ts_code", "trade_date"))
+    return lake.scan("dwd", "trades").groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("raw_partition_assign", with_fixtures(["bars_raw"], """
+SELECT event_id, CAST(CASE WHEN event_id % 4 IN (0, 1) THEN CAST(substr(trade_date, 1, 4) AS INTEGER)
+                          ELSE 2015 END AS INTEGER) AS year
+FROM bars_raw
+QUALIFY row_number() OVER (PARTITION BY ts_code, trade_date
+        ORDER BY CAST(update_flag = '1' AS INT) DESC,
+                 CAST(close IS NOT NULL AS INT) + CAST(tag IS NOT NULL AS INT) DESC,
+                 close DESC NULLS LAST, tag DESC NULLS LAST, update_flag DESC NULLS LAST,
+                 event_id DESC NULLS LAST) = 1"""))
+def q_raw_partition_assign(spark, d):
+    lake = _new_lake(spark)
+    write_raw(lake, "daily", fx.bars_raw(spark, d), "20150101")
+    return lake.scan("ods", "daily").select("event_id", "year")
+
+
+_UPSERT_SQL = BARS_TYPED_SQL + """,
+scored AS (SELECT *, CAST(update_flag = '1' AS INT) AS prio,
+                  CAST(close IS NOT NULL AS INT) + CAST(tag IS NOT NULL AS INT) AS score FROM bars),
+base AS (SELECT *, 0 AS batch FROM scored WHERE event_id % 3 <> 0
+         QUALIFY row_number() OVER (PARTITION BY ts_code, trade_date ORDER BY prio DESC, score DESC, event_id DESC) = 1),
+new AS (SELECT *, 1 AS batch FROM scored WHERE event_id % 3 = 0
+        QUALIFY row_number() OVER (PARTITION BY ts_code, trade_date ORDER BY prio DESC, score DESC, event_id DESC) = 1),
+merged AS (SELECT * FROM base UNION ALL SELECT * FROM new)"""
+_UPSERT_BODY = """
+SELECT ts_code, trade_date, close, event_id FROM merged
+QUALIFY row_number() OVER (PARTITION BY ts_code, trade_date
+        ORDER BY prio DESC, score DESC, batch DESC, close DESC NULLS LAST, tag DESC NULLS LAST,
+                 update_flag DESC NULLS LAST, event_id DESC NULLS LAST) = 1"""
+
+
+def _upsert_run(spark, d, repeats: int) -> DataFrame:
+    lake = _new_lake(spark)
+    bars = fx.bars_raw(spark, d)
+    key = ("ts_code", "trade_date")
+    base = clean_table("daily", bars.where(F.col("event_id") % 3 != 0), order_first=["event_id"]).frame
+    batch = clean_table("daily", bars.where(F.col("event_id") % 3 == 0), order_first=["event_id"]).frame
+    lake.upsert("dwd", "daily", base, key, "trade_date")
+    for _ in range(repeats):
+        lake.upsert("dwd", "daily", batch, key, "trade_date")
+    return lake.scan("dwd", "daily").select("ts_code", "trade_date", "close", "event_id")
+
+
+@query("upsert_partitions", with_fixtures(["bars_raw"], _UPSERT_BODY, _UPSERT_SQL))
+def q_upsert_partitions(spark, d):
+    return _upsert_run(spark, d, 1)
+
+
+@query("upsert_idempotent", with_fixtures(["bars_raw"], _UPSERT_BODY, _UPSERT_SQL))
+def q_upsert_idempotent(spark, d):
+    return _upsert_run(spark, d, 2)
+
+
+@query("quality_report", with_fixtures(["bars_raw", "fin"], """
+SELECT 'daily' AS table_name, CAST((SELECT COUNT(*) FROM bars) AS BIGINT) AS rows_before,
+       CAST((SELECT COUNT(*) FROM daily) AS BIGINT) AS rows_after,
+       CAST((SELECT COUNT(*) FROM bars) - (SELECT COUNT(*) FROM daily) AS BIGINT) AS pk_duplicates,
+       CAST((SELECT SUM(CAST(close IS NULL AS INT) + CAST(tag IS NULL AS INT)) FROM daily) AS BIGINT) AS nulls_total
+UNION ALL
+SELECT 'income', CAST((SELECT COUNT(*) FROM fin) AS BIGINT), CAST((SELECT COUNT(*) FROM fclean) AS BIGINT),
+       CAST((SELECT COUNT(*) FROM fin) - (SELECT COUNT(*) FROM fclean) AS BIGINT),
+       CAST((SELECT SUM(CAST(f_ann_date IS NULL AS INT)) FROM fclean) AS BIGINT)""",
+       DAILY_SQL + """,
+fclean AS (SELECT * FROM fin QUALIFY row_number() OVER (PARTITION BY ts_code, end_date, ann_date
+           ORDER BY CAST(update_flag = '1' AS INT) DESC, CAST(f_ann_date IS NOT NULL AS INT) DESC,
+                    o_orderkey DESC) = 1)"""))
+def q_quality_report(spark, d):
+    daily = clean_table("daily", fx.bars_raw(spark, d), order_first=["event_id"])
+    inc = clean_table("income", fx.fin_raw(spark, d).drop("src"), order_first=["o_orderkey"])
+    return (table_quality("daily", daily.prepared, daily.frame, daily.primary_key)
+            .unionByName(table_quality("income", inc.prepared, inc.frame, inc.primary_key)))
+
+
+# ---- query API ---------------------------------------------------------------------------------
+def _master_lake(spark, d) -> Lake:
+    lake = _new_lake(spark)
+    lake.write_years("dws", "daily_master", _master(spark, d), "trade_date", sort_cols=("ts_code", "trade_date"))
+    return lake
+
+
+@query("query_daily_master", with_fixtures(["bars_raw", "basic", "adj"], """
+SELECT * FROM master WHERE year(trade_date) = 2024 AND ts_code = 'U7'
+AND trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""", MASTER_SQL))
+def q_query_daily_master(spark, d):
+    out = query_daily_master(_master_lake(spark, d), 2024, "U7", "20240105", "2024-01-20")
+    return out.select(*_MASTER_COLS)
+
+
+@query("query_limit", with_fixtures(["bars_raw", "basic", "adj"], """
+SELECT ts_code, trade_date, close FROM master ORDER BY ts_code, trade_date LIMIT 20""", MASTER_SQL))
+def q_query_limit(spark, d):
+    return head(query_daily_master(_master_lake(spark, d), 2024), 20).select("ts_code", "trade_date", "close")
+
+
+@query("query_financial_events", with_fixtures(["fin_raw"], """
+SELECT ts_code, source_table, ann_date, f_ann_date, real_ann_date, end_date, report_type, comp_type, update_flag
+FROM events_stream WHERE ts_code = 'C100'
+AND real_ann_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'""", EVENTS_SQL))
+def q_query_financial_events(spark, d):
+    lake = _new_lake(spark)
+    lake.write_years("dws", "financial_events", _event_stream(spark, d), "real_ann_date",
+                     sort_cols=("ts_code", "real_ann_date"))
+    return query_financial_events(lake, "C100", "1996-01-01", "19991231")
+
+
+# ---- incremental windows ------------------------------------------------------------------------
+_RECENT_SQL = """recent AS (SELECT cal_date FROM cal WHERE exchange = 'SSE' AND is_open = 1
+                  AND cal_date <= DATE '2024-01-28' ORDER BY cal_date DESC LIMIT 5)"""
+
+
+@query("backfill_daily", with_fixtures(["bars_raw", "cal"], """
+SELECT ts_code, trade_date, close FROM daily WHERE trade_date IN (SELECT cal_date FROM recent)""",
+       DAILY_SQL + ",\n" + _RECENT_SQL))
+def q_backfill_daily(spark, d):
+    recent = recent_trade_dates(fx.cal(spark, d), "20240128", 5)
+    batch = backfill_daily(fx.bars_raw(spark, d), recent)
+    return clean_table("daily", batch, order_first=["event_id"]).frame.select("ts_code", "trade_date", "close")
+
+
+@query("backfill_financial", with_fixtures(["fin"], """
+SELECT ts_code, ann_date, o_orderkey FROM fin WHERE ann_date BETWEEN DATE '2001-04-01' AND DATE '2001-06-30'"""))
+def q_backfill_financial(spark, d):
+    batch = backfill_financial(fx.fin_raw(spark, d), "20010630")
+    return prepare_table("income", batch).select("ts_code", "ann_date", "o_orderkey")
+
+
+def _trade_bars(spark, d, bump: float = 0.0) -> DataFrame:
+    t = fx.trades(spark, d)
+    return t.select("ts_code", F.date_format("trade_date", "yyyyMMdd").alias("trade_date"),
+                    F.format_string("%.2f", F.col("l_extendedprice") + bump).alias("close"),
+                    "l_orderkey", "l_linenumber")
+
+
+@query("rebuild_affected_years", with_fixtures(["trades"], """
+SELECT CAST(year(trade_date) AS INTEGER) AS year, COUNT(*) AS n_rows,
+       CAST(SUM(CAST(round(close * 100) AS BIGINT)) AS BIGINT) AS checksum
+FROM (SELECT ts_code, trade_date,
+             CASE WHEN year(trade_date) = 1997 THEN max(c1) ELSE max(c0) END AS close
+      FROM (SELECT ts_code, trade_date, CAST(printf('%.2f', l_extendedprice) AS DOUBLE) AS c0,
+                   CAST(printf('%.2f', l_extendedprice + 1) AS DOUBLE) AS c1 FROM trades)
+      GROUP BY ts_code, trade_date)
+GROUP BY 1"""))
+def q_rebuild_affected_years(spark, d):
+    lake = _new_lake(spark)
+    history_build(spark, lake.root, {"daily": _trade_bars(spark, d)})
+    upd = _trade_bars(spark, d, 1.0).where(F.substring("trade_date", 1, 4) == "1997")
+    years = process_table(lake, "daily", upd, "20150101")
+    rebuild_summary(lake, years)
+    dm = lake.scan("dws", "daily_master")
+    return dm.groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"),
+                                  F.sum(F.round(F.col("close") * 100).cast("long")).alias("checksum"))

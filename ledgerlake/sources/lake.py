@@ -98,20 +98,23 @@ class Lake:
         return self.spark.read.parquet(path)
 
     def upsert(self, layer: str, dataset: str, batch: DataFrame, key, date_col: str,
-               order_first=()) -> list[int]:
+               order_first=(), drop_date: bool = False) -> list[int]:
         """Merge ``batch`` into the years it touches.
 
         New rows are tagged batch 1, stored rows batch 0; the survivorship
         rule ranks update flag, then completeness, then newer batch, then a
         total order.  Only touched years are read and rewritten.  A missing
         partition column is an error; rows with a null partition year are not
-        written.  Returns the years written.
+        written.  ``drop_date`` removes a helper partition-date column before
+        storing.  Returns the years written.
         """
         key = list(key)
         require_columns(batch, [date_col], "partition date")
         require_columns(batch, key)
         new = (batch.drop(YEAR) if YEAR in batch.columns else batch)
         new = new.withColumn(YEAR, F.year(date_col).cast("int")).where(F.col(YEAR).isNotNull())
+        if drop_date:
+            new = new.drop(date_col)
         years = sorted(r[0] for r in new.select(YEAR).distinct().collect())
         if not years:
             return []
