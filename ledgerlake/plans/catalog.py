@@ -751,13 +751,13 @@ def q_query_limit(spark, d):
 
 @query("query_financial_events", with_fixtures(["fin_raw"], """
 SELECT ts_code, source_table, ann_date, f_ann_date, real_ann_date, end_date, report_type, comp_type, update_flag
-FROM events_stream WHERE ts_code = 'C100'
-AND real_ann_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'""", EVENTS_SQL))
+FROM events_stream WHERE ts_code = 'C7'
+AND real_ann_date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'""", EVENTS_SQL))
 def q_query_financial_events(spark, d):
     lake = _new_lake(spark)
     lake.write_years("dws", "financial_events", _event_stream(spark, d), "real_ann_date",
                      sort_cols=("ts_code", "real_ann_date"))
-    return query_financial_events(lake, "C100", "1996-01-01", "19991231")
+    return query_financial_events(lake, "C7", "1996-01-01", "20001231")
 
 
 # ---- incremental windows ------------------------------------------------------------------------
@@ -806,3 +806,76 @@ def q_rebuild_affected_years(spark, d):
     dm = lake.scan("dws", "daily_master")
     return dm.groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"),
                                   F.sum(F.round(F.col("close") * 100).cast("long")).alias("checksum"))
+
+
+# ---- whole flows ------------------------------------------------------------------------------
+def _landing(spark, d) -> dict[str, DataFrame]:
+    out = {"daily": fx.bars_raw(spark, d), "daily_basic": fx.basic(spark, d), "adj_factor": fx.adj(spark, d),
+           "trade_cal": fx.cal_raw(spark, d), "stock_basic": _stock_raw(spark, d)}
+    out.update(_statement_slices(spark, d))
+    return out
+
+
+_ORDER_HINTS = ["event_id", "o_orderkey"]
+
+
+def _hints_for(df: DataFrame):
+    return [c for c in _ORDER_HINTS if c in df.columns]
+
+
+_FLOW_CTES = DAILY_SQL + ",\n" + STOCK_RAW_SQL + ",\n" + EVENTS_SQL + """,
+ods AS (
+  SELECT 'daily' AS ds, CASE WHEN event_id % 4 IN (0, 1) THEN CAST(substr(trade_date, 1, 4) AS INTEGER) ELSE 2015 END AS year,
+         ts_code AS k1, trade_date AS k2, CAST(NULL AS VARCHAR) AS k3 FROM bars_raw
+  UNION ALL SELECT 'daily_basic', CAST(year(trade_date) AS INTEGER), ts_code, CAST(trade_date AS VARCHAR), NULL FROM basic
+  UNION ALL SELECT 'adj_factor', CAST(year(trade_date) AS INTEGER), ts_code, CAST(trade_date AS VARCHAR), NULL FROM adj
+  UNION ALL SELECT 'trade_cal', CAST(year(cal_date) AS INTEGER), exchange, CAST(cal_date AS VARCHAR), NULL FROM cal
+  UNION ALL SELECT 'stock_basic', CAST(substr(list_date, 1, 4) AS INTEGER), ts_code, NULL, NULL FROM stock_raw
+  UNION ALL SELECT src, COALESCE(CAST(substr(ann_date, 1, 4) AS INTEGER), 2015), ts_code, end_date, ann_date FROM fin_raw),
+dwd AS (
+  SELECT 'daily' AS ds, CAST(year(trade_date) AS INTEGER) AS year FROM daily
+  UNION ALL SELECT 'daily_basic', CAST(year(trade_date) AS INTEGER) FROM basic
+  UNION ALL SELECT 'adj_factor', CAST(year(trade_date) AS INTEGER) FROM adj
+  UNION ALL SELECT 'trade_cal', CAST(year(cal_date) AS INTEGER) FROM cal
+  UNION ALL SELECT 'stock_basic', CAST(substr(list_date, 1, 4) AS INTEGER) FROM (SELECT DISTINCT ts_code, list_date FROM stock_raw)
+  UNION ALL SELECT source_table, CAST(year(real_ann_date) AS INTEGER) FROM events_stream),
+dws AS (
+  SELECT 'daily_master' AS ds, CAST(year(trade_date) AS INTEGER) AS year FROM daily
+  UNION ALL SELECT 'financial_events', CAST(year(real_ann_date) AS INTEGER) FROM events_stream)"""
+
+
+@query("history_build", with_fixtures(["bars_raw", "basic", "adj", "cal", "fin_raw"], """
+SELECT 'ods' AS layer, ds AS dataset_name, year, COUNT(*) AS row_count
+FROM (SELECT DISTINCT ds, year, k1, k2, k3 FROM ods) GROUP BY ds, year
+UNION ALL SELECT 'dwd', ds, year, COUNT(*) FROM dwd GROUP BY ds, year
+UNION ALL SELECT 'dws', ds, year, COUNT(*) FROM dws GROUP BY ds, year""", _FLOW_CTES))
+def q_history_build(spark, d):
+    lake = _new_lake(spark)
+    landing = _landing(spark, d)
+    from .lakehouse import lake_log
+    touched: set[int] = set()
+    for name, raw in landing.items():
+        years = process_table(lake, name, raw, "20150101", order_first=_hints_for(raw))
+        if name not in ("trade_cal", "stock_basic"):
+            touched.update(years)
+    rebuild_summary(lake, touched)
+    return lake_log(lake, list(landing) + ["daily_master", "financial_events"])
+
+
+@query("daily_update", with_fixtures(["bars_raw", "basic", "adj", "cal"], """
+SELECT m.ts_code, m.trade_date, m.event_id,
+       CASE WHEN m.trade_date IN (SELECT cal_date FROM recent) AND m.close IS NOT NULL
+            THEN CAST(printf('%.2f', e.value + 1) AS DOUBLE) ELSE m.close END AS close
+FROM master m JOIN events e ON m.event_id = e.event_id""", MASTER_SQL + ",\n" + _RECENT_SQL))
+def q_daily_update(spark, d):
+    lake = _new_lake(spark)
+    base = {"daily": fx.bars_raw(spark, d), "daily_basic": fx.basic(spark, d), "adj_factor": fx.adj(spark, d)}
+    history_build(spark, lake.root, base, order_first=["event_id"])
+    ev = fx.table(spark, d, "events").select("event_id", "value")
+    bumped = (fx.bars_raw(spark, d).join(ev, "event_id")
+              .withColumn("close", F.when(F.col("close").isNotNull(),
+                                          F.format_string("%.2f", F.col("value") + 1)))
+              .drop("value"))
+    daily_update(spark, lake.root, {"daily": bumped}, "20240128", calendar=fx.cal(spark, d),
+                 order_first=["event_id"])
+    return lake.scan("dws", "daily_master").select("ts_code", "trade_date", "event_id", "close")
