@@ -174,8 +174,9 @@ from ..session import scratch_path  # noqa: E402
 
 
 def _fin_prepared(spark, d) -> DataFrame:
-    """All statements typed, PIT-guarded and filtered (no dedup)."""
-    return prepare_table("income", fx.fin_raw(spark, d))
+    """All statements typed, PIT-guarded and filtered (no dedup).  The
+    statement dataset's numeric columns are declared, so no profile pass."""
+    return prepare_table("income", fx.fin_raw(spark, d), numeric_columns=["amount"])
 
 
 @query("clean_financial", with_fixtures(["fin"], """

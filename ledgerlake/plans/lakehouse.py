@@ -82,6 +82,10 @@ def rebuild_summary(lake: Lake, years) -> dict[str, list[int]]:
 
 # ---- flows -----------------------------------------------------------------------------------
 def process_table(lake: Lake, name: str, raw: DataFrame, fallback_date, order_first=()) -> list[int]:
+    """One landing table through raw -> detail.  The landing rows are
+    staged once, so the raw write, the type profile and the clean all read
+    the same compact copy instead of recomputing the landing lineage."""
+    raw = lake.stage(raw, f"landing-{name}")
     write_raw(lake, name, raw, fallback_date)
     cleaned = clean_table(name, raw, order_first=order_first).frame
     return persist_detail(lake, name, cleaned)

@@ -10,8 +10,10 @@ half-written partition.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import require_columns, survivorship_dedup
@@ -78,9 +80,9 @@ class Lake:
             require_columns(out, [date_col], "partition date")
             out = out.withColumn(YEAR, F.year(date_col))
         out = out.withColumn(YEAR, F.col(YEAR).cast("int")).where(F.col(YEAR).isNotNull())
-        years = sorted(r[0] for r in out.select(YEAR).distinct().collect())
-        if not years:
-            return []
+        # the years written are observed during the write itself (no pre-pass)
+        obs = Observation(f"years-{dataset}-{uuid.uuid4().hex[:8]}")
+        out = out.observe(obs, F.collect_set(YEAR).alias("years"))
         (out.sortWithinPartitions(YEAR, *[c for c in sort_cols if c in out.columns])
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -88,6 +90,7 @@ class Lake:
             .option("compression", SETTINGS.parquet_compression)
             .partitionBy(YEAR)
             .parquet(self.path(layer, dataset)))
+        years = sorted(obs.get.get("years") or [])
         return years
 
     def stage(self, df: DataFrame, kind: str = "stage") -> DataFrame:
@@ -115,6 +118,8 @@ class Lake:
         new = new.withColumn(YEAR, F.year(date_col).cast("int")).where(F.col(YEAR).isNotNull())
         if drop_date:
             new = new.drop(date_col)
+        # the batch is computed once: staged, then its years read from the copy
+        new = self.stage(new, "batch")
         years = sorted(r[0] for r in new.select(YEAR).distinct().collect())
         if not years:
             return []
