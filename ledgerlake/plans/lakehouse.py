@@ -139,7 +139,8 @@ def daily_update(spark: SparkSession, lake_root: str, landing: dict[str, DataFra
             cal = clean_calendar(landing["trade_cal"])
     if cal is None:
         raise ValueError("a trading calendar is required")
-    recent = recent_trade_dates(cal, as_of, SETTINGS.daily_backfill_days)
+    # k rows, staged before any dataset (the calendar included) is rewritten
+    recent = lake.stage(recent_trade_dates(cal, as_of, SETTINGS.daily_backfill_days), "recent-dates")
     touched: set[int] = set()
     for name, raw in landing.items():
         sp = get_spec(name)
