@@ -53,10 +53,19 @@ def numeric_like_profile(df: DataFrame, protected=()) -> DataFrame:
 
 
 def numeric_like_columns(df: DataFrame, protected=()) -> list[str]:
-    """Names of columns to cast.  Brings one value per column to the driver
-    (bounded by the width of the table, not its length)."""
-    prof = numeric_like_profile(df, protected)
-    return [r.column_name for r in prof.where("all_numeric").collect()]
+    """Names of columns to cast.  Brings one row, one value per column, to
+    the driver (bounded by the width of the table, not its length).  An
+    empty batch keeps its landing types: with no values there is nothing to
+    type, and a later batch decides."""
+    cands = _candidate_columns(df, protected)
+    if not cands:
+        return []
+    aggs = [F.coalesce(F.bool_and(strip_ws(c).rlike(FLOAT_PATTERN)), F.lit(True)).alias(f"c{i}")
+            for i, c in enumerate(cands)]
+    row = df.agg(F.count(F.lit(1)).alias("__n"), *aggs).first()
+    if not row["__n"]:
+        return []
+    return [c for i, c in enumerate(cands) if row[f"c{i}"]]
 
 
 def cast_numeric_like(df: DataFrame, protected=(), columns=None) -> DataFrame:

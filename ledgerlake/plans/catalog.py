@@ -281,6 +281,39 @@ def _profile_sql(cols) -> str:
         f"AS all_numeric FROM events_text" for c in cols)
 
 
+def _schema_rows(table_name: str, frame: DataFrame) -> DataFrame:
+    """(table_name, column_name, data_type, n_rows): the frame's schema as
+    rows, with its row count from one aggregate over the frame."""
+    entries = [F.struct(F.lit(n).alias("column_name"), F.lit(t).alias("data_type")) for n, t in frame.dtypes]
+    return (frame.agg(F.count(F.lit(1)).alias("n_rows"))
+                 .select(F.lit(table_name).alias("table_name"), F.inline(F.array(*entries)), "n_rows"))
+
+
+@query("empty_table_schema", """
+SELECT * FROM (VALUES
+  ('suspend_d', 'ts_code', 'string', 0), ('suspend_d', 'trade_date', 'date', 0),
+  ('suspend_d', 'suspend_timing', 'string', 0),
+  ('income', 'ts_code', 'string', 0), ('income', 'ann_date', 'date', 0), ('income', 'end_date', 'date', 0),
+  ('income', 'amount', 'string', 0), ('income', 'source_table', 'string', 0),
+  ('income', 'f_ann_date', 'date', 0), ('income', 'comp_type', 'string', 0),
+  ('income', 'update_flag', 'string', 0), ('income', 'real_ann_date', 'date', 0)
+) AS t(table_name, column_name, data_type, n_rows)""")
+def q_empty_table_schema(spark, d):
+    """Empty batches (no rows after the last one in the data) still clean to
+    a typed table: keys and dates typed, untyped text kept, the statement
+    extras added."""
+    ev = fx.table(spark, d, "events")
+    after = ev.where(F.col("ts") > ev.agg(F.max("ts")).scalar())
+    suspend = after.select(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ts_code"),
+                           F.date_format("ts", "yyyyMMdd").alias("trade_date"),
+                           F.lit("09:30-11:30").alias("suspend_timing"))
+    fin = fx.fin_raw(spark, d)
+    fin_after = fin.where(F.col("ann_date") > fin.agg(F.max("ann_date")).scalar())
+    income = fin_after.select("ts_code", "ann_date", "end_date", "amount")
+    return (_schema_rows("suspend_d", clean_table("suspend_d", suspend).frame)
+            .unionByName(_schema_rows("income", clean_table("income", income).frame)))
+
+
 @query("numeric_like_profile", with_fixtures([], _profile_sql(
     ["event_id_s", "value_s", "event_type", "props", "user_code", "empty_s"]), EVENTS_TEXT_SQL))
 def q_numeric_like_profile(spark, d):

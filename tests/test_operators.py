@@ -137,3 +137,11 @@ def test_chunk_ids_are_consecutive(spark):
     df = spark.range(0, 1234).select((F.col("id") * 7 % 1234).alias("k")).repartition(6)
     got = {r.k: r.batch_id for r in chunk_ids(df, ["k"], 100).collect()}
     assert all(got[k] == k // 100 for k in range(1234))
+
+
+def test_empty_batch_keeps_landing_types_and_gets_statement_extras(spark):
+    df = spark.createDataFrame([], "ts_code string, ann_date string, end_date string, revenue string")
+    out = clean_table("income", df).frame
+    types = dict(out.dtypes)
+    assert types["ann_date"] == types["real_ann_date"] == "date" and types["revenue"] == "string"
+    assert "source_table" in types and out.count() == 0
