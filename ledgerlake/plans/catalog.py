@@ -853,10 +853,6 @@ def _landing(spark, d) -> dict[str, DataFrame]:
 _ORDER_HINTS = ["event_id", "o_orderkey"]
 
 
-def _hints_for(df: DataFrame):
-    return [c for c in _ORDER_HINTS if c in df.columns]
-
-
 _FLOW_CTES = DAILY_SQL + ",\n" + STOCK_RAW_SQL + ",\n" + EVENTS_SQL + """,
 ods AS (
   SELECT 'daily' AS ds, CASE WHEN event_id % 4 IN (0, 1) THEN CAST(substr(trade_date, 1, 4) AS INTEGER) ELSE 2015 END AS year,
@@ -885,15 +881,7 @@ UNION ALL SELECT 'dwd', ds, year, COUNT(*) FROM dwd GROUP BY ds, year
 UNION ALL SELECT 'dws', ds, year, COUNT(*) FROM dws GROUP BY ds, year""", _FLOW_CTES))
 def q_history_build(spark, d):
     lake = _new_lake(spark)
-    landing = _landing(spark, d)
-    from .lakehouse import lake_log
-    touched: set[int] = set()
-    for name, raw in landing.items():
-        years = process_table(lake, name, raw, "20150101", order_first=_hints_for(raw))
-        if name not in ("trade_cal", "stock_basic"):
-            touched.update(years)
-    rebuild_summary(lake, touched)
-    return lake_log(lake, list(landing) + ["daily_master", "financial_events"])
+    return history_build(spark, lake.root, _landing(spark, d), "20150101", order_first=_ORDER_HINTS)
 
 
 @query("daily_update", with_fixtures(["bars_raw", "basic", "adj", "cal"], """

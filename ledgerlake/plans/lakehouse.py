@@ -4,6 +4,7 @@ update (backfill windows), and rebuild of only the affected years."""
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,6 +13,7 @@ from ..operators.calendar import clean_calendar, recent_trade_dates, to_date_par
 from ..operators.clean import add_source_tag, clean_table
 from ..operators.dedup import require_columns
 from ..operators.products import build_daily_master, build_financial_event_stream
+from ..session import checkpoint_root
 from ..sources.lake import YEAR, Lake
 from ..specs import DAILY_MASTER_SOURCES, FINANCIAL_EVENT_SOURCES, SETTINGS, spec as get_spec
 
@@ -84,24 +86,40 @@ def rebuild_summary(lake: Lake, years) -> dict[str, list[int]]:
 def process_table(lake: Lake, name: str, raw: DataFrame, fallback_date, order_first=()) -> list[int]:
     """One landing table through raw -> detail.  The landing rows are
     staged once, so the raw write, the type profile and the clean all read
-    the same compact copy instead of recomputing the landing lineage."""
+    the same compact copy instead of recomputing the landing lineage.
+    ``order_first`` hints naming columns the table lacks are skipped."""
     raw = lake.stage(raw, f"landing-{name}")
     write_raw(lake, name, raw, fallback_date)
-    cleaned = clean_table(name, raw, order_first=order_first).frame
+    hints = [o for o in order_first if not isinstance(o, str) or o in raw.columns]
+    cleaned = clean_table(name, raw, order_first=hints).frame
     return persist_detail(lake, name, cleaned)
 
 
+def process_tables(lake: Lake, batches: dict[str, DataFrame], fallback_date, order_first=()) -> set[int]:
+    """Every landing table through raw -> detail.  Tables write disjoint
+    datasets, so they run as concurrent Spark jobs (a few at a time): small
+    tables fill the cluster alongside big ones instead of queueing behind
+    them.  Returns the years touched in the summary products' inputs."""
+    checkpoint_root(lake.spark)        # resolve the shared folder before the threads start
+    workers = max(1, min(SETTINGS.concurrent_tables, len(batches)))
+    touched: set[int] = set()
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {name: pool.submit(process_table, lake, name, raw, fallback_date, order_first)
+                   for name, raw in batches.items()}
+        for name, fut in futures.items():
+            years = fut.result()
+            if name in DAILY_MASTER_SOURCES or name in FINANCIAL_EVENT_SOURCES:
+                touched.update(years)
+    return touched
+
+
 def history_build(spark: SparkSession, lake_root: str, landing: dict[str, DataFrame],
                   fallback_date="20150101", order_first=()) -> DataFrame:
     """Full build: every landing table through raw -> detail, then the
     summary products of every year the detail writes touched.  Returns the
     lake's partition log (layer, dataset_name, year, row_count)."""
     lake = Lake(spark, lake_root)
-    touched: set[int] = set()
-    for name, raw in landing.items():
-        years = process_table(lake, name, raw, fallback_date, order_first)
-        if name in DAILY_MASTER_SOURCES or name in FINANCIAL_EVENT_SOURCES:
-            touched.update(years)
+    touched = process_tables(lake, landing, fallback_date, order_first)
     rebuild_summary(lake, touched)
     return lake_log(lake, list(landing) + ["daily_master", "financial_events"])
 
@@ -141,18 +159,16 @@ def daily_update(spark: SparkSession, lake_root: str, landing: dict[str, DataFra
         raise ValueError("a trading calendar is required")
     # k rows, staged before any dataset (the calendar included) is rewritten
     recent = lake.stage(recent_trade_dates(cal, as_of, SETTINGS.daily_backfill_days), "recent-dates")
-    touched: set[int] = set()
+    batches: dict[str, DataFrame] = {}
     for name, raw in landing.items():
         sp = get_spec(name)
         if name == "trade_cal" or name == "stock_basic":
-            batch = raw
+            batches[name] = raw
         elif sp.is_financial:
-            batch = backfill_financial(raw, as_of)
+            batches[name] = backfill_financial(raw, as_of)
         else:
-            batch = backfill_daily(raw, recent, sp.date_columns[0])
-        years = process_table(lake, name, batch, fallback_date, order_first)
-        if name in DAILY_MASTER_SOURCES or name in FINANCIAL_EVENT_SOURCES:
-            touched.update(years)
+            batches[name] = backfill_daily(raw, recent, sp.date_columns[0])
+    touched = process_tables(lake, batches, fallback_date, order_first)
     rebuild_summary(lake, touched)
     return lake_log(lake, list(landing) + ["daily_master", "financial_events"])
 

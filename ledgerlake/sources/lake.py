@@ -118,18 +118,26 @@ class Lake:
         new = new.withColumn(YEAR, F.year(date_col).cast("int")).where(F.col(YEAR).isNotNull())
         if drop_date:
             new = new.drop(date_col)
-        # the batch is computed once: staged, then its years read from the copy
-        new = self.stage(new, "batch")
-        years = sorted(r[0] for r in new.select(YEAR).distinct().collect())
+        stored = self.scan(layer, dataset)
+        if stored is None:
+            # first write of the dataset: nothing to merge, the target is not
+            # read, so the survivors are written straight (years observed)
+            survivors = survivorship_dedup(new.withColumn("__batch", F.lit(1)), key,
+                                           order_first=["__batch", *order_first],
+                                           score_exclude=[YEAR, "__batch"]).drop("__batch")
+            return self.write_years(layer, dataset, survivors, sort_cols=key)
+        # the batch is computed once and staged; its years are observed
+        # while it is written (a bounded set, no extra pass)
+        obs = Observation(f"batch-years-{dataset}-{uuid.uuid4().hex[:8]}")
+        new = self.stage(new.observe(obs, F.collect_set(YEAR).alias("years")), "batch")
+        years = sorted(obs.get.get("years") or [])
         if not years:
             return []
-        existing = self.read_years(layer, dataset, years)
-        parts = [new.withColumn("__batch", F.lit(1))]
-        if existing is not None:
-            parts.append(existing.withColumn("__batch", F.lit(0)))
-        merged = union_aligned(parts) if len(parts) > 1 else parts[0]
+        existing = stored.where(F.col(YEAR).isin(years))
+        merged = union_aligned([new.withColumn("__batch", F.lit(1)), existing.withColumn("__batch", F.lit(0))])
         survivors = survivorship_dedup(merged, key, order_first=["__batch", *order_first],
                                        score_exclude=[YEAR, "__batch"]).drop("__batch")
+        # the merge reads the years it overwrites: stage it first
         staged = self.stage(survivors.sortWithinPartitions(YEAR, *key))
         return self.write_years(layer, dataset, staged, sort_cols=key)
 

@@ -37,6 +37,7 @@ class Settings:
     parquet_compression: str = "zstd"
     max_rows_per_file: int = 250_000
     default_exchange: str = "SSE"
+    concurrent_tables: int = 4            # landing tables processed as concurrent Spark jobs
     layers: tuple[str, ...] = field(default=("ods", "dwd", "dws"))
 
 
