@@ -11,6 +11,7 @@ half-written partition.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -101,7 +102,8 @@ class Lake:
         return self.spark.read.parquet(path)
 
     def upsert(self, layer: str, dataset: str, batch: DataFrame, key, date_col: str,
-               order_first=(), drop_date: bool = False) -> list[int]:
+               order_first=(), drop_date: bool = False,
+               broadcast_rows: int | None = None) -> list[int]:
         """Merge ``batch`` into the years it touches.
 
         New rows are tagged batch 1, stored rows batch 0; the survivorship
@@ -110,6 +112,13 @@ class Lake:
         partition column is an error; rows with a null partition year are not
         written.  ``drop_date`` removes a helper partition-date column before
         storing.  Returns the years written.
+
+        A batch of at most ``broadcast_rows`` rows (its size is counted while
+        it is staged) broadcasts its keys: only stored rows sharing a key
+        with the batch join the ranking shuffle, the rest of the touched
+        years streams through unshuffled.  Stored rows are unique per key
+        (every upsert leaves them so), so the result is the full merge's.
+        Larger batches rank the whole union of the touched years.
         """
         key = list(key)
         require_columns(batch, [date_col], "partition date")
@@ -129,14 +138,25 @@ class Lake:
         # the batch is computed once and staged; its years are observed
         # while it is written (a bounded set, no extra pass)
         obs = Observation(f"batch-years-{dataset}-{uuid.uuid4().hex[:8]}")
-        new = self.stage(new.observe(obs, F.collect_set(YEAR).alias("years")), "batch")
-        years = sorted(obs.get.get("years") or [])
+        new = self.stage(new.observe(obs, F.collect_set(YEAR).alias("years"),
+                                     F.count(F.lit(1)).alias("rows")), "batch")
+        metrics = obs.get
+        years = sorted(metrics.get("years") or [])
         if not years:
             return []
         existing = stored.where(F.col(YEAR).isin(years))
+        limit = SETTINGS.merge_broadcast_rows if broadcast_rows is None else broadcast_rows
+        untouched = None
+        if metrics.get("rows", 0) <= limit:
+            keys = F.broadcast(new.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(key)]).distinct())
+            same = reduce(lambda a, b: a & b, [existing[k].eqNullSafe(keys[f"__k{i}"]) for i, k in enumerate(key)])
+            untouched = existing.join(keys, same, "left_anti")
+            existing = existing.join(keys, same, "left_semi")
         merged = union_aligned([new.withColumn("__batch", F.lit(1)), existing.withColumn("__batch", F.lit(0))])
         survivors = survivorship_dedup(merged, key, order_first=["__batch", *order_first],
                                        score_exclude=[YEAR, "__batch"]).drop("__batch")
+        if untouched is not None:
+            survivors = union_aligned([survivors, untouched])
         # the merge reads the years it overwrites: stage it first
         staged = self.stage(survivors.sortWithinPartitions(YEAR, *key))
         return self.write_years(layer, dataset, staged, sort_cols=key)
