@@ -68,15 +68,21 @@ def numeric_like_columns(df: DataFrame, protected=()) -> list[str]:
     return [c for i, c in enumerate(cands) if row[f"c{i}"]]
 
 
-def cast_numeric_like(df: DataFrame, protected=(), columns=None) -> DataFrame:
+def cast_numeric_like(df: DataFrame, protected=(), columns=None, known_types=None) -> DataFrame:
     """Cast numeric-looking text columns to double.
 
-    ``columns`` pins the decision (e.g. a dataset's declared schema) so that
-    later batches never flip a column's type; without it the decision is
-    taken from the data with one profile pass.
+    ``columns`` pins the decision outright.  ``known_types`` (column ->
+    type name, e.g. the stored dataset's schema) pins it for the columns the
+    dataset already has, so later batches never flip a stored column's type;
+    only columns it does not know are profiled from the data (one pass).
     """
     if columns is None:
-        columns = numeric_like_columns(df, protected)
+        known = known_types or {}
+        cands = _candidate_columns(df, protected)
+        fresh = [c for c in cands if c not in known]
+        columns = [c for c in cands if known.get(c) == "double"]
+        if fresh:
+            columns += numeric_like_columns(df.select(*fresh))
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df

@@ -56,14 +56,16 @@ def prepare_financial(df: DataFrame, table_name: str) -> DataFrame:
     return out.withColumn("real_ann_date", visible_from())
 
 
-def prepare_table(table_name: str, df: DataFrame, numeric_columns=None) -> DataFrame:
+def prepare_table(table_name: str, df: DataFrame, numeric_columns=None, known_types=None) -> DataFrame:
     """All typing steps before dedup.  ``numeric_columns`` pins the numeric
-    decision; by default it is profiled from the data in one pass."""
+    decision; ``known_types`` (a stored dataset's schema) pins it for the
+    columns already stored; the rest is profiled from the data in one pass."""
     sp: TableSpec = get_spec(table_name)
     out = parse_date_columns(df, sp.date_columns)
     out = cast_identifiers(out)
     out = cast_integers(out)
-    out = cast_numeric_like(out, protected=set(sp.date_columns), columns=numeric_columns)
+    out = cast_numeric_like(out, protected=set(sp.date_columns), columns=numeric_columns,
+                            known_types=known_types)
     if sp.is_financial:
         require_columns(out, ["ann_date"], "financial")
         out = prepare_financial(out, table_name)
@@ -87,11 +89,11 @@ class CleanResult:
 
 
 def clean_table(table_name: str, df: DataFrame, numeric_columns=None,
-                order_first=()) -> CleanResult:
+                order_first=(), known_types=None) -> CleanResult:
     """Clean one landing table: parse dates, type columns, apply financial
     rules, and keep one survivor per primary key."""
     sp = get_spec(table_name)
-    prepared = prepare_table(table_name, df, numeric_columns)
+    prepared = prepare_table(table_name, df, numeric_columns, known_types)
     require_columns(prepared, sp.primary_key)
     frame = survivorship_dedup(prepared, sp.primary_key, order_first=order_first)
     return CleanResult(table_name, prepared, frame, sp.primary_key)

@@ -91,7 +91,10 @@ def process_table(lake: Lake, name: str, raw: DataFrame, fallback_date, order_fi
     raw = lake.stage(raw, f"landing-{name}")
     write_raw(lake, name, raw, fallback_date)
     hints = [o for o in order_first if not isinstance(o, str) or o in raw.columns]
-    cleaned = clean_table(name, raw, order_first=hints).frame
+    # a stored detail dataset fixes the types of its columns (no flip by a later batch)
+    stored = lake.scan("dwd", name)
+    known = dict(stored.dtypes) if stored is not None else None
+    cleaned = clean_table(name, raw, order_first=hints, known_types=known).frame
     return persist_detail(lake, name, cleaned)
 
 

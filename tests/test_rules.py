@@ -100,3 +100,17 @@ def test_upsert_key_broadcast_path_equals_full_merge(spark, lake, broadcast_rows
     got = {r.ts_code: (r.close, r.tag) for r in lake.scan("dwd", "daily").collect()}
     # A: fuller new row wins; B: old fuller row stays; null key: tie on completeness -> newer batch
     assert got == {"A": (5.0, "z"), "B": (2.0, "x"), None: (6.0, None), "C": (4.0, "y")}
+
+
+def test_stored_dataset_fixes_column_types_for_later_batches(spark, lake):
+    from ledgerlake.plans.lakehouse import process_table
+    first = spark.createDataFrame([("A", "20250102", "10.5", "x1"), ("B", "20250102", "11", "7")],
+                                  "ts_code string, trade_date string, close string, note string")
+    process_table(lake, "daily", first, "20150101")
+    later = spark.createDataFrame([("A", "20250103", "12", "8")],
+                                  "ts_code string, trade_date string, close string, note string")
+    process_table(lake, "daily", later, "20150101")
+    types = dict(lake.scan("dwd", "daily").dtypes)
+    assert types["close"] == "double" and types["note"] == "string"   # note stays text
+    notes = sorted(r.note for r in lake.scan("dwd", "daily").collect())
+    assert notes == ["7", "8", "x1"]
