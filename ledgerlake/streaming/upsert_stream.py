@@ -20,15 +20,19 @@ def upsert_stream(spark: SparkSession, landing_dir: str, schema: T.StructType, l
     """Start a stream over ``landing_dir`` that cleans every micro-batch as
     ``table_name`` and upserts it into ``dwd/<table_name>``.
 
-    ``numeric_columns`` pins the typing of the dataset so micro-batches never
-    flip a column type.  The stream checkpoint lives in the shared folder.
+    ``numeric_columns`` pins the typing of the dataset; without it the
+    stored dataset's schema does (only columns it lacks are profiled), so
+    micro-batches never flip a column type.  The stream checkpoint lives in
+    the shared folder.
     """
     sp = get_spec(table_name)
     lake = Lake(spark, lake_root)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        stored = lake.scan("dwd", table_name) if numeric_columns is None else None
+        known = dict(stored.dtypes) if stored is not None else None
         cleaned = clean_table(table_name, batch, numeric_columns=numeric_columns,
-                              order_first=order_first).frame
+                              order_first=order_first, known_types=known).frame
         lake.upsert("dwd", table_name, cleaned, sp.primary_key, sp.dwd_partition_column)
 
     stream = spark.readStream.format(fmt).schema(schema).load(landing_dir)

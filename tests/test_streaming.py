@@ -1,5 +1,6 @@
 """The streaming upsert (file source -> foreachBatch) gives the batch result."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.clean import clean_table
@@ -9,16 +10,17 @@ from ledgerlake.streaming import upsert_stream
 from tests.conftest import SF_SMALL
 
 
-def test_stream_upsert_equals_batch_upsert(spark, lake):
+@pytest.mark.parametrize("pinned", [["close"], None])
+def test_stream_upsert_equals_batch_upsert(spark, lake, pinned):
     bars = fx.bars_raw(spark, SF_SMALL)
     landing = scratch_path(spark, "landing")
     ckpt = scratch_path(spark, "stream-ckpt")
     bars.where(F.col("event_id") % 2 == 0).write.parquet(landing)
-    q = upsert_stream(spark, landing, bars.schema, lake.root, "daily", numeric_columns=["close"],
+    q = upsert_stream(spark, landing, bars.schema, lake.root, "daily", numeric_columns=pinned,
                       order_first=["event_id"], checkpoint=ckpt)
     q.awaitTermination(300)
     bars.where(F.col("event_id") % 2 == 1).write.mode("append").parquet(landing)
-    q = upsert_stream(spark, landing, bars.schema, lake.root, "daily", numeric_columns=["close"],
+    q = upsert_stream(spark, landing, bars.schema, lake.root, "daily", numeric_columns=pinned,
                       order_first=["event_id"], checkpoint=ckpt)   # resumes: only the new files
     q.awaitTermination(300)
     streamed = sorted(tuple(r) for r in lake.scan("dwd", "daily").select("ts_code", "trade_date", "close").collect())
