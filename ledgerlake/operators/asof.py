@@ -8,16 +8,20 @@ Plan, chosen so no key -- however hot -- lands in one task with its rows:
    map side);
 2. left side reduced to its distinct (key, date) pairs (partial aggregate);
 3. both stacked and scanned by a window per key ordered by date, carrying
-   the last right row forward.  A key's window holds at most
-   (#distinct right dates + #distinct left dates) rows, a bound set by the
-   calendar, not by how many rows the key has;
-4. the matches joined back to the left rows on (key, date): an equi-join
+   the last right row forward.  For dates a window holds at most the key's
+   distinct calendar days.  Dense timelines (timestamps) are split into
+   (key, time bucket) windows instead, and
+4. the value carried into each bucket from earlier ones comes from the last
+   right row of every (key, bucket) and a window per key over its buckets
+   (one row per bucket);
+5. the matches joined back to the left rows on (key, date): an equi-join
    that spreads a hot key over its dates (AQE splits a hot (key, date)).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 from .dedup import require_columns
 
@@ -38,28 +42,66 @@ def _day_survivors(right: DataFrame, by: str, right_on: str, payload_cols, tiebr
     return r.groupBy(F.col(by).alias("__k"), F.col(right_on).alias("__d")).agg(*aggs)
 
 
-def _carry_forward(left: DataFrame, day_rows: DataFrame, by: str, left_on: str, ev_cols):
+def _bucket_of(d, dtype: T.DataType, bucket: str | None):
+    """Time bucket of the order column: ``"year"`` or a ``date_trunc`` unit.
+    ``"auto"``: none for dates -- a key's timeline is at most its calendar
+    days, a few hundred rows a year -- and ``"day"`` for timestamps, whose
+    timelines can be dense.  ``None`` for a non-temporal order column."""
+    if not isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return None
+    if bucket == "auto":
+        bucket = None if isinstance(dtype, T.DateType) else "day"
+    if bucket is None:
+        return None
+    return F.year(d) if bucket == "year" else F.date_trunc(bucket, d)
+
+
+def _carry_forward(left: DataFrame, day_rows: DataFrame, by: str, left_on: str, ev_cols,
+                   bucket: str | None = "auto"):
     keys = (left.where(F.col(by).isNotNull() & F.col(left_on).isNotNull())
                 .select(F.col(by).alias("__k"), F.col(left_on).alias("__d")).distinct())
     nulls = [F.lit(None).cast(day_rows.schema[c].dataType).alias(c) for c in ev_cols]
     stacked = (day_rows.select("__k", "__d", F.lit(0).alias("__side"), *ev_cols)
                .unionByName(keys.select("__k", "__d", F.lit(1).alias("__side"), *nulls)))
-    w = (Window.partitionBy("__k").orderBy("__d", "__side")
+    b = _bucket_of(F.col("__d"), stacked.schema["__d"].dataType, bucket)
+    if b is None:
+        w = (Window.partitionBy("__k").orderBy("__d", "__side")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        carried = stacked.select("__k", "__d", "__side",
+                                 *[F.last(c, ignorenulls=True).over(w).alias(c) for c in ev_cols])
+        return carried.where(F.col("__side") == 1).drop("__side")
+    stacked = stacked.withColumn("__b", b)
+    # inside each (key, bucket)
+    w = (Window.partitionBy("__k", "__b").orderBy("__d", "__side")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carried = stacked.select("__k", "__d", "__side",
+    within = (stacked.select("__k", "__b", "__d", "__side",
                              *[F.last(c, ignorenulls=True).over(w).alias(c) for c in ev_cols])
-    return carried.where(F.col("__side") == 1).drop("__side")
+                     .where(F.col("__side") == 1).drop("__side"))
+    # carried in from earlier buckets: last right row per (key, bucket), then
+    # the latest of the earlier buckets (a window over a key's buckets only)
+    last_rows = stacked.groupBy("__k", "__b").agg(
+        *[F.max(F.when(F.col(c).isNotNull(), F.struct(F.col("__d").alias("d"), F.col(c).alias("v"))))
+          .alias(c) for c in ev_cols])
+    wb = Window.partitionBy("__k").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry_in = last_rows.select("__k", "__b", *[F.last(F.col(c)["v"], ignorenulls=True).over(wb).alias(f"__in{i}")
+                                                for i, c in enumerate(ev_cols)])
+    out = within.join(carry_in, ["__k", "__b"], "left")
+    return out.select("__k", "__d", *[F.coalesce(F.col(c), F.col(f"__in{i}")).alias(c)
+                                      for i, c in enumerate(ev_cols)])
 
 
 def asof_join(left: DataFrame, right: DataFrame, *, by: str, left_on: str, right_on: str,
-              columns=None, tiebreak=(), prefix: str = "") -> DataFrame:
+              columns=None, tiebreak=(), prefix: str = "", bucket: str | None = "auto") -> DataFrame:
     """Backward as-of LEFT join.
 
     ``columns``: right columns to bring (default: all but the key); the right
     date is always included.  ``tiebreak``: right columns ordering rows of
     the same (key, date) -- the largest wins; all brought columns follow as
     a final total order.  Unmatched left rows get nulls.  ``prefix`` renames
-    brought columns.
+    brought columns.  ``bucket`` splits each key's timeline into time
+    buckets (``"year"`` or a ``date_trunc`` unit such as ``"hour"``;
+    ``None`` scans a key's whole timeline in one window; ``"auto"``: none
+    for dates, ``"day"`` for timestamps).
     """
     require_columns(left, [by, left_on], "left")
     require_columns(right, [by, right_on], "right")
@@ -67,14 +109,15 @@ def asof_join(left: DataFrame, right: DataFrame, *, by: str, left_on: str, right
     if right_on not in cols:
         cols = [right_on] + cols
     day_rows = _day_survivors(right, by, right_on, cols, list(tiebreak))
-    matched = _carry_forward(left, day_rows, by, left_on, ["__ev"])
+    matched = _carry_forward(left, day_rows, by, left_on, ["__ev"], bucket)
     out = left.join(matched, (left[by] == matched["__k"]) & (left[left_on] == matched["__d"]), "left")
     return out.select(*[left[c] for c in left.columns],
                       *[F.col(f"__ev.{c}").alias(prefix + c) for c in cols])
 
 
 def asof_join_by_group(left: DataFrame, right: DataFrame, *, by: str, left_on: str, right_on: str,
-                       group_col: str, groups, columns=None, tiebreak=()) -> DataFrame:
+                       group_col: str, groups, columns=None, tiebreak=(),
+                       bucket: str | None = "auto") -> DataFrame:
     """One as-of match per value of ``group_col`` (e.g. per source table) in
     the same single pass: brought columns are named ``<group>_<column>``."""
     require_columns(right, [by, right_on, group_col], "right")
@@ -84,7 +127,7 @@ def asof_join_by_group(left: DataFrame, right: DataFrame, *, by: str, left_on: s
         cols = [right_on] + cols
     day_rows = _day_survivors(right, by, right_on, cols, list(tiebreak), group_col, groups)
     ev_cols = [f"__ev{i}" for i in range(len(groups))]
-    matched = _carry_forward(left, day_rows, by, left_on, ev_cols)
+    matched = _carry_forward(left, day_rows, by, left_on, ev_cols, bucket)
     out = left.join(matched, (left[by] == matched["__k"]) & (left[left_on] == matched["__d"]), "left")
     brought = [F.col(f"__ev{i}.{c}").alias(f"{g}_{c}") for i, g in enumerate(groups) for c in cols]
     return out.select(*[left[c] for c in left.columns], *brought)

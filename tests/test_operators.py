@@ -145,3 +145,32 @@ def test_empty_batch_keeps_landing_types_and_gets_statement_extras(spark):
     types = dict(out.dtypes)
     assert types["ann_date"] == types["real_ann_date"] == "date" and types["revenue"] == "string"
     assert "source_table" in types and out.count() == 0
+
+
+@pytest.mark.parametrize("bucket", ["year", "month", None])
+def test_asof_across_buckets_matches_brute_force(spark, bucket):
+    random.seed(11)
+    base = dt.date(2021, 6, 1)
+    keys = ["HOT"] * 20 + [f"K{i}" for i in range(8)]
+    trades = [(random.choice(keys), base + dt.timedelta(days=random.randint(0, 1500))) for _ in range(500)]
+    # sparse events: many trades must take their match from an earlier year
+    events = [(random.choice(keys), base + dt.timedelta(days=random.randint(-100, 1500)), i) for i in range(40)]
+    t = spark.createDataFrame(trades, "k string, d date")
+    e = spark.createDataFrame(events, "k string, ed date, eid int")
+    got = asof_join(t, e, by="k", left_on="d", right_on="ed", columns=["eid"], tiebreak=["eid"], bucket=bucket)
+    got = sorted(((r.k, r.d, r.eid) for r in got.collect()), key=lambda r: (r[0], r[1], r[2] or -1))
+    assert got == _brute_asof(trades, events)
+
+
+@pytest.mark.parametrize("bucket", ["auto", "hour"])
+def test_asof_on_timestamps_matches_brute_force(spark, bucket):
+    random.seed(5)
+    base = dt.datetime(2024, 12, 30, 9, 0)
+    keys = ["HOT"] * 20 + [f"K{i}" for i in range(5)]
+    trades = [(random.choice(keys), base + dt.timedelta(minutes=random.randint(0, 6000))) for _ in range(400)]
+    events = [(random.choice(keys), base + dt.timedelta(minutes=random.randint(-300, 6000)), i) for i in range(30)]
+    t = spark.createDataFrame(trades, "k string, d timestamp_ntz")
+    e = spark.createDataFrame(events, "k string, ed timestamp_ntz, eid int")
+    got = asof_join(t, e, by="k", left_on="d", right_on="ed", columns=["eid"], tiebreak=["eid"], bucket=bucket)
+    got = sorted(((r.k, r.d, r.eid) for r in got.collect()), key=lambda r: (r[0], r[1], r[2] or -1))
+    assert got == _brute_asof(trades, events)
