@@ -46,11 +46,11 @@ def table_quality(table_name: str, prepared: DataFrame, survivors: DataFrame, ke
     """One row per table: rows_before, rows_after, pk_duplicates, nulls_total.
 
     Two distributed aggregates: a grouping on the key (before / after /
-    duplicates) and a null count on the survivors.
+    duplicates) and a null count on the survivors, brought in as a scalar
+    subquery.
     """
     from .dedup import dedup_counts
     counts = dedup_counts(prepared, key)
-    nulls = survivors.agg(nulls_total(survivors).alias("nulls_total"))
-    return (counts.crossJoin(nulls)   # 1 row x 1 row
-                  .select(F.lit(table_name).alias("table_name"), "rows_before", "rows_after",
-                          F.col("duplicate_rows").alias("pk_duplicates"), "nulls_total"))
+    nulls = survivors.agg(nulls_total(survivors).alias("nulls_total")).scalar()
+    return counts.select(F.lit(table_name).alias("table_name"), "rows_before", "rows_after",
+                         F.col("duplicate_rows").alias("pk_duplicates"), nulls.alias("nulls_total"))
