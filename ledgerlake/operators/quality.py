@@ -34,14 +34,22 @@ def nulls_total(df: DataFrame) -> F.Column:
 def batch_stats(batch_log: DataFrame, table_col: str = "table_name") -> DataFrame:
     """Sum request statistics per table over a batch log with columns
     (table_name, fetched_rows, request_count, success_count, retry_count,
-    [messages array<string>])."""
+    [messages array<string>]).  Messages are counted here; their text stays
+    one row per message in ``batch_messages`` (never gathered per table)."""
     aggs = [F.sum(c).cast("long").alias(c) for c in
             ("fetched_rows", "request_count", "success_count", "retry_count") if c in batch_log.columns]
     if "messages" in batch_log.columns:
-        aggs.append(F.flatten(F.collect_list("messages")).alias("messages"))
+        aggs.append(F.coalesce(F.sum(F.size(F.coalesce("messages", F.array()))), F.lit(0))
+                    .cast("long").alias("message_count"))
     return batch_log.groupBy(table_col).agg(*aggs)
 
 
+def batch_messages(batch_log: DataFrame, table_col: str = "table_name") -> DataFrame:
+    """(table_name, message) -- one row per logged message, in log order
+    within each batch row."""
+    return batch_log.select(table_col, F.explode("messages").alias("message"))
+
+
 def table_quality(table_name: str, prepared: DataFrame, survivors: DataFrame, key) -> DataFrame:
     """One row per table: rows_before, rows_after, pk_duplicates, nulls_total.
 

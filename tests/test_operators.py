@@ -174,3 +174,14 @@ def test_asof_on_timestamps_matches_brute_force(spark, bucket):
     got = asof_join(t, e, by="k", left_on="d", right_on="ed", columns=["eid"], tiebreak=["eid"], bucket=bucket)
     got = sorted(((r.k, r.d, r.eid) for r in got.collect()), key=lambda r: (r[0], r[1], r[2] or -1))
     assert got == _brute_asof(trades, events)
+
+
+def test_batch_stats_sum_and_messages_stay_rows(spark):
+    from ledgerlake.operators.quality import batch_messages, batch_stats
+    log = spark.createDataFrame(
+        [("daily", 10, 1, 1, 0, ["retry 1"]), ("daily", 5, 1, 1, 2, ["a", "b"]), ("income", 3, 1, 1, 0, None)],
+        "table_name string, fetched_rows long, request_count long, success_count long, retry_count long, "
+        "messages array<string>")
+    got = {r.table_name: (r.fetched_rows, r.retry_count, r.message_count) for r in batch_stats(log).collect()}
+    assert got == {"daily": (15, 2, 3), "income": (3, 0, 0)}
+    assert sorted(r.message for r in batch_messages(log).collect()) == ["a", "b", "retry 1"]
