@@ -83,12 +83,16 @@ def rebuild_summary(lake: Lake, years) -> dict[str, list[int]]:
 
 
 # ---- flows -----------------------------------------------------------------------------------
-def process_table(lake: Lake, name: str, raw: DataFrame, fallback_date, order_first=()) -> list[int]:
-    """One landing table through raw -> detail.  The landing rows are
-    staged once, so the raw write, the type profile and the clean all read
-    the same compact copy instead of recomputing the landing lineage.
+def process_table(lake: Lake, name: str, raw: DataFrame, fallback_date, order_first=(),
+                  stage_landing: bool = True) -> list[int]:
+    """One landing table through raw -> detail.  The landing rows are read
+    three times (raw write, type profile, clean).  With ``stage_landing``
+    they are staged once, so a computed landing frame (joins, windows) is
+    not recomputed; pass False when the landing frames are plain reads of
+    landing files, which are cheaper to re-read than to copy.
     ``order_first`` hints naming columns the table lacks are skipped."""
-    raw = lake.stage(raw, f"landing-{name}")
+    if stage_landing:
+        raw = lake.stage(raw, f"landing-{name}")
     write_raw(lake, name, raw, fallback_date)
     hints = [o for o in order_first if not isinstance(o, str) or o in raw.columns]
     # a stored detail dataset fixes the types of its columns (no flip by a later batch)
@@ -98,7 +102,8 @@ def process_table(lake: Lake, name: str, raw: DataFrame, fallback_date, order_fi
     return persist_detail(lake, name, cleaned)
 
 
-def process_tables(lake: Lake, batches: dict[str, DataFrame], fallback_date, order_first=()) -> set[int]:
+def process_tables(lake: Lake, batches: dict[str, DataFrame], fallback_date, order_first=(),
+                   stage_landing: bool = True) -> set[int]:
     """Every landing table through raw -> detail.  Tables write disjoint
     datasets, so they run as concurrent Spark jobs (a few at a time): small
     tables fill the cluster alongside big ones instead of queueing behind
@@ -107,7 +112,7 @@ def process_tables(lake: Lake, batches: dict[str, DataFrame], fallback_date, ord
     workers = max(1, min(SETTINGS.concurrent_tables, len(batches)))
     touched: set[int] = set()
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        futures = {name: pool.submit(process_table, lake, name, raw, fallback_date, order_first)
+        futures = {name: pool.submit(process_table, lake, name, raw, fallback_date, order_first, stage_landing)
                    for name, raw in batches.items()}
         for name, fut in futures.items():
             years = fut.result()
@@ -117,12 +122,12 @@ def process_tables(lake: Lake, batches: dict[str, DataFrame], fallback_date, ord
 
 
 def history_build(spark: SparkSession, lake_root: str, landing: dict[str, DataFrame],
-                  fallback_date="20150101", order_first=()) -> DataFrame:
+                  fallback_date="20150101", order_first=(), stage_landing: bool = True) -> DataFrame:
     """Full build: every landing table through raw -> detail, then the
     summary products of every year the detail writes touched.  Returns the
     lake's partition log (layer, dataset_name, year, row_count)."""
     lake = Lake(spark, lake_root)
-    touched = process_tables(lake, landing, fallback_date, order_first)
+    touched = process_tables(lake, landing, fallback_date, order_first, stage_landing)
     rebuild_summary(lake, touched)
     return lake_log(lake, list(landing) + ["daily_master", "financial_events"])
 
@@ -147,7 +152,8 @@ def backfill_financial(landing: DataFrame, as_of, days: int = SETTINGS.financial
 
 
 def daily_update(spark: SparkSession, lake_root: str, landing: dict[str, DataFrame], as_of,
-                 calendar: DataFrame | None = None, fallback_date="20150101", order_first=()) -> DataFrame:
+                 calendar: DataFrame | None = None, fallback_date="20150101", order_first=(),
+                 stage_landing: bool = True) -> DataFrame:
     """Daily run: daily and auxiliary tables re-read for the last five open
     days up to ``as_of``, statements for the last 90 calendar days; each
     through raw -> detail; summary rebuilt for the touched years.  Rerunning
@@ -171,7 +177,7 @@ def daily_update(spark: SparkSession, lake_root: str, landing: dict[str, DataFra
             batches[name] = backfill_financial(raw, as_of)
         else:
             batches[name] = backfill_daily(raw, recent, sp.date_columns[0])
-    touched = process_tables(lake, batches, fallback_date, order_first)
+    touched = process_tables(lake, batches, fallback_date, order_first, stage_landing)
     rebuild_summary(lake, touched)
     return lake_log(lake, list(landing) + ["daily_master", "financial_events"])
 

@@ -114,3 +114,16 @@ def test_stored_dataset_fixes_column_types_for_later_batches(spark, lake):
     assert types["close"] == "double" and types["note"] == "string"   # note stays text
     notes = sorted(r.note for r in lake.scan("dwd", "daily").collect())
     assert notes == ["7", "8", "x1"]
+
+
+def test_landing_files_need_no_staging(spark, lake):
+    from ledgerlake.plans.lakehouse import history_build
+    from ledgerlake.session import scratch_path
+    path = scratch_path(spark, "landing-files")
+    spark.createDataFrame([("A", "20250102", "10.5"), ("A", "20250102", None), ("B", "20250103", "11")],
+                          "ts_code string, trade_date string, close string").write.parquet(path)
+    log = history_build(spark, lake.root, {"daily": spark.read.parquet(path)}, stage_landing=False)
+    got = {(r.layer, r.dataset_name, r.year): r.row_count for r in log.collect()}
+    assert got == {("ods", "daily", 2025): 2, ("dwd", "daily", 2025): 2, ("dws", "daily_master", 2025): 2}
+    closes = {r.ts_code: r.close for r in lake.scan("dwd", "daily").collect()}
+    assert closes == {"A": 10.5, "B": 11.0}
