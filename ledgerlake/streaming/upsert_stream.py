@@ -16,14 +16,16 @@ from ..specs import spec as get_spec
 
 def upsert_stream(spark: SparkSession, landing_dir: str, schema: T.StructType, lake_root: str,
                   table_name: str, numeric_columns=None, order_first=(), fmt: str = "parquet",
-                  checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+                  checkpoint: str | None = None, available_now: bool = True,
+                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start a stream over ``landing_dir`` that cleans every micro-batch as
     ``table_name`` and upserts it into ``dwd/<table_name>``.
 
     ``numeric_columns`` pins the typing of the dataset; without it the
     stored dataset's schema does (only columns it lacks are profiled), so
     micro-batches never flip a column type.  The stream checkpoint lives in
-    the shared folder.
+    the shared folder.  ``max_files_per_trigger`` caps the files of one
+    micro-batch (``availableNow`` still drains the whole backlog).
     """
     sp = get_spec(table_name)
     lake = Lake(spark, lake_root)
@@ -35,7 +37,11 @@ def upsert_stream(spark: SparkSession, landing_dir: str, schema: T.StructType, l
                               order_first=order_first, known_types=known).frame
         lake.upsert("dwd", table_name, cleaned, sp.primary_key, sp.dwd_partition_column)
 
-    stream = spark.readStream.format(fmt).schema(schema).load(landing_dir)
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files_per_trigger:
+        # bounds each micro-batch; a backlog is drained in several batches
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    stream = reader.load(landing_dir)
     writer = (stream.writeStream.foreachBatch(merge)
               .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{table_name}")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
