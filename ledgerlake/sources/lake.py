@@ -29,6 +29,20 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # (layer, dataset) -> rows an upsert did not write for lack of a
+        # partition year; observed during the writes themselves
+        self.rows_without_year: dict[tuple[str, str], int] = {}
+
+    def _count_null_years(self, layer: str, dataset: str, obs: Observation) -> None:
+        n = int((obs.get or {}).get("rows_without_year") or 0)
+        key = (layer, dataset)
+        self.rows_without_year[key] = self.rows_without_year.get(key, 0) + n
+
+    def null_year_report(self) -> DataFrame:
+        """(layer, dataset_name, rows_without_year) for every upserted
+        dataset: one row per dataset, from counts kept by the writes."""
+        rows = [(l, d, n) for (l, d), n in sorted(self.rows_without_year.items())]
+        return self.spark.createDataFrame(rows, "layer string, dataset_name string, rows_without_year long")
 
     # ---- paths and reads -------------------------------------------------
     def path(self, layer: str, dataset: str) -> str:
@@ -124,7 +138,10 @@ class Lake:
         require_columns(batch, [date_col], "partition date")
         require_columns(batch, key)
         new = (batch.drop(YEAR) if YEAR in batch.columns else batch)
-        new = new.withColumn(YEAR, F.year(date_col).cast("int")).where(F.col(YEAR).isNotNull())
+        nulls = Observation(f"null-years-{dataset}-{uuid.uuid4().hex[:8]}")
+        new = (new.withColumn(YEAR, F.year(date_col).cast("int"))
+                  .observe(nulls, F.count(F.when(F.col(YEAR).isNull(), 1)).alias("rows_without_year"))
+                  .where(F.col(YEAR).isNotNull()))
         if drop_date:
             new = new.drop(date_col)
         stored = self.scan(layer, dataset)
@@ -134,7 +151,9 @@ class Lake:
             survivors = survivorship_dedup(new.withColumn("__batch", F.lit(1)), key,
                                            order_first=["__batch", *order_first],
                                            score_exclude=[YEAR, "__batch"]).drop("__batch")
-            return self.write_years(layer, dataset, survivors, sort_cols=key)
+            written = self.write_years(layer, dataset, survivors, sort_cols=key)
+            self._count_null_years(layer, dataset, nulls)
+            return written
         # the batch is computed once and staged; its years are observed
         # while it is written (a bounded set, no extra pass)
         obs = Observation(f"batch-years-{dataset}-{uuid.uuid4().hex[:8]}")
@@ -142,6 +161,7 @@ class Lake:
                                      F.count(F.lit(1)).alias("rows")), "batch")
         metrics = obs.get
         years = sorted(metrics.get("years") or [])
+        self._count_null_years(layer, dataset, nulls)
         if not years:
             return []
         existing = stored.where(F.col(YEAR).isin(years))

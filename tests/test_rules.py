@@ -31,6 +31,7 @@ def test_null_partition_year_is_not_written(spark, lake):
     assert years == [2024]
     stored = lake.scan("dwd", "daily")
     assert [r.ts_code for r in stored.collect()] == ["A"]
+    assert [tuple(r) for r in lake.null_year_report().collect()] == [("dwd", "daily", 1)]
 
 
 def test_upsert_rewrites_only_touched_years(spark, lake):
