@@ -37,7 +37,7 @@ class Settings:
     parquet_compression: str = "zstd"
     max_rows_per_file: int = 250_000
     default_exchange: str = "SSE"
-    concurrent_tables: int = 4            # landing tables processed as concurrent Spark jobs
+    concurrent_tables: int = 8            # landing tables processed as concurrent Spark jobs
     merge_broadcast_rows: int = 1_000_000  # an upsert batch up to this size broadcasts its keys
     layers: tuple[str, ...] = field(default=("ods", "dwd", "dws"))
 
