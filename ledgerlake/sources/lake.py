@@ -58,7 +58,8 @@ class Lake:
             raise KeyError(f"unsupported layer: {layer}")
         return f"{self.root}/{layer}/{dataset}"
 
-    def scan(self, layer: str, dataset: str, schema: T.StructType | None = None) -> DataFrame | None:
+    def scan(self, layer: str, dataset: str, schema: T.StructType | None = None,
+             merge_schema: bool = True) -> DataFrame | None:
         """All years of a dataset (``year`` exposed as an int column).  A
         dataset never written gives ``None`` -- or an empty frame of
         ``schema`` when one is given."""
@@ -71,6 +72,10 @@ class Lake:
             reader = self.spark.read
             if schema is not None:
                 reader = reader.schema(schema)
+            elif merge_schema:
+                # years written by different batches may add columns: the
+                # union of the file schemas (a conflicting type raises)
+                reader = reader.option("mergeSchema", "true")
             return reader.parquet(path)
         except AnalysisException as exc:
             msg = str(exc)
@@ -197,9 +202,12 @@ class Lake:
     # ---- logs ---------------------------------------------------------------
     def partition_log(self, layer: str, dataset: str, years=None) -> DataFrame | None:
         """(layer, dataset_name, year, row_count, file_count) per stored year."""
-        df = self.scan(layer, dataset) if years is None else self.read_years(layer, dataset, years)
+        # counts only: the partition column and file names, no schema merge
+        df = self.scan(layer, dataset, merge_schema=False)
         if df is None:
             return None
+        if years is not None:
+            df = df.where(F.col(YEAR).isin(sorted({int(y) for y in years})))
         return (df.select(YEAR, F.input_file_name().alias("__file"))
                   .groupBy(YEAR)
                   .agg(F.count(F.lit(1)).alias("row_count"),

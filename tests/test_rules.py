@@ -128,3 +128,13 @@ def test_landing_files_need_no_staging(spark, lake):
     assert got == {("ods", "daily", 2025): 2, ("dwd", "daily", 2025): 2, ("dws", "daily_master", 2025): 2}
     closes = {r.ts_code: r.close for r in lake.scan("dwd", "daily").collect()}
     assert closes == {"A": 10.5, "B": 11.0}
+
+
+def test_a_column_added_by_a_later_year_is_read_with_nulls_elsewhere(spark, lake):
+    a = spark.createDataFrame([("A", D(2023, 5, 1), 1.0)], "ts_code string, trade_date date, close double")
+    lake.upsert("dwd", "daily", a, ["ts_code", "trade_date"], "trade_date")
+    b = spark.createDataFrame([("A", D(2024, 5, 1), 2.0, 7.0)],
+                              "ts_code string, trade_date date, close double, vol double")
+    lake.upsert("dwd", "daily", b, ["ts_code", "trade_date"], "trade_date")
+    got = {r.trade_date.year: r.vol for r in lake.scan("dwd", "daily").collect()}
+    assert got == {2023: None, 2024: 7.0}
