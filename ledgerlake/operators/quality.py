@@ -62,3 +62,27 @@ def table_quality(table_name: str, prepared: DataFrame, survivors: DataFrame, ke
     nulls = survivors.agg(nulls_total(survivors).alias("nulls_total")).scalar()
     return counts.select(F.lit(table_name).alias("table_name"), "rows_before", "rows_after",
                          F.col("duplicate_rows").alias("pk_duplicates"), nulls.alias("nulls_total"))
+
+
+def nested_report(quality: DataFrame, nulls: DataFrame, partitions: DataFrame | None = None) -> DataFrame:
+    """One nested row per table: the quality counts, a map column -> null
+    count, and the list of (layer, year, row_count) partitions written.
+
+    ``quality``: (table_name, rows_before, rows_after, pk_duplicates,
+    nulls_total); ``nulls``: (table_name, column_name, null_count);
+    ``partitions``: (layer, dataset_name, year, row_count).  Each nested
+    value is bounded by a table's width or its years, never by its rows.
+    """
+    null_maps = nulls.groupBy("table_name").agg(
+        F.map_from_entries(F.collect_list(F.struct("column_name", "null_count"))).alias("null_counts"))
+    out = quality.join(null_maps, "table_name", "left")
+    if partitions is not None:
+        parts = (partitions.groupBy(F.col("dataset_name").alias("table_name"))
+                 .agg(F.sort_array(F.collect_list(F.struct("layer", "year", "row_count"))).alias("partitions")))
+        out = out.join(parts, "table_name", "left")
+    return out
+
+
+def write_report(report: DataFrame, path: str, fmt: str = "json") -> None:
+    """Report sink: the report table written as JSON lines (or Parquet)."""
+    report.write.mode("overwrite").format(fmt).save(path)

@@ -185,3 +185,21 @@ def test_batch_stats_sum_and_messages_stay_rows(spark):
     got = {r.table_name: (r.fetched_rows, r.retry_count, r.message_count) for r in batch_stats(log).collect()}
     assert got == {"daily": (15, 2, 3), "income": (3, 0, 0)}
     assert sorted(r.message for r in batch_messages(log).collect()) == ["a", "b", "retry 1"]
+
+
+def test_nested_report_round_trips_as_json(spark):
+    from ledgerlake.operators.quality import nested_report, table_quality, write_report
+    from ledgerlake.session import scratch_path
+    df = spark.createDataFrame([("A", 1.0, None), ("A", None, None), ("B", 2.0, "x")],
+                               "ts_code string, close double, tag string")
+    survivors = survivorship_dedup(df, ["ts_code"])
+    q = table_quality("daily", df, survivors, ["ts_code"])
+    parts = spark.createDataFrame([("dwd", "daily", 2025, 2), ("ods", "daily", 2025, 3)],
+                                  "layer string, dataset_name string, year int, row_count long")
+    rep = nested_report(q, null_profile(survivors, "daily"), parts)
+    path = scratch_path(spark, "report")
+    write_report(rep, path)
+    row = spark.read.json(path).collect()[0]
+    assert (row.rows_before, row.rows_after, row.pk_duplicates, row.nulls_total) == (3, 2, 1, 1)
+    assert row.null_counts.asDict() == {"ts_code": 0, "close": 0, "tag": 1}
+    assert [(p.layer, p.year, p.row_count) for p in row.partitions] == [("dwd", 2025, 2), ("ods", 2025, 3)]
