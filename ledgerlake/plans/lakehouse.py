@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,6 +14,7 @@ from ..operators.calendar import clean_calendar, recent_trade_dates, to_date_par
 from ..operators.clean import add_source_tag, clean_table
 from ..operators.dedup import require_columns
 from ..operators.products import build_daily_master, build_financial_event_stream
+from ..operators.quality import nested_report, table_quality, write_report
 from ..session import checkpoint_root
 from ..sources.lake import YEAR, Lake
 from ..specs import DAILY_MASTER_SOURCES, FINANCIAL_EVENT_SOURCES, SETTINGS, spec as get_spec
@@ -84,13 +86,14 @@ def rebuild_summary(lake: Lake, years) -> dict[str, list[int]]:
 
 # ---- flows -----------------------------------------------------------------------------------
 def process_table(lake: Lake, name: str, raw: DataFrame, fallback_date, order_first=(),
-                  stage_landing: bool = True) -> list[int]:
+                  stage_landing: bool = True, results: dict | None = None) -> list[int]:
     """One landing table through raw -> detail.  The landing rows are read
     three times (raw write, type profile, clean).  With ``stage_landing``
     they are staged once, so a computed landing frame (joins, windows) is
     not recomputed; pass False when the landing frames are plain reads of
     landing files, which are cheaper to re-read than to copy.
-    ``order_first`` hints naming columns the table lacks are skipped."""
+    ``order_first`` hints naming columns the table lacks are skipped.
+    ``results`` (a dict) receives the table's ``CleanResult`` for a report."""
     if stage_landing:
         raw = lake.stage(raw, f"landing-{name}")
     write_raw(lake, name, raw, fallback_date)
@@ -98,12 +101,14 @@ def process_table(lake: Lake, name: str, raw: DataFrame, fallback_date, order_fi
     # a stored detail dataset fixes the types of its columns (no flip by a later batch)
     stored = lake.scan("dwd", name)
     known = dict(stored.dtypes) if stored is not None else None
-    cleaned = clean_table(name, raw, order_first=hints, known_types=known).frame
-    return persist_detail(lake, name, cleaned)
+    res = clean_table(name, raw, order_first=hints, known_types=known)
+    if results is not None:
+        results[name] = res
+    return persist_detail(lake, name, res.frame)
 
 
 def process_tables(lake: Lake, batches: dict[str, DataFrame], fallback_date, order_first=(),
-                   stage_landing: bool = True) -> set[int]:
+                   stage_landing: bool = True, results: dict | None = None) -> set[int]:
     """Every landing table through raw -> detail.  Tables write disjoint
     datasets, so they run as concurrent Spark jobs (a few at a time): small
     tables fill the cluster alongside big ones instead of queueing behind
@@ -112,7 +117,8 @@ def process_tables(lake: Lake, batches: dict[str, DataFrame], fallback_date, ord
     workers = max(1, min(SETTINGS.concurrent_tables, len(batches)))
     touched: set[int] = set()
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        futures = {name: pool.submit(process_table, lake, name, raw, fallback_date, order_first, stage_landing)
+        futures = {name: pool.submit(process_table, lake, name, raw, fallback_date, order_first,
+                                     stage_landing, results)
                    for name, raw in batches.items()}
         for name, fut in futures.items():
             years = fut.result()
@@ -121,15 +127,33 @@ def process_tables(lake: Lake, batches: dict[str, DataFrame], fallback_date, ord
     return touched
 
 
+def run_report(lake: Lake, results: dict, datasets) -> DataFrame:
+    """The nested quality report of a run: per table its dedup counts, null
+    profile of the survivors and partition log (see ``nested_report``)."""
+    names = sorted(results)
+    if not names:
+        raise ValueError("no cleaned tables to report")
+    quality = reduce(DataFrame.unionByName, [
+        table_quality(n, results[n].prepared, results[n].frame, results[n].primary_key) for n in names])
+    nulls = reduce(DataFrame.unionByName, [results[n].null_profile() for n in names])
+    return nested_report(quality, nulls, lake_log(lake, datasets))
+
+
 def history_build(spark: SparkSession, lake_root: str, landing: dict[str, DataFrame],
-                  fallback_date="20150101", order_first=(), stage_landing: bool = True) -> DataFrame:
+                  fallback_date="20150101", order_first=(), stage_landing: bool = True,
+                  report_path: str | None = None) -> DataFrame:
     """Full build: every landing table through raw -> detail, then the
     summary products of every year the detail writes touched.  Returns the
-    lake's partition log (layer, dataset_name, year, row_count)."""
+    lake's partition log (layer, dataset_name, year, row_count); with
+    ``report_path`` the run's nested quality report is written there."""
     lake = Lake(spark, lake_root)
-    touched = process_tables(lake, landing, fallback_date, order_first, stage_landing)
+    results: dict | None = {} if report_path else None
+    touched = process_tables(lake, landing, fallback_date, order_first, stage_landing, results)
     rebuild_summary(lake, touched)
-    return lake_log(lake, list(landing) + ["daily_master", "financial_events"])
+    datasets = list(landing) + ["daily_master", "financial_events"]
+    if report_path:
+        write_report(run_report(lake, results, datasets), report_path)
+    return lake_log(lake, datasets)
 
 
 def backfill_daily(landing: DataFrame, recent_dates: DataFrame, date_col: str = "trade_date") -> DataFrame:
@@ -153,7 +177,7 @@ def backfill_financial(landing: DataFrame, as_of, days: int = SETTINGS.financial
 
 def daily_update(spark: SparkSession, lake_root: str, landing: dict[str, DataFrame], as_of,
                  calendar: DataFrame | None = None, fallback_date="20150101", order_first=(),
-                 stage_landing: bool = True) -> DataFrame:
+                 stage_landing: bool = True, report_path: str | None = None) -> DataFrame:
     """Daily run: daily and auxiliary tables re-read for the last five open
     days up to ``as_of``, statements for the last 90 calendar days; each
     through raw -> detail; summary rebuilt for the touched years.  Rerunning
@@ -177,9 +201,13 @@ def daily_update(spark: SparkSession, lake_root: str, landing: dict[str, DataFra
             batches[name] = backfill_financial(raw, as_of)
         else:
             batches[name] = backfill_daily(raw, recent, sp.date_columns[0])
-    touched = process_tables(lake, batches, fallback_date, order_first, stage_landing)
+    results: dict | None = {} if report_path else None
+    touched = process_tables(lake, batches, fallback_date, order_first, stage_landing, results)
     rebuild_summary(lake, touched)
-    return lake_log(lake, list(landing) + ["daily_master", "financial_events"])
+    datasets = list(landing) + ["daily_master", "financial_events"]
+    if report_path:
+        write_report(run_report(lake, results, datasets), report_path)
+    return lake_log(lake, datasets)
 
 
 def lake_log(lake: Lake, datasets) -> DataFrame:
