@@ -64,14 +64,16 @@ def table_quality(table_name: str, prepared: DataFrame, survivors: DataFrame, ke
                          F.col("duplicate_rows").alias("pk_duplicates"), nulls.alias("nulls_total"))
 
 
-def nested_report(quality: DataFrame, nulls: DataFrame, partitions: DataFrame | None = None) -> DataFrame:
+def nested_report(quality: DataFrame, nulls: DataFrame, partitions: DataFrame | None = None,
+                  coverage: DataFrame | None = None) -> DataFrame:
     """One nested row per table: the quality counts, a map column -> null
     count, and the list of (layer, year, row_count) partitions written.
 
     ``quality``: (table_name, rows_before, rows_after, pk_duplicates,
     nulls_total); ``nulls``: (table_name, column_name, null_count);
-    ``partitions``: (layer, dataset_name, year, row_count).  Each nested
-    value is bounded by a table's width or its years, never by its rows.
+    ``partitions``: (layer, dataset_name, year, row_count); ``coverage``:
+    (table_name, coverage struct).  Each nested value is bounded by a
+    table's width, its years or a date range, never by its rows.
     """
     null_maps = nulls.groupBy("table_name").agg(
         F.map_from_entries(F.collect_list(F.struct("column_name", "null_count"))).alias("null_counts"))
@@ -80,6 +82,8 @@ def nested_report(quality: DataFrame, nulls: DataFrame, partitions: DataFrame |
         parts = (partitions.groupBy(F.col("dataset_name").alias("table_name"))
                  .agg(F.sort_array(F.collect_list(F.struct("layer", "year", "row_count"))).alias("partitions")))
         out = out.join(parts, "table_name", "left")
+    if coverage is not None:
+        out = out.join(coverage, "table_name", "left")
     return out
 
 

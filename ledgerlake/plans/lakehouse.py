@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.dates import parse_date_two
-from ..operators.calendar import clean_calendar, recent_trade_dates, to_date_param
+from ..operators.calendar import clean_calendar, coverage_summary, recent_trade_dates, to_date_param
 from ..operators.clean import add_source_tag, clean_table
 from ..operators.dedup import require_columns
 from ..operators.products import build_daily_master, build_financial_event_stream
@@ -127,32 +127,46 @@ def process_tables(lake: Lake, batches: dict[str, DataFrame], fallback_date, ord
     return touched
 
 
-def run_report(lake: Lake, results: dict, datasets) -> DataFrame:
+def run_report(lake: Lake, results: dict, datasets, calendar: DataFrame | None = None,
+               coverage_range=None) -> DataFrame:
     """The nested quality report of a run: per table its dedup counts, null
-    profile of the survivors and partition log (see ``nested_report``)."""
+    profile of the survivors and partition log (see ``nested_report``);
+    with a calendar and a (start, end) range, also the trade-date coverage
+    of every table keyed by trade_date."""
     names = sorted(results)
     if not names:
         raise ValueError("no cleaned tables to report")
     quality = reduce(DataFrame.unionByName, [
         table_quality(n, results[n].prepared, results[n].frame, results[n].primary_key) for n in names])
     nulls = reduce(DataFrame.unionByName, [results[n].null_profile() for n in names])
-    return nested_report(quality, nulls, lake_log(lake, datasets))
+    coverage = None
+    dated = [n for n in names if "trade_date" in results[n].primary_key]
+    if calendar is not None and coverage_range is not None and dated:
+        start, end = coverage_range
+        coverage = reduce(DataFrame.unionByName, [
+            coverage_summary(calendar, results[n].frame, "trade_date", start, end)
+            .select(F.lit(n).alias("table_name"),
+                    F.struct("expected_dates", "actual_dates", "covered_dates", "missing_dates").alias("coverage"))
+            for n in dated])
+    return nested_report(quality, nulls, lake_log(lake, datasets), coverage)
 
 
 def history_build(spark: SparkSession, lake_root: str, landing: dict[str, DataFrame],
                   fallback_date="20150101", order_first=(), stage_landing: bool = True,
-                  report_path: str | None = None) -> DataFrame:
+                  report_path: str | None = None, coverage_range=None) -> DataFrame:
     """Full build: every landing table through raw -> detail, then the
     summary products of every year the detail writes touched.  Returns the
     lake's partition log (layer, dataset_name, year, row_count); with
-    ``report_path`` the run's nested quality report is written there."""
+    ``report_path`` the run's nested quality report is written there
+    (with trade-date coverage over ``coverage_range`` when given)."""
     lake = Lake(spark, lake_root)
     results: dict | None = {} if report_path else None
     touched = process_tables(lake, landing, fallback_date, order_first, stage_landing, results)
     rebuild_summary(lake, touched)
     datasets = list(landing) + ["daily_master", "financial_events"]
     if report_path:
-        write_report(run_report(lake, results, datasets), report_path)
+        cal = results["trade_cal"].frame if "trade_cal" in results else lake.scan("dwd", "trade_cal")
+        write_report(run_report(lake, results, datasets, cal, coverage_range), report_path)
     return lake_log(lake, datasets)
 
 
@@ -192,6 +206,9 @@ def daily_update(spark: SparkSession, lake_root: str, landing: dict[str, DataFra
         raise ValueError("a trading calendar is required")
     # k rows, staged before any dataset (the calendar included) is rewritten
     recent = lake.stage(recent_trade_dates(cal, as_of, SETTINGS.daily_backfill_days), "recent-dates")
+    # the same days as a calendar, for the coverage of the run
+    recent_cal = recent.select(F.lit(SETTINGS.default_exchange).alias("exchange"), "cal_date",
+                               F.lit(1).alias("is_open"))
     batches: dict[str, DataFrame] = {}
     for name, raw in landing.items():
         sp = get_spec(name)
@@ -206,7 +223,10 @@ def daily_update(spark: SparkSession, lake_root: str, landing: dict[str, DataFra
     rebuild_summary(lake, touched)
     datasets = list(landing) + ["daily_master", "financial_events"]
     if report_path:
-        write_report(run_report(lake, results, datasets), report_path)
+        # coverage over the backfill window: its first and last open day (k rows)
+        bounds = recent.agg(F.min("cal_date").alias("s"), F.max("cal_date").alias("e")).first()
+        window = (bounds["s"], bounds["e"]) if bounds["s"] is not None else None
+        write_report(run_report(lake, results, datasets, recent_cal, window), report_path)
     return lake_log(lake, datasets)
 
 
