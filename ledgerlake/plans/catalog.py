@@ -169,7 +169,7 @@ from ..operators.products import (build_daily_master, build_financial_event_stre
 from ..operators.quality import batch_stats  # noqa: E402
 from ..operators.union import concat_batches, union_aligned  # noqa: E402
 from ..functions.casting import cast_numeric_like, nan_to_null, numeric_like_profile  # noqa: E402
-from ..functions.dates import date_text, date_windows, iso_text  # noqa: E402
+from ..functions.dates import date_text, date_windows, iso_text, year_span  # noqa: E402
 from ..session import scratch_path  # noqa: E402
 
 
@@ -583,6 +583,21 @@ def q_impacted_years(spark, d):
     return t.union(o).distinct()
 
 
+@query("years_between", """
+SELECT o_orderkey, CAST(y AS INTEGER) AS year
+FROM (SELECT o.o_orderkey,
+             unnest(range(year(least(o.o_orderdate, l.ms)), year(greatest(o.o_orderdate, l.ms)) + 1)) AS y
+      FROM orders o JOIN (SELECT l_orderkey, max(l_shipdate) AS ms FROM lineitem GROUP BY l_orderkey) l
+        ON o.o_orderkey = l.l_orderkey)""")
+def q_years_between(spark, d):
+    """Years an order's date range touches, the range given reversed (last
+    ship date first, order date last): bounds are swapped."""
+    ship = (fx.table(spark, d, "lineitem").groupBy("l_orderkey")
+            .agg(F.max("l_shipdate").alias("last_ship")))
+    o = fx.table(spark, d, "orders").join(ship, F.col("o_orderkey") == F.col("l_orderkey"))
+    return o.select("o_orderkey", F.explode(year_span(F.to_date("last_ship"), F.to_date("o_orderdate"))).alias("year"))
+
+
 _BATCH_LOG_SQL = """batch_log AS (
   SELECT event_type AS table_name, CAST(ts AS DATE) AS batch_date, COUNT(*) AS fetched_rows,
          1 AS request_count, 1 AS success_count,
