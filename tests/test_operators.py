@@ -203,3 +203,26 @@ def test_nested_report_round_trips_as_json(spark):
     assert (row.rows_before, row.rows_after, row.pk_duplicates, row.nulls_total) == (3, 2, 1, 1)
     assert row.null_counts.asDict() == {"ts_code": 0, "close": 0, "tag": 1}
     assert [(p.layer, p.year, p.row_count) for p in row.partitions] == [("dwd", 2025, 2), ("ods", 2025, 3)]
+
+
+def test_landing_batches_with_different_columns_concatenate(spark):
+    from ledgerlake.session import scratch_path
+    from ledgerlake.sources.ingest import read_landing_batches
+    p1, p2 = scratch_path(spark, "batch"), scratch_path(spark, "batch")
+    spark.createDataFrame([(1, float("nan"))], "id long, v double").write.parquet(p1)
+    spark.createDataFrame([(2, "x", 3.5)], "id long, tag string, v double").write.parquet(p2)
+    out = read_landing_batches(spark, [p1, p2])
+    assert dict(out.dtypes) == {"id": "bigint", "v": "double", "tag": "string"}
+    assert sorted((r.id, r.v, r.tag) for r in out.collect()) == [(1, None, None), (2, 3.5, "x")]
+
+
+def test_summary_outputs_need_all_daily_inputs_and_any_statement(spark):
+    from ledgerlake.operators.products import build_dws_outputs
+    day = spark.createDataFrame([("A", dt.date(2025, 1, 2), 1.0)], "ts_code string, trade_date date, close double")
+    inc = spark.createDataFrame([("A", dt.date(2025, 1, 6), dt.date(2024, 12, 31), dt.date(2025, 1, 5), "income")],
+                                "ts_code string, ann_date date, end_date date, real_ann_date date, source_table string")
+    assert set(build_dws_outputs({"daily": day, "income": inc})) == {"financial_events"}
+    out = build_dws_outputs({"daily": day, "daily_basic": day, "adj_factor": day, "income": inc})
+    assert set(out) == {"daily_master", "financial_events"}
+    assert out["daily_master"].columns[:3] == ["ts_code", "trade_date", "close"]
+    assert out["financial_events"].count() == 1
