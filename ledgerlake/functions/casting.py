@@ -68,6 +68,32 @@ def numeric_like_columns(df: DataFrame, protected=()) -> list[str]:
     return [c for i, c in enumerate(cands) if row[f"c{i}"]]
 
 
+def numeric_profile_aggs(df: DataFrame, protected=(), known_types=None):
+    """The numeric profile as aggregate expressions, to ride along another
+    pass over the rows (``DataFrame.observe`` on a write).  Returns the
+    candidate text columns and the aggregates; integer flag columns, which
+    are cast before profiling, are left out.  Decide with
+    ``numeric_columns_from``."""
+    cands = [c for c in _candidate_columns(df, protected) if c not in INTEGER_COLUMNS]
+    fresh = [c for c in cands if c not in (known_types or {})]
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    aggs += [F.coalesce(F.bool_and(strip_ws(c).rlike(FLOAT_PATTERN)), F.lit(True)).alias(f"__num{i}")
+             for i, c in enumerate(fresh)]
+    return cands, aggs
+
+
+def numeric_columns_from(cands, metrics: dict, known_types=None) -> list[str]:
+    """Columns to cast given the observed profile: columns a stored schema
+    holds as double, plus the fresh columns whose values all look numeric
+    (none when the batch had no rows)."""
+    known = known_types or {}
+    fresh = [c for c in cands if c not in known]
+    out = [c for c in cands if known.get(c) == "double"]
+    if metrics.get("__n"):
+        out += [c for i, c in enumerate(fresh) if metrics.get(f"__num{i}")]
+    return out
+
+
 def cast_numeric_like(df: DataFrame, protected=(), columns=None, known_types=None) -> DataFrame:
     """Cast numeric-looking text columns to double.
 

@@ -4,11 +4,13 @@ update (backfill windows), and rebuild of only the affected years."""
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from ..functions.casting import numeric_columns_from, numeric_profile_aggs
 from ..functions.dates import parse_date_two
 from ..operators.calendar import clean_calendar, coverage_summary, recent_trade_dates, to_date_param
 from ..operators.clean import add_source_tag, clean_table
@@ -94,14 +96,19 @@ def process_table(lake: Lake, name: str, raw: DataFrame, fallback_date, order_fi
     landing files, which are cheaper to re-read than to copy.
     ``order_first`` hints naming columns the table lacks are skipped.
     ``results`` (a dict) receives the table's ``CleanResult`` for a report."""
-    if stage_landing:
-        raw = lake.stage(raw, f"landing-{name}")
-    write_raw(lake, name, raw, fallback_date)
-    hints = [o for o in order_first if not isinstance(o, str) or o in raw.columns]
     # a stored detail dataset fixes the types of its columns (no flip by a later batch)
     stored = lake.scan("dwd", name)
     known = dict(stored.dtypes) if stored is not None else None
-    res = clean_table(name, raw, order_first=hints, known_types=known)
+    numeric = None
+    if stage_landing:
+        # the numeric profile rides along the staging write: no extra pass
+        cands, aggs = numeric_profile_aggs(raw, protected=get_spec(name).date_columns, known_types=known)
+        profile = Observation(f"profile-{name}-{uuid.uuid4().hex[:8]}")
+        raw = lake.stage(raw.observe(profile, *aggs), f"landing-{name}")
+        numeric = numeric_columns_from(cands, profile.get, known)
+    write_raw(lake, name, raw, fallback_date)
+    hints = [o for o in order_first if not isinstance(o, str) or o in raw.columns]
+    res = clean_table(name, raw, numeric_columns=numeric, order_first=hints, known_types=known)
     if results is not None:
         results[name] = res
     return persist_detail(lake, name, res.frame)

@@ -226,3 +226,20 @@ def test_summary_outputs_need_all_daily_inputs_and_any_statement(spark):
     assert set(out) == {"daily_master", "financial_events"}
     assert out["daily_master"].columns[:3] == ["ts_code", "trade_date", "close"]
     assert out["financial_events"].count() == 1
+
+
+def test_observed_profile_equals_the_profile_pass(spark):
+    from pyspark.sql import Observation
+    from ledgerlake.functions.casting import numeric_columns_from, numeric_like_columns, numeric_profile_aggs
+    df = spark.createDataFrame([(" 1.5", "a", None, "7", "1"), ("2", "3", None, "x", "0")],
+                               "p string, q string, r string, s string, is_open string")
+    cands, aggs = numeric_profile_aggs(df)
+    obs = Observation("profile-test")
+    df.observe(obs, *aggs).write.format("noop").mode("overwrite").save()
+    assert sorted(numeric_columns_from(cands, obs.get)) == sorted(numeric_like_columns(df.drop("is_open")))
+    assert sorted(numeric_columns_from(cands, obs.get)) == ["p", "r"]
+    # a stored schema fixes known columns: s stored as double is cast, p stored as text is not
+    cands, aggs = numeric_profile_aggs(df, known_types={"s": "double", "p": "string"})
+    obs = Observation("profile-test-known")
+    df.observe(obs, *aggs).write.format("noop").mode("overwrite").save()
+    assert sorted(numeric_columns_from(cands, obs.get, {"s": "double", "p": "string"})) == ["r", "s"]
