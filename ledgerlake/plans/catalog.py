@@ -168,7 +168,7 @@ from ..operators.products import (build_daily_master, build_financial_event_stre
                                   left_join_suffix)
 from ..operators.quality import batch_stats  # noqa: E402
 from ..operators.union import concat_batches, union_aligned  # noqa: E402
-from ..functions.casting import cast_numeric_like, nan_to_null, numeric_like_profile  # noqa: E402
+from ..functions.casting import cast_numeric_like, numeric_like_profile  # noqa: E402
 from ..functions.dates import date_text, date_windows, iso_text, year_span  # noqa: E402
 from ..session import scratch_path  # noqa: E402
 
