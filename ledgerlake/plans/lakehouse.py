@@ -206,9 +206,18 @@ def daily_update(spark: SparkSession, lake_root: str, landing: dict[str, DataFra
     lake = Lake(spark, lake_root)
     cal = calendar
     if cal is None:
-        cal = lake.scan("dwd", "trade_cal")
-        if cal is None and "trade_cal" in landing:
-            cal = clean_calendar(landing["trade_cal"])
+        cols = ["exchange", "cal_date", "is_open"]
+        stored = lake.scan("dwd", "trade_cal")
+        stored = stored.select(*cols) if stored is not None else None
+        if "trade_cal" in landing:
+            # the landing calendar is the fresh one: it wins over stored days,
+            # and stored days it does not repeat are kept (a stored calendar
+            # alone would age and anchor the backfill window too early)
+            fresh = clean_calendar(landing["trade_cal"]).select(*cols)
+            cal = fresh if stored is None else fresh.unionByName(
+                stored.join(fresh, ["exchange", "cal_date"], "left_anti"))
+        else:
+            cal = stored
     if cal is None:
         raise ValueError("a trading calendar is required")
     # k rows, staged before any dataset (the calendar included) is rewritten
