@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, quality
+from . import decontaminate, neardup, packing, quality
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op2_quality_rules(spark, sf_dir):
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
