@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, neardup, packing, quality
+from . import chat, decontaminate, neardup, packing, quality, secrets, sharding
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,69 @@ def op3_near_duplicates(spark, sf_dir):
 @query
 def op4_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op7_sharding(spark, sf_dir):
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+#: A conversation of control strings, which every run formats too.
+CONTROL_ROWS = """SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)"""
+
+
+@query
+def op9_chat_formatting(spark, sf_dir):
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    records = chat.records_of(said.unionByName(spark.sql(CONTROL_ROWS)))
+    return chat.digest(chat.read_back(chat.formatted(chat.canonical_turns(records))))
+
+
+def _escaped_length(text: str, pairs) -> str:
+    for a, b in pairs:
+        a, b = (f"'{x}'" if x != "\n" else "chr(10)" for x in (a, b))
+        text = f"replace({text}, {a}, {b})"
+    return f"length({text})"
+
+
+ORACLES["op9_chat_formatting"] = f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+loss AS (SELECT conv_id, string_agg(text, '' ORDER BY turn, role, text) AS t FROM said WHERE role = 'assistant' GROUP BY conv_id)
+SELECT said.conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  length(coalesce(any_value(loss.t), '')) AS loss_chars, sha256(coalesce(any_value(loss.t), '')) AS loss_sha256,
+  CAST(sum({len(chat.OPEN) + len(chat.CLOSE) + 2} + {_escaped_length('role', chat.ROLE_ESCAPES)} + {_escaped_length('text', chat.ESCAPES)}) AS BIGINT) AS formatted_chars
+FROM said LEFT JOIN loss ON said.conv_id = loss.conv_id GROUP BY said.conv_id
+"""
+
+
+@query
+def op6_secret_scan(spark, sf_dir):
+    return secrets.secrets_report(table(spark, sf_dir, "documents"))
+
+
+def _places(kind: str, rank: int, pattern: str, keep: str = "true") -> str:
+    """DuckDB: the places of a pattern's matches, from their lengths and those
+    of the pieces between them."""
+    p = "'" + pattern.replace("'", "''") + "'"
+    return f"""SELECT doc_id, '{kind}' AS kind, {rank} AS rank, list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(h[1:i - 1], lambda x: length(x))), 0) AS s, length(h[i]) AS n
+      FROM (SELECT doc_id, h, g, unnest(range(1, len(h) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, {p}) AS h, string_split_regex(text, {p}) AS g FROM docs)) WHERE {keep.format(p=p)}"""
+
+
+def _span_sql(parts: list[str], base: list[str]) -> str:
+    one = "kind || ':' || CAST(s AS BIGINT) || ':' || CAST(s + n AS BIGINT)"
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in base)
+    inside = ", ".join(f"'{k}'" for k in base)
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), found AS ({' UNION ALL '.join(parts)})
+SELECT docs.doc_id, {counts},
+  sha256(coalesce(string_agg({one}, ',' ORDER BY s, rank) FILTER (kind IN ({inside})), '')) AS base_sha256,
+  coalesce(string_agg({one}, ',' ORDER BY s, rank), '') AS spans
+FROM docs LEFT JOIN found ON docs.doc_id = found.doc_id GROUP BY docs.doc_id"""
+
+
+ORACLES["op6_secret_scan"] = _span_sql(
+    [_places(r.kind, k, r.pattern, f"length(regexp_extract(h[i], {{p}}, {r.least[0]})) >= {r.least[1]}" if r.least else "true") for k, r in enumerate(secrets.RULES)],
+    [r.kind for r in secrets.RULES if r.base])
