@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, neardup, packing, quality, secrets, sharding
+from . import chat, decontaminate, neardup, packing, passages, quality, secrets, sharding, suffixes
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,11 @@ def op4_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op5_suffix_dedup(spark, sf_dir):
+    return suffixes.dedup(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
@@ -52,6 +57,11 @@ def op7_sharding(spark, sf_dir):
 CONTROL_ROWS = """SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)"""
 
 
+@query
+def op8_shared_passages(spark, sf_dir):
+    return passages.shared_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_chat_formatting(spark, sf_dir):
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
