@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, neardup, packing, passages, quality, secrets, sharding, suffixes
+from . import chat, decontaminate, neardup, packing, passages, pii, quality, secrets, sharding, suffixes
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,8 @@ FROM docs LEFT JOIN found ON docs.doc_id = found.doc_id GROUP BY docs.doc_id"""
 ORACLES["op6_secret_scan"] = _span_sql(
     [_places(r.kind, k, r.pattern, f"length(regexp_extract(h[i], {{p}}, {r.least[0]})) >= {r.least[1]}" if r.least else "true") for k, r in enumerate(secrets.RULES)],
     [r.kind for r in secrets.RULES if r.base])
+
+
+@query
+def op10_personal_data(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))

@@ -100,19 +100,26 @@ def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> Da
     return met.groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``doc_id`` and, for each rule, an array of its (start, end, ...)."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def _verified(held: DataFrame, id_col: str, text_col: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """``held`` with an array of matches for each rule: candidates from the
+    index, verified with the rule's pattern."""
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern))}
     trigrams = sorted({t for ways in queries.values() for way in ways for t in way})
-    found = candidates(postings(docs, trigrams, "text"), queries).select(F.col("doc_id").alias("__id"), "kinds")
-    held = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id")
+    index = postings(held.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), trigrams, "text")
+    found = candidates(index, queries).select(F.col("doc_id").alias("__id"), F.col("kinds").alias("__kinds"))
+    held = held.join(found, F.col(id_col).eqNullSafe(F.col("__id")), "left").drop("__id")
 
     def gate(r: Rule) -> Column:
-        return F.coalesce(F.array_contains("kinds", r.kind), F.lit(False)) if r.kind in queries else F.col("text").rlike(r.pattern)
+        return F.coalesce(F.array_contains("__kinds", r.kind), F.lit(False)) if r.kind in queries else F.col(text_col).rlike(r.pattern)
+
+    out = with_matches(held, text_col, {r.kind: (r.pattern, gate(r)) for r in rules})
+    return out.withColumns({f"__m_{r.kind}": _long_enough(r) for r in rules}).drop("__kinds")
 
-    out = with_matches(held, "text", {r.kind: (r.pattern, gate(r)) for r in rules})
-    return out.withColumns({f"__m_{r.kind}": _long_enough(r) for r in rules}).drop("kinds")
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``doc_id``, ``text`` and, for each rule, an array of its (start, end, ...)."""
+    held = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return _verified(held, "doc_id", "text", rules)
 
 
 def _long_enough(rule: Rule) -> Column:
@@ -133,21 +140,13 @@ def secrets_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         joined(F.concat(*[s for _, s in every])).alias("spans"))
 
 
-def redact(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents with every secret replaced by `[kind]`; all columns stay.
-    Spans that overlap become one replacement, named by the first.  The rules
-    are gated by literals here, so that no document is moved."""
+    Spans that overlap become one replacement, named by the first."""
     names = {c: f"__c{k}" for k, c in enumerate(docs.columns)}
-    held = docs.toDF(*names.values())
     text = names[text_col]
-    gates = {}
-    for r in rules:
-        ways = trigram_query(r.pattern)
-        low = F.lower(text)
-        literal = [_all(low, way) for way in ways] if ways else [F.col(text).rlike(r.pattern)]
-        gates[r.kind] = (r.pattern, F.coalesce(_any(literal), F.lit(False)))
-    found = with_matches(held, text, gates)
-    parts = [ranked(_long_enough(r), r.kind, k) for k, r in enumerate(rules)]
+    found = _verified(docs.toDF(*names.values()), names[id_col], text, rules)
+    parts = [ranked(F.col(f"__m_{r.kind}"), r.kind, k) for k, r in enumerate(rules)]
     found = found.withColumn("__spans", F.array_sort(F.concat(*parts)))
     t = F.col(text)
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
@@ -162,16 +161,3 @@ def redact(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RU
     found = found.withColumn(text, F.when(F.size("__spans") > 0, clean).otherwise(t))
     return found.select(*[F.col(v).alias(c) for c, v in names.items()])
 
-
-def _all(text: Column, grams) -> Column:
-    out = F.lit(True)
-    for g in sorted(grams):
-        out = out & F.contains(text, F.lit(g))
-    return out
-
-
-def _any(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out | c
-    return out
