@@ -9,22 +9,35 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from .common import written
 
 
+def _both(links: DataFrame) -> DataFrame:
+    return links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable from each node that has
-    a link.  Every round each node takes the smallest label around it, then
-    its label's own label, so long chains halve; a round is written out."""
-    both = links.select(F.col(a).alias("node"), F.col(b).alias("other")).where("node <> other")
-    both = written(both.union(both.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct(), "links")
-    labels = written(both.groupBy("node").agg(F.min("other").alias("o")).select("node", F.least("node", "o").alias("component")), "labels")
-    while True:
-        around = (both.join(labels.select(F.col("node").alias("other"), "component"), "other")
-                  .groupBy("node").agg(F.min("component").alias("near")))
-        nearer = labels.join(around, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("component"))
-        jump = labels.select(F.col("node").alias("component"), F.col("component").alias("next"))
-        seen = Observation(f"labels-{uuid.uuid4().hex[:8]}")
-        labels = written(
-            nearer.join(jump, "component").select("node", "was", F.least("component", "next").alias("component"))
-            .observe(seen, F.count_if(F.col("was") != F.col("component")).alias("changed"))
-            .select("node", "component"), "labels")
-        if not (seen.get or {}).get("changed"):
-            return labels
+    a link.
+
+    A round gives each node the smallest node next to it, follows that choice
+    once more, and contracts: links are rewritten to the chosen nodes, and
+    those inside one node go.  What is left shrinks with every round; the
+    rounds' choices are joined up at the end.  Each round is written out."""
+    pair = links.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a < b").distinct()
+    pair = written(pair, "links")
+    rounds, left = [], 1
+    while left:
+        choice = _both(pair).groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("up"))
+        choice = written(choice, "choices")
+        jump = choice.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        choice = written(choice.join(jump, "up").select("node", F.col("top").alias("up")), "choices")
+        rounds.append(choice)
+        x = pair.join(choice.select(F.col("node").alias("a"), F.col("up").alias("x")), "a")
+        y = x.join(choice.select(F.col("node").alias("b"), F.col("up").alias("y")), "b")
+        seen = Observation(f"links-{uuid.uuid4().hex[:8]}")
+        pair = written(y.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b")
+                       .distinct().observe(seen, F.count(F.lit(1)).alias("left")), "links")
+        left = (seen.get or {}).get("left")
+    out = rounds[-1]
+    for earlier in reversed(rounds[:-1]):
+        later = out.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        out = earlier.join(later, "up", "left").select("node", F.coalesce("top", "up").alias("up"))
+    return out.select("node", F.col("up").alias("component"))
