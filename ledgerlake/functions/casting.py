@@ -75,7 +75,7 @@ def numeric_profile_aggs(df: DataFrame, protected=(), known_types=None):
     are cast before profiling, are left out.  Decide with
     ``numeric_columns_from``."""
     cands = [c for c in _candidate_columns(df, protected) if c not in INTEGER_COLUMNS]
-    fresh = [c for c in cands if c not in (known_types or {})]
+    fresh = _undecided(cands, known_types)
     aggs = [F.count(F.lit(1)).alias("__n")]
     aggs += [F.coalesce(F.bool_and(strip_ws(c).rlike(FLOAT_PATTERN)), F.lit(True)).alias(f"__num{i}")
              for i, c in enumerate(fresh)]
@@ -83,32 +83,31 @@ def numeric_profile_aggs(df: DataFrame, protected=(), known_types=None):
 
 
 def numeric_columns_from(cands, metrics: dict, known_types=None) -> list[str]:
-    """Columns to cast given the observed profile: columns a stored schema
-    holds as double, plus the fresh columns whose values all look numeric
-    (none when the batch had no rows)."""
-    known = known_types or {}
-    fresh = [c for c in cands if c not in known]
-    out = [c for c in cands if known.get(c) == "double"]
-    if metrics.get("__n"):
-        out += [c for i, c in enumerate(fresh) if metrics.get(f"__num{i}")]
-    return out
+    """Columns to cast given the observed profile: those whose values all
+    look numeric (none when the batch had no rows)."""
+    if not metrics.get("__n"):
+        return []
+    return [c for i, c in enumerate(_undecided(cands, known_types)) if metrics.get(f"__num{i}")]
+
+
+def _undecided(cands, known_types=None) -> list[str]:
+    """Text columns whose type a batch's values decide: those the stored
+    dataset lacks or holds as numbers.  What is stored as text stays text."""
+    return [c for c in cands if (known_types or {}).get(c, "double") == "double"]
 
 
 def cast_numeric_like(df: DataFrame, protected=(), columns=None, known_types=None) -> DataFrame:
     """Cast numeric-looking text columns to double.
 
-    ``columns`` pins the decision outright.  ``known_types`` (column ->
-    type name, e.g. the stored dataset's schema) pins it for the columns the
-    dataset already has, so later batches never flip a stored column's type;
-    only columns it does not know are profiled from the data (one pass).
+    ``columns`` pins the decision outright.  With ``known_types`` (column ->
+    type name, e.g. the stored dataset's schema) a column stored as text stays
+    text.  A column stored as numbers is profiled like a new one: where a
+    batch holds other text, it is left as it is and the lake widens the stored
+    column, so no value is lost.
     """
     if columns is None:
-        known = known_types or {}
-        cands = _candidate_columns(df, protected)
-        fresh = [c for c in cands if c not in known]
-        columns = [c for c in cands if known.get(c) == "double"]
-        if fresh:
-            columns += numeric_like_columns(df.select(*fresh))
+        fresh = _undecided(_candidate_columns(df, protected), known_types)
+        columns = numeric_like_columns(df.select(*fresh)) if fresh else []
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df

@@ -77,7 +77,7 @@ def recent_trade_dates(cal: DataFrame, end, k: int, exchange: str = SETTINGS.def
     """The last ``k`` open days on or before ``end`` (anchored at the latest
     open day), ascending.  Top-k: a TakeOrderedAndProject, not a sort."""
     if k <= 0:
-        raise ValueError("lookback_days must be positive")
+        raise ValueError(f"k is the number of open days to return; got {k}")
     e = to_date_param(end)
     top = (calendar_days(cal, exchange).where(F.col("cal_date") <= F.lit(e))
            .select("cal_date").orderBy(F.col("cal_date").desc()).limit(k))

@@ -46,15 +46,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints and staged writes.
 
     Reads ``spark.checkpoint.dir`` (or the SparkContext checkpoint dir) from
-    the session.  Only when neither is set -- local tests -- a private folder
-    is created and registered, so cluster jobs always use the shared folder
-    the cluster names.
+    the session.  When neither is set, a local master gets a private folder
+    and any other master raises: executors would each write to their own disk.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not sc.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             root = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

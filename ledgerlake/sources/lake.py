@@ -3,34 +3,28 @@
 Reads prune partitions by ``year``; writes overwrite only the years present
 in the written frame (dynamic partition overwrite), with bounded file size
 and zstd.  An upsert merges a batch with the stored rows of the years it
-touches, keeps one survivor per key, and stages the result in the shared
-checkpoint folder before overwriting, so a retried task never reads a
-half-written partition.
+touches and keeps one survivor per key; Spark's dynamic overwrite replaces
+partitions at commit, after every task has read its input.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import require_columns, survivorship_dedup
-from ..operators.union import union_aligned
+from ..operators.union import aligned_schema, union_aligned
 from ..session import scratch_path
 from ..specs import SETTINGS
 
 YEAR = SETTINGS.partition_column
 
 
-def _local_dir(path: str) -> str | None:
-    """The local directory of a ``file:`` or scheme-less path, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):] or "/"
-    return None if "://" in path else path
+#: What a read of a dataset that was never written raises.
+_MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 class Lake:
@@ -55,7 +49,7 @@ class Lake:
     # ---- paths and reads -------------------------------------------------
     def path(self, layer: str, dataset: str) -> str:
         if layer not in SETTINGS.layers:
-            raise KeyError(f"unsupported layer: {layer}")
+            raise KeyError(f"no layer {layer!r}; the layers are {SETTINGS.layers}")
         return f"{self.root}/{layer}/{dataset}"
 
     def scan(self, layer: str, dataset: str, schema: T.StructType | None = None,
@@ -64,30 +58,23 @@ class Lake:
         dataset never written gives ``None`` -- or an empty frame of
         ``schema`` when one is given."""
         path = self.path(layer, dataset)
-        local = _local_dir(path)
-        if local is not None and not os.path.isdir(local):
-            # a local lake (tests) answers without a failing read
-            return None if schema is None else self.spark.createDataFrame([], schema)
         try:
             reader = self.spark.read
             if schema is not None:
                 reader = reader.schema(schema)
             elif merge_schema:
                 # years written by different batches may add columns: the
-                # union of the file schemas (a conflicting type raises)
+                # union of the file schemas, which writes keep free of conflicts
                 reader = reader.option("mergeSchema", "true")
             return reader.parquet(path)
         except AnalysisException as exc:
-            msg = str(exc)
-            if "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg or "does not exist" in msg:
-                if schema is None:
-                    return None
-                return self.spark.createDataFrame([], schema)
-            raise
+            if exc.getCondition() not in _MISSING:
+                raise
+            return None if schema is None else self.spark.createDataFrame([], schema)
 
     def read_year(self, layer: str, dataset: str, year: int) -> DataFrame | None:
-        """One year: a partition filter, so only that directory is listed
-        and read (``PartitionFilters`` in the scan)."""
+        """One year: a partition filter (``PartitionFilters`` in the scan), so
+        only that directory's rows are read."""
         df = self.scan(layer, dataset)
         return None if df is None else df.where(F.col(YEAR) == int(year))
 
@@ -102,9 +89,12 @@ class Lake:
         """Overwrite the years present in ``df`` (other years untouched).
 
         ``year`` comes from ``date_col`` unless the frame has it already;
-        rows without a year are not written.  Rows are sorted within each
-        task by year and ``sort_cols`` so Parquet row-group statistics prune
-        later key lookups.  Returns the years written (bounded list).
+        rows without a year are not written.  Rows are dealt out by ranges of
+        year and ``sort_cols`` and sorted, so a year's files do not overlap
+        and their statistics prune later key lookups.  Where a column's type
+        differs from the stored one, the years that stay are rewritten with
+        the common type as well (text wins).  Returns the years written
+        (bounded list).
         """
         out = df
         if YEAR not in out.columns:
@@ -113,10 +103,18 @@ class Lake:
             require_columns(out, [date_col], "partition date")
             out = out.withColumn(YEAR, F.year(date_col))
         out = out.withColumn(YEAR, F.col(YEAR).cast("int")).where(F.col(YEAR).isNotNull())
+        stored = self.scan(layer, dataset)
+        if stored is not None and _conflicts(stored, out):
+            own = [r[0] for r in out.select(YEAR).distinct().collect()]
+            out = self.stage(union_aligned([out, stored.where(~F.col(YEAR).isin(own))]), "widened")
+        return self._overwrite(layer, dataset, out, sort_cols)
+
+    def _overwrite(self, layer: str, dataset: str, out: DataFrame, sort_cols=()) -> list[int]:
         # the years written are observed during the write itself (no pre-pass)
         obs = Observation(f"years-{dataset}-{uuid.uuid4().hex[:8]}")
-        out = out.observe(obs, F.collect_set(YEAR).alias("years"))
-        (out.sortWithinPartitions(YEAR, *[c for c in sort_cols if c in out.columns])
+        order = [YEAR, *[c for c in sort_cols if c in out.columns]]
+        out = out.repartitionByRange(*order).observe(obs, F.collect_set(YEAR).alias("years"))
+        (out.sortWithinPartitions(*order)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", SETTINGS.max_rows_per_file)
@@ -134,23 +132,20 @@ class Lake:
         return self.spark.read.parquet(path)
 
     def upsert(self, layer: str, dataset: str, batch: DataFrame, key, date_col: str,
-               order_first=(), drop_date: bool = False,
-               broadcast_rows: int | None = None) -> list[int]:
+               order_first=(), drop_date: bool = False) -> list[int]:
         """Merge ``batch`` into the years it touches.
 
         New rows are tagged batch 1, stored rows batch 0; the survivorship
         rule ranks update flag, then completeness, then newer batch, then a
-        total order.  Only touched years are read and rewritten.  A missing
-        partition column is an error; rows with a null partition year are not
-        written.  ``drop_date`` removes a helper partition-date column before
-        storing.  Returns the years written.
-
-        A batch of at most ``broadcast_rows`` rows (its size is counted while
-        it is staged) broadcasts its keys: only stored rows sharing a key
-        with the batch join the ranking shuffle, the rest of the touched
-        years streams through unshuffled.  Stored rows are unique per key
-        (every upsert leaves them so), so the result is the full merge's.
-        Larger batches rank the whole union of the touched years.
+        total order over all rows of the touched years.  Only touched years
+        are read and rewritten, unless a column's type has to widen: then the
+        other years are rewritten with the common type, their rows as they
+        are.  A missing partition column is an error; rows with a null
+        partition year are not written.  ``drop_date`` removes a helper
+        partition-date column before storing.  Returns the years of the batch.
+
+        The years are replaced when the write commits, after every task has
+        read them, so the merge needs no second copy.
         """
         key = list(key)
         require_columns(batch, [date_col], "partition date")
@@ -183,21 +178,13 @@ class Lake:
         if not years:
             return []
         existing = stored.where(F.col(YEAR).isin(years))
-        limit = SETTINGS.merge_broadcast_rows if broadcast_rows is None else broadcast_rows
-        untouched = None
-        if metrics.get("rows", 0) <= limit:
-            keys = F.broadcast(new.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(key)]).distinct())
-            same = reduce(lambda a, b: a & b, [existing[k].eqNullSafe(keys[f"__k{i}"]) for i, k in enumerate(key)])
-            untouched = existing.join(keys, same, "left_anti")
-            existing = existing.join(keys, same, "left_semi")
         merged = union_aligned([new.withColumn("__batch", F.lit(1)), existing.withColumn("__batch", F.lit(0))])
         survivors = survivorship_dedup(merged, key, order_first=["__batch", *order_first],
                                        score_exclude=[YEAR, "__batch"]).drop("__batch")
-        if untouched is not None:
-            survivors = union_aligned([survivors, untouched])
-        # the merge reads the years it overwrites: stage it first
-        staged = self.stage(survivors.sortWithinPartitions(YEAR, *key))
-        return self.write_years(layer, dataset, staged, sort_cols=key)
+        if _conflicts(stored, new):
+            survivors = union_aligned([survivors, stored.where(~F.col(YEAR).isin(years))])
+        self._overwrite(layer, dataset, survivors, sort_cols=key)
+        return years
 
     # ---- logs ---------------------------------------------------------------
     def partition_log(self, layer: str, dataset: str, years=None) -> DataFrame | None:
@@ -214,3 +201,9 @@ class Lake:
                        F.count_distinct("__file").alias("file_count"))
                   .select(F.lit(layer).alias("layer"), F.lit(dataset).alias("dataset_name"),
                           YEAR, "row_count", "file_count"))
+
+
+def _conflicts(stored: DataFrame, new: DataFrame) -> bool:
+    """Whether writing ``new`` beside ``stored`` needs a column to widen."""
+    together = aligned_schema([stored, new])
+    return any(f.dataType != together[f.name] for df in (stored, new) for f in df.schema.fields if f.name in stored.columns)

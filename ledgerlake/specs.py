@@ -31,14 +31,11 @@ class TableSpec:
 class Settings:
     daily_backfill_days: int = 5          # trading days re-read by a daily update
     financial_backfill_days: int = 90     # calendar days re-read for statements
-    daily_window_days: int = 120          # request window of a history build
-    financial_window_days: int = 90
     partition_column: str = "year"
     parquet_compression: str = "zstd"
     max_rows_per_file: int = 250_000
     default_exchange: str = "SSE"
     concurrent_tables: int = 8            # landing tables processed as concurrent Spark jobs
-    merge_broadcast_rows: int = 1_000_000  # an upsert batch up to this size broadcasts its keys
     layers: tuple[str, ...] = field(default=("ods", "dwd", "dws"))
 
 

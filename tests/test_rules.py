@@ -87,17 +87,16 @@ def test_financial_events_query_needs_a_symbol_and_bounds_years(spark, lake):
         query_financial_events(lake, "")
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 10**6])
-def test_upsert_key_broadcast_path_equals_full_merge(spark, lake, broadcast_rows):
+def test_upsert_keeps_the_fuller_row_and_null_keys(spark, lake):
     base = spark.createDataFrame(
         [("A", D(2024, 1, 2), 1.0, None), ("B", D(2024, 1, 2), 2.0, "x"), (None, D(2024, 1, 3), 3.0, None),
          ("C", D(2024, 2, 1), 4.0, "y")], "ts_code string, trade_date date, close double, tag string")
     key = ["ts_code", "trade_date"]
-    lake.upsert("dwd", "daily", base, key, "trade_date", broadcast_rows=broadcast_rows)
+    lake.upsert("dwd", "daily", base, key, "trade_date")
     upd = spark.createDataFrame(
         [("A", D(2024, 1, 2), 5.0, "z"), ("B", D(2024, 1, 2), None, None), (None, D(2024, 1, 3), 6.0, None)],
         "ts_code string, trade_date date, close double, tag string")
-    lake.upsert("dwd", "daily", upd, key, "trade_date", broadcast_rows=broadcast_rows)
+    lake.upsert("dwd", "daily", upd, key, "trade_date")
     got = {r.ts_code: (r.close, r.tag) for r in lake.scan("dwd", "daily").collect()}
     # A: fuller new row wins; B: old fuller row stays; null key: tie on completeness -> newer batch
     assert got == {"A": (5.0, "z"), "B": (2.0, "x"), None: (6.0, None), "C": (4.0, "y")}
