@@ -1,6 +1,7 @@
 """Year-partitioned Parquet lake: ``<root>/<layer>/<dataset>/year=YYYY/``.
 
-Reads prune partitions by ``year``; writes overwrite only the years present
+Reads take the dataset's schema from ``<root>/schemas/`` and prune partitions
+by ``year``; writes overwrite only the years present
 in the written frame (dynamic partition overwrite), with bounded file size
 and zstd.  An upsert merges a batch with the stored rows of the years it
 touches and keeps one survivor per key; Spark's dynamic overwrite replaces
@@ -9,6 +10,7 @@ partitions at commit, after every task has read its input.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -54,34 +56,82 @@ class Lake:
 
     def scan(self, layer: str, dataset: str, schema: T.StructType | None = None,
              merge_schema: bool = True) -> DataFrame | None:
-        """All years of a dataset (``year`` exposed as an int column).  A
-        dataset never written gives ``None`` -- or an empty frame of
-        ``schema`` when one is given."""
+        """All years of a dataset (``year`` exposed as an int column), by the
+        schema kept beside the data, so planning opens no file.  A dataset
+        never written gives ``None`` -- or an empty frame of ``schema`` when
+        one is given."""
         path = self.path(layer, dataset)
+        if schema is None:
+            reader = self._reader(self._noted(layer, dataset)[1], merge_schema)
+        else:
+            reader = self.spark.read.schema(schema)
         try:
-            reader = self.spark.read
-            if schema is not None:
-                reader = reader.schema(schema)
-            elif merge_schema:
-                # years written by different batches may add columns: the
-                # union of the file schemas, which writes keep free of conflicts
-                reader = reader.option("mergeSchema", "true")
             return reader.parquet(path)
         except AnalysisException as exc:
             if exc.getCondition() not in _MISSING:
                 raise
             return None if schema is None else self.spark.createDataFrame([], schema)
 
+    def _reader(self, noted: T.StructType | None, merge_schema: bool = True):
+        if noted is not None:
+            return self.spark.read.schema(noted)
+        # no schema noted (an older lake, or a write that did not finish): the
+        # union of the file schemas, which writes keep free of conflicts
+        return self.spark.read.option("mergeSchema", str(merge_schema).lower())
+
     def read_year(self, layer: str, dataset: str, year: int) -> DataFrame | None:
-        """One year: a partition filter (``PartitionFilters`` in the scan), so
-        only that directory's rows are read."""
-        df = self.scan(layer, dataset)
-        return None if df is None else df.where(F.col(YEAR) == int(year))
+        """One year: only its directory is listed and read."""
+        return self.read_years(layer, dataset, [year])
 
     def read_years(self, layer: str, dataset: str, years) -> DataFrame | None:
-        df = self.scan(layer, dataset)
+        """The given years, those never written giving no rows: only their
+        directories are listed.  A dataset never written gives ``None``."""
         years = sorted({int(y) for y in years})
-        return None if df is None else df.where(F.col(YEAR).isin(years))
+        noted = self._noted(layer, dataset)[1]
+        if noted is None:
+            df = self.scan(layer, dataset)
+            return None if df is None else df.where(F.col(YEAR).isin(years))
+        path = self.path(layer, dataset)
+
+        def read(some) -> DataFrame | None:
+            try:
+                return self._reader(noted).option("basePath", path).parquet(*[f"{path}/{YEAR}={y}" for y in some])
+            except AnalysisException as exc:
+                if exc.getCondition() not in _MISSING:
+                    raise
+                return None
+
+        df = read(years) if years else None
+        if df is None:
+            held = [y for y in years if read([y]) is not None] if len(years) > 1 else []
+            df = read(held) if held else self.spark.createDataFrame([], noted)
+        return df.where(F.col(YEAR).isin(years))
+
+    # ---- schema beside the data -------------------------------------------
+    def _schema_path(self, layer: str, dataset: str) -> str:
+        return f"{self.root}/schemas/{layer}/{dataset}"
+
+    def _noted(self, layer: str, dataset: str) -> tuple[int, T.StructType | None]:
+        """(version, schema) last noted for a dataset: one row per change of
+        schema, the latest holds; a version without a schema marks a change
+        under way."""
+        path = self._schema_path(layer, dataset)
+        try:
+            notes = self.spark.read.schema("version long, schema string").json(path)
+        except AnalysisException as exc:
+            if exc.getCondition() not in _MISSING:
+                raise
+            return 0, None
+        last = notes.agg(F.max("version").alias("version"), F.max_by("schema", "version").alias("schema")).first()
+        if not last["schema"]:
+            return last["version"] or 0, None
+        return last["version"], T.StructType.fromJson(json.loads(last["schema"]))
+
+    def _note(self, layer: str, dataset: str, version: int, schema: T.StructType | None) -> None:
+        text = F.lit(None if schema is None else schema.json()).cast("string")
+        (self.spark.range(1, numPartitions=1)
+             .select(F.lit(version).cast("long").alias("version"), text.alias("schema"))
+             .write.mode("append").json(self._schema_path(layer, dataset)))
 
     # ---- writes -----------------------------------------------------------
     def write_years(self, layer: str, dataset: str, df: DataFrame, date_col: str | None = None,
@@ -107,9 +157,18 @@ class Lake:
         if stored is not None and _conflicts(stored, out):
             own = [r[0] for r in out.select(YEAR).distinct().collect()]
             out = self.stage(union_aligned([out, stored.where(~F.col(YEAR).isin(own))]), "widened")
-        return self._overwrite(layer, dataset, out, sort_cols)
+        return self._overwrite(layer, dataset, out, stored, sort_cols)
 
-    def _overwrite(self, layer: str, dataset: str, out: DataFrame, sort_cols=()) -> list[int]:
+    def _overwrite(self, layer: str, dataset: str, out: DataFrame, stored: DataFrame | None, sort_cols=()) -> list[int]:
+        # a change of schema is marked before the write and noted after it:
+        # a write that dies in between leaves reads by the files' schemas
+        types = aligned_schema([df for df in (stored, out) if df is not None])
+        types.pop(YEAR)
+        target = T.StructType([T.StructField(c, t) for c, t in types.items()] + [T.StructField(YEAR, T.IntegerType())])
+        version, noted = self._noted(layer, dataset)
+        changed = noted is None or _types(noted) != _types(target)
+        if changed:
+            self._note(layer, dataset, version + 1, None)
         # the years written are observed during the write itself (no pre-pass)
         obs = Observation(f"years-{dataset}-{uuid.uuid4().hex[:8]}")
         order = [YEAR, *[c for c in sort_cols if c in out.columns]]
@@ -122,6 +181,8 @@ class Lake:
             .partitionBy(YEAR)
             .parquet(self.path(layer, dataset)))
         years = sorted(obs.get.get("years") or [])
+        if changed and (years or stored is not None):
+            self._note(layer, dataset, version + 2, target)
         return years
 
     def stage(self, df: DataFrame, kind: str = "stage") -> DataFrame:
@@ -177,19 +238,19 @@ class Lake:
         self._count_null_years(layer, dataset, nulls)
         if not years:
             return []
-        existing = stored.where(F.col(YEAR).isin(years))
+        existing = self.read_years(layer, dataset, years)
         merged = union_aligned([new.withColumn("__batch", F.lit(1)), existing.withColumn("__batch", F.lit(0))])
         survivors = survivorship_dedup(merged, key, order_first=["__batch", *order_first],
                                        score_exclude=[YEAR, "__batch"]).drop("__batch")
         if _conflicts(stored, new):
             survivors = union_aligned([survivors, stored.where(~F.col(YEAR).isin(years))])
-        self._overwrite(layer, dataset, survivors, sort_cols=key)
+        self._overwrite(layer, dataset, survivors, stored, sort_cols=key)
         return years
 
     # ---- logs ---------------------------------------------------------------
     def partition_log(self, layer: str, dataset: str, years=None) -> DataFrame | None:
         """(layer, dataset_name, year, row_count, file_count) per stored year."""
-        # counts only: the partition column and file names, no schema merge
+        # counts only: the partition column and file names
         df = self.scan(layer, dataset, merge_schema=False)
         if df is None:
             return None
@@ -203,6 +264,10 @@ class Lake:
                           YEAR, "row_count", "file_count"))
 
 
+def _types(schema: T.StructType) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in schema.fields}
+
+
 def _conflicts(stored: DataFrame, new: DataFrame) -> bool:
     """Whether writing ``new`` beside ``stored`` needs a column to widen."""
     together = aligned_schema([stored, new])

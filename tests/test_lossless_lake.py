@@ -70,6 +70,29 @@ def test_files_of_a_year_do_not_overlap(spark, lake):
     assert spans and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_reads_open_no_file_of_other_years(spark, lake):
+    rows = spark.createDataFrame([("A", D(y, 1, 2), float(y)) for y in (1995, 1996, 1997)], "ts_code string, trade_date date, v double")
+    lake.write_years("dwd", "daily", rows, "trade_date")
+    # a file that is no Parquet: opening its footer would raise
+    path = lake.path("dwd", "daily")
+    spark.range(1).selectExpr("'broken' AS value").write.mode("overwrite").text(f"{path}/year=1995")
+    assert [r.v for r in lake.read_year("dwd", "daily", 1997).collect()] == [1997.0]
+    assert [r.v for r in lake.read_years("dwd", "daily", [1996, 2050]).collect()] == [1996.0]
+    assert lake.read_year("dwd", "daily", 2050).collect() == []
+    lake.upsert("dwd", "daily", spark.createDataFrame([("B", D(1997, 1, 2), 1.0, "n")], "ts_code string, trade_date date, v double, note string"), KEY, "trade_date")
+    got = sorted((r.ts_code, r.v, r.note) for r in lake.read_year("dwd", "daily", 1997).collect())
+    assert got == [("A", 1997.0, None), ("B", 1.0, "n")]
+
+
+def test_a_schema_change_that_did_not_finish_is_read_from_the_files(spark, lake):
+    lake.write_years("dwd", "daily", spark.createDataFrame([("A", D(2024, 1, 2), 1)], "ts_code string, trade_date date, v int"), "trade_date")
+    lake._note("dwd", "daily", 99, None)
+    assert [r.v for r in lake.scan("dwd", "daily").collect()] == [1]
+    lake.upsert("dwd", "daily", spark.createDataFrame([("B", D(2024, 1, 2), "x")], "ts_code string, trade_date date, v string"), KEY, "trade_date")
+    assert lake._noted("dwd", "daily")[0] == 101
+    assert sorted(r.v for r in lake.scan("dwd", "daily").collect()) == ["1", "x"]
+
+
 def test_a_cluster_without_a_shared_folder_is_an_error():
     class Conf:
         def get(self, key, default=None):
