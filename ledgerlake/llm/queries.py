@@ -122,3 +122,69 @@ ORACLES["op6_secret_scan"] = _span_sql(
 @query
 def op10_personal_data(spark, sf_dir):
     return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+# ---- SQL of the word operators -------------------------------------------------------------
+#: Words between white space, and words of digits, a-z and all beyond ASCII.
+SPACED = r"[^\x20\x09-\x0D]+"
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: A-Z to a-z, nothing else.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _windows(words: str, size: str) -> str:
+    """DuckDB: each window of ``size`` consecutive words, joined by a character
+    that no word holds."""
+    return f"list_transform(range(1, len({words}) - {size} + 2), lambda i: array_to_string({words}[i:i + {size} - 1], ' '))"
+
+
+def _quality_sql() -> str:
+    lengths = [3, *quality.GRAMS]
+    union = " UNION ALL ".join(
+        f"SELECT doc_id, {n} AS n, unnest({_windows('w', str(n))}) AS g, unnest(range(1, len(w) - {n} + 2)) AS pos FROM docs" for n in lengths)
+    dups = ", ".join(f"coalesce(sum(length(w[k])) FILTER (n = {n}), 0) AS dup{n}_chars" for n in quality.GRAMS)
+    bad = " OR ".join([f"100 * dup_line_chars > {quality.MAX_LINE_PERCENT} * line_chars", f"100 * n_symbols > {quality.MAX_SYMBOL_PERCENT} * n_words",
+                       *[f"100 * dup{n}_chars > {most} * word_chars" for n, most in quality.MAX_GRAM_PERCENT.items()]])
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{SPACED}') AS w FROM documents),
+places AS ({union}),
+twice AS (SELECT doc_id, n, pos FROM places QUALIFY count(*) OVER (PARTITION BY doc_id, n, g) > 1),
+covered AS (SELECT DISTINCT doc_id, n, k FROM (SELECT doc_id, n, unnest(range(pos, pos + n)) AS k FROM twice)),
+grams AS (SELECT doc_id, count(*) FILTER (n = 3) AS n_repeat_words, {dups} FROM covered JOIN docs USING (doc_id) GROUP BY doc_id),
+lines AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) AS nth
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs) WHERE regexp_matches(line, '{SPACED}')),
+lined AS (SELECT doc_id, count(*) FILTER (nth > 1) AS n_dup_lines, coalesce(sum(length(line)) FILTER (nth > 1), 0) AS dup_line_chars, sum(length(line)) AS line_chars FROM lines GROUP BY doc_id),
+measured AS (SELECT docs.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
+  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, {', '.join(f'coalesce({c}, 0) AS {c}' for c in ['n_dup_lines', 'n_repeat_words', 'dup_line_chars', 'line_chars', *[f'dup{n}_chars' for n in quality.GRAMS]])}
+  FROM docs LEFT JOIN grams ON docs.doc_id = grams.doc_id LEFT JOIN lined ON docs.doc_id = lined.doc_id),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
+SELECT doc_id, {', '.join(f'CAST({m} AS BIGINT) AS {m}' for m in quality.MEASURES)}, base_failed, NOT base_failed AND NOT ({bad}) AS kept FROM judged"""
+
+
+ORACLES["op2_quality_rules"] = _quality_sql()
+
+ORACLES["op3_near_duplicates"] = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{SPACED}') AS w FROM documents),
+sets AS (SELECT doc_id, list_sort(list_distinct({_windows('w', f'least({neardup.SHINGLE}, len(w))')})) AS s FROM docs WHERE len(w) > 0),
+node AS (SELECT doc_id, len(s) AS n, min(doc_id) OVER (PARTITION BY s) AS rep FROM sets),
+grams AS (SELECT rep AS doc_id, n, unnest(s) AS g FROM node JOIN sets USING (doc_id) WHERE rep = doc_id),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id
+    AND 100 * a.n >= {neardup.LINK_PERCENT} * b.n AND 100 * b.n >= {neardup.LINK_PERCENT} * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {neardup.LINK_PERCENT} * (a.n + b.n - count(*))),
+reach AS (SELECT rep AS x, rep AS y FROM node
+  UNION SELECT reach.x, ways.b FROM reach JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) AS ways ON reach.y = ways.a),
+least_of AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT documents.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, documents.doc_id) AS component_id, coalesce(component_id, documents.doc_id) = documents.doc_id AS kept
+FROM documents LEFT JOIN node ON documents.doc_id = node.doc_id LEFT JOIN least_of ON rep = x"""
+
+ORACLES["op4_decontamination"] = f"""
+WITH docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{ALNUM}') AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all({_LOWER}, '{ALNUM}') AS w FROM benchmark),
+sought AS (SELECT DISTINCT item_id, least({decontaminate.WINDOW}, len(w)) AS n, unnest({_windows('w', f'least({decontaminate.WINDOW}, len(w))')}) AS g FROM items WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM sought),
+places AS (SELECT doc_id, n, unnest({_windows('w', 'n')}) AS g, unnest(range(1, len(w) - n + 2)) AS pos FROM docs, sizes),
+found AS (SELECT doc_id, item_id, n, pos FROM places JOIN sought USING (n, g)),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS k FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT docs.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit ON docs.doc_id = hit.doc_id LEFT JOIN named ON docs.doc_id = named.doc_id"""
