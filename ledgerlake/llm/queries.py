@@ -188,3 +188,16 @@ hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(ra
 named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
 SELECT docs.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit ON docs.doc_id = hit.doc_id LEFT JOIN named ON docs.doc_id = named.doc_id"""
+
+ORACLES["op5_suffix_dedup"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+starts AS (SELECT r, unnest(range(1, octet_length(b) - {suffixes.LENGTH - 2})) AS i, b FROM docs WHERE octet_length(b) >= {suffixes.LENGTH}),
+keyed AS (SELECT r, i, md5_number(b[i:i + {suffixes.LENGTH - 1}]) AS g FROM starts),
+twice AS (SELECT r, i FROM keyed WHERE g IN (SELECT g FROM keyed GROUP BY g HAVING count(*) > 1)),
+steps AS (SELECT r, i, i > coalesce(max(i) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -{suffixes.LENGTH}) + {suffixes.LENGTH} AS fresh FROM twice),
+runs AS (SELECT r, k, min(i) AS a, max(i) + {suffixes.LENGTH} AS z FROM (SELECT r, i, sum(CAST(fresh AS INT)) OVER (PARTITION BY r ORDER BY i) AS k FROM steps) GROUP BY r, k),
+pieces AS (SELECT r, a, z, lag(z, 1, 1) OVER (PARTITION BY r ORDER BY a) AS before FROM runs),
+cut AS (SELECT pieces.r, count(*) AS n_spans, sum(z - a) AS n_removed, max(z) AS last, string_agg(hex(b[before:a - 1]), '' ORDER BY a) AS head FROM pieces JOIN docs ON docs.r = pieces.r GROUP BY pieces.r)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head, '') || hex(b[coalesce(last, 1):]))) AS kept_sha256
+FROM docs LEFT JOIN cut ON docs.r = cut.r"""
