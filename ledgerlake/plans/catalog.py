@@ -757,6 +757,43 @@ def q_upsert_idempotent(spark, d):
     return _upsert_run(spark, d, 2)
 
 
+_CUTS = (1, 3, 10)
+
+
+@query("upsert_batch_cuts", with_fixtures(["bars_raw"], f"""
+SELECT n_batches, ts_code, trade_date, close, tag, event_id
+FROM daily, (VALUES {', '.join(f'({n})' for n in _CUTS)}) AS t(n_batches)""", DAILY_SQL))
+def q_upsert_batch_cuts(spark, d):
+    """The same rows in 1, 3 and 10 batches that share keys give one table."""
+    out = []
+    for n in _CUTS:
+        lake = _new_lake(spark)
+        for k in range(n):
+            batch = fx.bars_raw(spark, d).where(F.col("event_id") % n == k)
+            frame = clean_table("daily", batch, numeric_columns=["close"], order_first=["event_id"]).frame
+            lake.upsert("dwd", "daily", frame, ("ts_code", "trade_date"), "trade_date", order_first=["event_id"])
+        out.append(lake.scan("dwd", "daily").select(F.lit(n).alias("n_batches"), "ts_code", "trade_date", "close", "tag", "event_id"))
+    return union_aligned(out)
+
+
+@query("upsert_type_drift", """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate,
+       CASE o_orderkey % 3 WHEN 1 THEN CAST(o_custkey AS VARCHAR) WHEN 2 THEN o_orderpriority END AS note,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_custkey ELSE o_custkey * 8589934592 END AS volume
+FROM orders""")
+def q_upsert_type_drift(spark, d):
+    """A column that is empty, then numbers, then text, and one that outgrows
+    its integer: every year keeps every value."""
+    lake = _new_lake(spark)
+    o = fx.table(spark, d, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+    key = F.col("o_custkey").cast("int")
+    for k, (note, volume) in enumerate([(F.lit(None).cast("int"), key), (key, F.col("o_custkey") * 8589934592),
+                                        (F.col("o_orderpriority"), F.col("o_custkey") * 8589934592)]):
+        batch = o.where(F.col("o_orderkey") % 3 == k).select("o_orderkey", "o_orderdate", note.alias("note"), volume.alias("volume"))
+        lake.upsert("dwd", "orders", batch, ["o_orderkey"], "o_orderdate")
+    return lake.scan("dwd", "orders").select("o_orderkey", "o_orderdate", "note", "volume")
+
+
 @query("quality_report", with_fixtures(["bars_raw", "fin"], """
 SELECT 'daily' AS table_name, CAST((SELECT COUNT(*) FROM bars) AS BIGINT) AS rows_before,
        CAST((SELECT COUNT(*) FROM daily) AS BIGINT) AS rows_after,
@@ -860,7 +897,8 @@ def q_rebuild_affected_years(spark, d):
 # ---- whole flows ------------------------------------------------------------------------------
 def _landing(spark, d) -> dict[str, DataFrame]:
     out = {"daily": fx.bars_raw(spark, d), "daily_basic": fx.basic(spark, d), "adj_factor": fx.adj(spark, d),
-           "trade_cal": fx.cal_raw(spark, d), "stock_basic": _stock_raw(spark, d)}
+           "trade_cal": fx.cal_raw(spark, d), "stock_basic": _stock_raw(spark, d),
+           "suspend_d": fx.suspend_raw(spark, d), "stk_limit": fx.limit_raw(spark, d)}
     out.update(_statement_slices(spark, d))
     return out
 
@@ -868,7 +906,7 @@ def _landing(spark, d) -> dict[str, DataFrame]:
 _ORDER_HINTS = ["event_id", "o_orderkey"]
 
 
-_FLOW_CTES = DAILY_SQL + ",\n" + STOCK_RAW_SQL + ",\n" + EVENTS_SQL + """,
+_FLOW_CTES = MASTER_SQL + ",\n" + STOCK_RAW_SQL + ",\n" + EVENTS_SQL + """,
 ods AS (
   SELECT 'daily' AS ds, CASE WHEN event_id % 4 IN (0, 1) THEN CAST(substr(trade_date, 1, 4) AS INTEGER) ELSE 2015 END AS year,
          ts_code AS k1, trade_date AS k2, CAST(NULL AS VARCHAR) AS k3 FROM bars_raw
@@ -876,43 +914,80 @@ ods AS (
   UNION ALL SELECT 'adj_factor', CAST(year(trade_date) AS INTEGER), ts_code, CAST(trade_date AS VARCHAR), NULL FROM adj
   UNION ALL SELECT 'trade_cal', CAST(year(cal_date) AS INTEGER), exchange, CAST(cal_date AS VARCHAR), NULL FROM cal
   UNION ALL SELECT 'stock_basic', CAST(substr(list_date, 1, 4) AS INTEGER), ts_code, NULL, NULL FROM stock_raw
+  UNION ALL SELECT 'suspend_d', CAST(substr(trade_date, 1, 4) AS INTEGER), ts_code, trade_date, NULL FROM suspend_raw
+  UNION ALL SELECT 'stk_limit', CAST(substr(trade_date, 1, 4) AS INTEGER), ts_code, trade_date, NULL FROM limit_raw
   UNION ALL SELECT src, COALESCE(CAST(substr(ann_date, 1, 4) AS INTEGER), 2015), ts_code, end_date, ann_date FROM fin_raw),
+suspend_d AS (
+  SELECT *, CAST(strptime(trade_date, '%Y%m%d') AS DATE) AS day FROM suspend_raw
+  QUALIFY row_number() OVER (PARTITION BY ts_code, trade_date
+          ORDER BY CAST(suspend_timing IS NOT NULL AS INT) DESC, event_id DESC) = 1),
+stk_limit AS (
+  SELECT *, CAST(strptime(trade_date, '%Y%m%d') AS DATE) AS day FROM limit_raw
+  QUALIFY row_number() OVER (PARTITION BY ts_code, trade_date ORDER BY event_id DESC) = 1),
 dwd AS (
-  SELECT 'daily' AS ds, CAST(year(trade_date) AS INTEGER) AS year FROM daily
-  UNION ALL SELECT 'daily_basic', CAST(year(trade_date) AS INTEGER) FROM basic
-  UNION ALL SELECT 'adj_factor', CAST(year(trade_date) AS INTEGER) FROM adj
-  UNION ALL SELECT 'trade_cal', CAST(year(cal_date) AS INTEGER) FROM cal
-  UNION ALL SELECT 'stock_basic', CAST(substr(list_date, 1, 4) AS INTEGER) FROM (SELECT DISTINCT ts_code, list_date FROM stock_raw)
-  UNION ALL SELECT source_table, CAST(year(real_ann_date) AS INTEGER) FROM events_stream),
+  SELECT 'daily' AS ds, CAST(year(trade_date) AS INTEGER) AS year, event_id + coalesce(CAST(round(close * 100) AS BIGINT), 0) AS v FROM daily
+  UNION ALL SELECT 'daily_basic', CAST(year(trade_date) AS INTEGER), event_id FROM basic
+  UNION ALL SELECT 'adj_factor', CAST(year(trade_date) AS INTEGER), event_id FROM adj
+  UNION ALL SELECT 'trade_cal', CAST(year(cal_date) AS INTEGER), CASE WHEN exchange = 'SSE' AND day(cal_date) = 13 THEN 0 ELSE is_open END FROM cal
+  UNION ALL SELECT 'stock_basic', CAST(substr(list_date, 1, 4) AS INTEGER), CAST(round(CAST(acctbal AS DOUBLE) * 100) AS BIGINT) FROM (SELECT DISTINCT ts_code, list_date, acctbal FROM stock_raw)
+  UNION ALL SELECT 'suspend_d', CAST(year(day) AS INTEGER), event_id + coalesce(length(suspend_timing), 0) FROM suspend_d
+  UNION ALL SELECT 'stk_limit', CAST(year(day) AS INTEGER), event_id + CAST(round(CAST(up_limit AS DOUBLE) * 100) AS BIGINT) FROM stk_limit
+  UNION ALL SELECT source_table, CAST(year(real_ann_date) AS INTEGER), o_orderkey FROM events_stream),
 dws AS (
-  SELECT 'daily_master' AS ds, CAST(year(trade_date) AS INTEGER) AS year FROM daily
-  UNION ALL SELECT 'financial_events', CAST(year(real_ann_date) AS INTEGER) FROM events_stream)"""
-
-
-@query("history_build", with_fixtures(["bars_raw", "basic", "adj", "cal", "fin_raw"], """
-SELECT 'ods' AS layer, ds AS dataset_name, year, COUNT(*) AS row_count
+  SELECT 'daily_master' AS ds, CAST(year(trade_date) AS INTEGER) AS year, event_id + coalesce(event_id_daily_basic, 0) + coalesce(event_id_adj_factor, 0) AS v FROM master
+  UNION ALL SELECT 'financial_events', CAST(year(real_ann_date) AS INTEGER), o_orderkey FROM events_stream)"""
+
+#: What the checksum of a stored dataset sums.
+_CHECKED = {
+    ("dwd", "daily"): "event_id + coalesce(cast(round(close * 100) AS bigint), 0)",
+    ("dwd", "trade_cal"): "coalesce(is_open, 0)",
+    ("dwd", "stock_basic"): "cast(round(acctbal * 100) AS bigint)",
+    ("dwd", "suspend_d"): "event_id + coalesce(length(suspend_timing), 0)",
+    ("dwd", "stk_limit"): "event_id + cast(round(up_limit * 100) AS bigint)",
+    **{("dwd", n): "event_id" for n in ("daily_basic", "adj_factor")},
+    **{("dwd", n): "o_orderkey" for n in ("fina_indicator", "income", "balancesheet")},
+    ("dws", "daily_master"): "event_id + coalesce(event_id_daily_basic, 0) + coalesce(event_id_adj_factor, 0)",
+    ("dws", "financial_events"): "o_orderkey",
+}
+
+
+@query("history_build", with_fixtures(["bars_raw", "basic", "adj", "cal", "fin_raw", "suspend_raw", "limit_raw"], """
+SELECT 'ods' AS layer, ds AS dataset_name, year, COUNT(*) AS row_count, CAST(NULL AS BIGINT) AS checksum
 FROM (SELECT DISTINCT ds, year, k1, k2, k3 FROM ods) GROUP BY ds, year
-UNION ALL SELECT 'dwd', ds, year, COUNT(*) FROM dwd GROUP BY ds, year
-UNION ALL SELECT 'dws', ds, year, COUNT(*) FROM dws GROUP BY ds, year""", _FLOW_CTES))
+UNION ALL SELECT 'dwd', ds, year, COUNT(*), CAST(SUM(v) AS BIGINT) FROM dwd GROUP BY ds, year
+UNION ALL SELECT 'dws', ds, year, COUNT(*), CAST(SUM(v) AS BIGINT) FROM dws GROUP BY ds, year""", _FLOW_CTES))
 def q_history_build(spark, d):
     lake = _new_lake(spark)
-    return history_build(spark, lake.root, _landing(spark, d), "20150101", order_first=_ORDER_HINTS)
+    log = history_build(spark, lake.root, _landing(spark, d), "20150101", order_first=_ORDER_HINTS)
+    sums = union_aligned([
+        lake.scan(layer, name).groupBy("year").agg(F.sum(F.expr(e).cast("long")).alias("checksum"))
+            .select(F.lit(layer).alias("layer"), F.lit(name).alias("dataset_name"), "year", "checksum")
+        for (layer, name), e in _CHECKED.items()])
+    return log.join(sums, ["layer", "dataset_name", "year"], "left").select("layer", "dataset_name", "year", "row_count", "checksum")
 
 
-@query("daily_update", with_fixtures(["bars_raw", "basic", "adj", "cal"], """
-SELECT m.ts_code, m.trade_date, m.event_id,
+@query("daily_update", with_fixtures(["bars_raw", "basic", "adj", "cal", "limit_raw"], """
+SELECT 'daily_master' AS dataset_name, m.ts_code, m.trade_date, m.event_id,
        CASE WHEN m.trade_date IN (SELECT cal_date FROM recent) AND m.close IS NOT NULL
             THEN CAST(printf('%.2f', e.value + 1) AS DOUBLE) ELSE m.close END AS close
-FROM master m JOIN events e ON m.event_id = e.event_id""", MASTER_SQL + ",\n" + _RECENT_SQL))
+FROM master m JOIN events e ON m.event_id = e.event_id
+UNION ALL SELECT 'stk_limit', ts_code, day, event_id,
+       CAST(CASE WHEN day IN (SELECT cal_date FROM recent) THEN later_limit ELSE up_limit END AS DOUBLE)
+FROM (SELECT *, CAST(strptime(trade_date, '%Y%m%d') AS DATE) AS day FROM limit_raw
+      QUALIFY row_number() OVER (PARTITION BY ts_code, trade_date ORDER BY event_id DESC) = 1)""", MASTER_SQL + ",\n" + _RECENT_SQL))
 def q_daily_update(spark, d):
     lake = _new_lake(spark)
-    base = {"daily": fx.bars_raw(spark, d), "daily_basic": fx.basic(spark, d), "adj_factor": fx.adj(spark, d)}
+    base = {"daily": fx.bars_raw(spark, d), "daily_basic": fx.basic(spark, d), "adj_factor": fx.adj(spark, d),
+            "stk_limit": fx.limit_raw(spark, d)}
     history_build(spark, lake.root, base, order_first=["event_id"])
     ev = fx.table(spark, d, "events").select("event_id", "value")
     bumped = (fx.bars_raw(spark, d).join(ev, "event_id")
               .withColumn("close", F.when(F.col("close").isNotNull(),
                                           F.format_string("%.2f", F.col("value") + 1)))
               .drop("value"))
-    daily_update(spark, lake.root, {"daily": bumped}, "20240128", calendar=fx.cal(spark, d),
-                 order_first=["event_id"])
-    return lake.scan("dws", "daily_master").select("ts_code", "trade_date", "event_id", "close")
+    daily_update(spark, lake.root, {"daily": bumped, "stk_limit": fx.limit_raw(spark, d, 20.0),
+                                    "trade_cal": fx.cal_raw(spark, d)}, "20240128", order_first=["event_id"])
+    master = lake.scan("dws", "daily_master").select(F.lit("daily_master").alias("dataset_name"), "ts_code", "trade_date", "event_id", "close")
+    limits = lake.scan("dwd", "stk_limit").select(F.lit("stk_limit").alias("dataset_name"), "ts_code", "trade_date", "event_id",
+                                                  F.col("up_limit").alias("close"))
+    return master.unionByName(limits)

@@ -197,8 +197,10 @@ class Lake:
         """Merge ``batch`` into the years it touches.
 
         New rows are tagged batch 1, stored rows batch 0; the survivorship
-        rule ranks update flag, then completeness, then newer batch, then a
-        total order over all rows of the touched years.  Only touched years
+        rule ranks update flag, then completeness, then ``order_first``, then
+        newer batch, then a total order over all rows of the touched years.
+        Where ``order_first`` tells a key's rows apart, any cut of the same
+        rows into batches gives the same table.  Only touched years
         are read and rewritten, unless a column's type has to widen: then the
         other years are rewritten with the common type, their rows as they
         are.  A missing partition column is an error; rows with a null
@@ -223,7 +225,7 @@ class Lake:
             # first write of the dataset: nothing to merge, the target is not
             # read, so the survivors are written straight (years observed)
             survivors = survivorship_dedup(new.withColumn("__batch", F.lit(1)), key,
-                                           order_first=["__batch", *order_first],
+                                           order_first=[*order_first, "__batch"],
                                            score_exclude=[YEAR, "__batch"]).drop("__batch")
             written = self.write_years(layer, dataset, survivors, sort_cols=key)
             self._count_null_years(layer, dataset, nulls)
@@ -240,7 +242,7 @@ class Lake:
             return []
         existing = self.read_years(layer, dataset, years)
         merged = union_aligned([new.withColumn("__batch", F.lit(1)), existing.withColumn("__batch", F.lit(0))])
-        survivors = survivorship_dedup(merged, key, order_first=["__batch", *order_first],
+        survivors = survivorship_dedup(merged, key, order_first=[*order_first, "__batch"],
                                        score_exclude=[YEAR, "__batch"]).drop("__batch")
         if _conflicts(stored, new):
             survivors = union_aligned([survivors, stored.where(~F.col(YEAR).isin(years))])

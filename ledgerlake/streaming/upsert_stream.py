@@ -24,7 +24,9 @@ def upsert_stream(spark: SparkSession, landing_dir: str, schema: T.StructType, l
     ``numeric_columns`` pins the typing of the dataset; without it the
     stored dataset's schema does (only columns it lacks are profiled), so
     micro-batches never flip a column type.  The stream checkpoint lives in
-    the shared folder.  ``max_files_per_trigger`` caps the files of one
+    the shared folder.  ``order_first`` ranks a key's rows before their batch
+    does, so micro-batch boundaries pick no survivors where it tells them
+    apart.  ``max_files_per_trigger`` caps the files of one
     micro-batch (``availableNow`` still drains the whole backlog).
     """
     sp = get_spec(table_name)
@@ -35,7 +37,8 @@ def upsert_stream(spark: SparkSession, landing_dir: str, schema: T.StructType, l
         known = dict(stored.dtypes) if stored is not None else None
         cleaned = clean_table(table_name, batch, numeric_columns=numeric_columns,
                               order_first=order_first, known_types=known).frame
-        lake.upsert("dwd", table_name, cleaned, sp.primary_key, sp.dwd_partition_column)
+        lake.upsert("dwd", table_name, cleaned, sp.primary_key, sp.dwd_partition_column,
+                    order_first=[c for c in order_first if not isinstance(c, str) or c in cleaned.columns])
 
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
