@@ -67,7 +67,8 @@ def table_quality(table_name: str, prepared: DataFrame, survivors: DataFrame, ke
 def nested_report(quality: DataFrame, nulls: DataFrame, partitions: DataFrame | None = None,
                   coverage: DataFrame | None = None) -> DataFrame:
     """One nested row per table: the quality counts, a map column -> null
-    count, and the list of (layer, year, row_count) partitions written.
+    count, and the list of partitions written (layer, year, row_count and,
+    where given, file_count and path).
 
     ``quality``: (table_name, rows_before, rows_after, pk_duplicates,
     nulls_total); ``nulls``: (table_name, column_name, null_count);
@@ -79,8 +80,9 @@ def nested_report(quality: DataFrame, nulls: DataFrame, partitions: DataFrame |
         F.map_from_entries(F.collect_list(F.struct("column_name", "null_count"))).alias("null_counts"))
     out = quality.join(null_maps, "table_name", "left")
     if partitions is not None:
+        kept = ["layer", "year", "row_count", *[c for c in ("file_count", "path") if c in partitions.columns]]
         parts = (partitions.groupBy(F.col("dataset_name").alias("table_name"))
-                 .agg(F.sort_array(F.collect_list(F.struct("layer", "year", "row_count"))).alias("partitions")))
+                 .agg(F.sort_array(F.collect_list(F.struct(*kept))).alias("partitions")))
         out = out.join(parts, "table_name", "left")
     if coverage is not None:
         out = out.join(coverage, "table_name", "left")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators.clean import clean_table, prepare_table
 from ..operators.dedup import dedup_counts, pk_duplicate_count, survivorship_dedup
@@ -689,6 +689,24 @@ def q_partition_write_log(spark, d):
     return _orders_lake(spark, d).partition_log("dwd", "orders").select("dataset_name", "year", "row_count")
 
 
+@query("write_layout", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS n_rows, TRUE AS many_files, TRUE AS within_bound,
+       0 AS overlapping_files
+FROM orders GROUP BY 1""")
+def q_write_layout(spark, d):
+    """Files of a year, at a low row bound: none above it, none overlapping
+    another by key."""
+    lake = Lake(spark, scratch_path(spark, "lake"), max_rows_per_file=100)
+    o = fx.table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"), "o_totalprice")
+    lake.write_years("dwd", "orders", o, "o_orderdate", sort_cols=("o_orderkey",))
+    files = (lake.scan("dwd", "orders").groupBy("year", F.input_file_name().alias("file"))
+             .agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("a"), F.max("o_orderkey").alias("z")))
+    earlier = F.max("z").over(Window.partitionBy("year").orderBy("a", "z").rowsBetween(Window.unboundedPreceding, -1))
+    return files.withColumn("overlaps", (F.col("a") <= earlier).cast("int")).groupBy("year").agg(
+        F.sum("n").alias("n_rows"), (F.count(F.lit(1)) > 1).alias("many_files"), (F.max("n") <= 100).alias("within_bound"),
+        F.coalesce(F.sum("overlaps"), F.lit(0)).cast("int").alias("overlapping_files"))
+
+
 @query("calendar_scan", with_fixtures(["cal"], "SELECT exchange, cal_date, is_open FROM cal"))
 def q_calendar_scan(spark, d):
     path = scratch_path(spark, "calendar")

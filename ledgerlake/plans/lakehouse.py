@@ -163,7 +163,7 @@ def history_build(spark: SparkSession, lake_root: str, landing: dict[str, DataFr
                   report_path: str | None = None, coverage_range=None) -> DataFrame:
     """Full build: every landing table through raw -> detail, then the
     summary products of every year the detail writes touched.  Returns the
-    lake's partition log (layer, dataset_name, year, row_count); with
+    run's write log (see ``lake_log``); with
     ``report_path`` the run's nested quality report is written there
     (with trade-date coverage over ``coverage_range`` when given)."""
     lake = Lake(spark, lake_root)
@@ -202,7 +202,8 @@ def daily_update(spark: SparkSession, lake_root: str, landing: dict[str, DataFra
     """Daily run: daily and auxiliary tables re-read for the last five open
     days up to ``as_of``, statements for the last 90 calendar days; each
     through raw -> detail; summary rebuilt for the touched years.  Rerunning
-    with the same input changes nothing (upserts are idempotent)."""
+    with the same input changes nothing (upserts are idempotent).  Returns the
+    write log of this run."""
     lake = Lake(spark, lake_root)
     cal = calendar
     if cal is None:
@@ -247,16 +248,10 @@ def daily_update(spark: SparkSession, lake_root: str, landing: dict[str, DataFra
 
 
 def lake_log(lake: Lake, datasets) -> DataFrame:
-    """Partition log of every stored (layer, dataset) among ``datasets``."""
-    logs = []
-    for layer in SETTINGS.layers:
-        for name in datasets:
-            log = lake.partition_log(layer, name)
-            if log is not None:
-                logs.append(log.select("layer", "dataset_name", YEAR, "row_count"))
+    """Write log of a run: path, rows and files of every year of ``datasets``
+    that was written through ``lake``; other years are not opened."""
+    logs = [lake.partition_log(layer, name, lake.written[layer, name])
+            for layer in SETTINGS.layers for name in datasets if lake.written.get((layer, name))]
     if not logs:
-        return lake.spark.createDataFrame([], "layer string, dataset_name string, year int, row_count long")
-    out = logs[0]
-    for log in logs[1:]:
-        out = out.unionByName(log)
-    return out
+        return lake.spark.createDataFrame([], "layer string, dataset_name string, year int, path string, row_count long, file_count long")
+    return reduce(DataFrame.unionByName, logs)

@@ -30,8 +30,11 @@ _MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, max_rows_per_file: int = SETTINGS.max_rows_per_file):
         self.spark = spark
+        self.max_rows_per_file = max_rows_per_file
+        # (layer, dataset) -> years written through this object
+        self.written: dict[tuple[str, str], set[int]] = {}
         self.root = root.rstrip("/")
         # (layer, dataset) -> rows an upsert did not write for lack of a
         # partition year; observed during the writes themselves
@@ -176,11 +179,12 @@ class Lake:
         (out.sortWithinPartitions(*order)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .option("maxRecordsPerFile", SETTINGS.max_rows_per_file)
+            .option("maxRecordsPerFile", self.max_rows_per_file)
             .option("compression", SETTINGS.parquet_compression)
             .partitionBy(YEAR)
             .parquet(self.path(layer, dataset)))
         years = sorted(obs.get.get("years") or [])
+        self.written.setdefault((layer, dataset), set()).update(years)
         if changed and (years or stored is not None):
             self._note(layer, dataset, version + 2, target)
         return years
@@ -251,19 +255,19 @@ class Lake:
 
     # ---- logs ---------------------------------------------------------------
     def partition_log(self, layer: str, dataset: str, years=None) -> DataFrame | None:
-        """(layer, dataset_name, year, row_count, file_count) per stored year."""
+        """(layer, dataset_name, year, path, row_count, file_count) per stored
+        year, or per year of ``years``."""
         # counts only: the partition column and file names
-        df = self.scan(layer, dataset, merge_schema=False)
+        df = self.scan(layer, dataset, merge_schema=False) if years is None else self.read_years(layer, dataset, years)
         if df is None:
             return None
-        if years is not None:
-            df = df.where(F.col(YEAR).isin(sorted({int(y) for y in years})))
         return (df.select(YEAR, F.input_file_name().alias("__file"))
                   .groupBy(YEAR)
                   .agg(F.count(F.lit(1)).alias("row_count"),
                        F.count_distinct("__file").alias("file_count"))
                   .select(F.lit(layer).alias("layer"), F.lit(dataset).alias("dataset_name"),
-                          YEAR, "row_count", "file_count"))
+                          YEAR, F.concat(F.lit(f"{self.path(layer, dataset)}/{YEAR}="), F.col(YEAR).cast("string")).alias("path"),
+                          "row_count", "file_count"))
 
 
 def _types(schema: T.StructType) -> dict[str, T.DataType]:
