@@ -9,8 +9,8 @@ Plan, chosen so no key -- however hot -- lands in one task with its rows:
 2. left side reduced to its distinct (key, date) pairs (partial aggregate);
 3. both stacked and scanned by a window per key ordered by date, carrying
    the last right row forward.  For dates a window holds at most the key's
-   distinct calendar days.  Dense timelines (timestamps) are split into
-   (key, time bucket) windows instead, and
+   distinct calendar days.  Dense timelines (timestamps, numbers) are split
+   into (key, bucket) windows instead, and
 4. the value carried into each bucket from earlier ones comes from the last
    right row of every (key, bucket) and a window per key over its buckets
    (one row per bucket);
@@ -42,11 +42,29 @@ def _day_survivors(right: DataFrame, by: str, right_on: str, payload_cols, tiebr
     return r.groupBy(F.col(by).alias("__k"), F.col(right_on).alias("__d")).agg(*aggs)
 
 
-def _bucket_of(d, dtype: T.DataType, bucket: str | None):
+#: Ranges that "auto" cuts the right side's span of a numeric order column into.
+NUMERIC_BUCKETS = 1024
+
+
+def _span(right: DataFrame, on: str, bucket):
+    """(lowest value, bucket width) of a numeric order column as expressions:
+    one row from one aggregate, read by the plan itself; ``None`` otherwise."""
+    if bucket is None or not isinstance(right.schema[on].dataType, T.NumericType):
+        return None
+    ends = right.agg(F.min(on).cast("double").alias("lo"), F.max(on).cast("double").alias("hi"))
+    low, high = ends.select("lo").scalar(), ends.select("hi").scalar()
+    width = F.lit(float(bucket)) if isinstance(bucket, (int, float)) else F.greatest(F.lit(1e-9), (high - low) / NUMERIC_BUCKETS)
+    return low, width
+
+
+def _bucket_of(d, dtype: T.DataType, bucket, span=None):
     """Time bucket of the order column: ``"year"`` or a ``date_trunc`` unit.
     ``"auto"``: none for dates -- a key's timeline is at most its calendar
     days, a few hundred rows a year -- and ``"day"`` for timestamps, whose
-    timelines can be dense.  ``None`` for a non-temporal order column."""
+    timelines can be dense.  Numeric order columns are cut into equal ranges
+    of the right side's ``span``.  ``None`` for other types."""
+    if span is not None:
+        return F.floor((d.cast("double") - span[0]) / span[1])
     if not isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return None
     if bucket == "auto":
@@ -57,13 +75,13 @@ def _bucket_of(d, dtype: T.DataType, bucket: str | None):
 
 
 def _carry_forward(left: DataFrame, day_rows: DataFrame, by: str, left_on: str, ev_cols,
-                   bucket: str | None = "auto"):
+                   bucket: str | None = "auto", span=None):
     keys = (left.where(F.col(by).isNotNull() & F.col(left_on).isNotNull())
                 .select(F.col(by).alias("__k"), F.col(left_on).alias("__d")).distinct())
     nulls = [F.lit(None).cast(day_rows.schema[c].dataType).alias(c) for c in ev_cols]
     stacked = (day_rows.select("__k", "__d", F.lit(0).alias("__side"), *ev_cols)
                .unionByName(keys.select("__k", "__d", F.lit(1).alias("__side"), *nulls)))
-    b = _bucket_of(F.col("__d"), stacked.schema["__d"].dataType, bucket)
+    b = _bucket_of(F.col("__d"), stacked.schema["__d"].dataType, bucket, span)
     if b is None:
         w = (Window.partitionBy("__k").orderBy("__d", "__side")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -99,9 +117,10 @@ def asof_join(left: DataFrame, right: DataFrame, *, by: str, left_on: str, right
     the same (key, date) -- the largest wins; all brought columns follow as
     a final total order.  Unmatched left rows get nulls.  ``prefix`` renames
     brought columns.  ``bucket`` splits each key's timeline into time
-    buckets (``"year"`` or a ``date_trunc`` unit such as ``"hour"``;
-    ``None`` scans a key's whole timeline in one window; ``"auto"``: none
-    for dates, ``"day"`` for timestamps).
+    buckets (``"year"`` or a ``date_trunc`` unit such as ``"hour"``, or a
+    width for a numeric order column; ``None`` scans a key's whole timeline in
+    one window; ``"auto"``: none for dates, ``"day"`` for timestamps, equal
+    ranges of the right side for numbers).
     """
     require_columns(left, [by, left_on], "left")
     require_columns(right, [by, right_on], "right")
@@ -109,7 +128,7 @@ def asof_join(left: DataFrame, right: DataFrame, *, by: str, left_on: str, right
     if right_on not in cols:
         cols = [right_on] + cols
     day_rows = _day_survivors(right, by, right_on, cols, list(tiebreak))
-    matched = _carry_forward(left, day_rows, by, left_on, ["__ev"], bucket)
+    matched = _carry_forward(left, day_rows, by, left_on, ["__ev"], bucket, _span(right, right_on, bucket))
     out = left.join(matched, (left[by] == matched["__k"]) & (left[left_on] == matched["__d"]), "left")
     return out.select(*[left[c] for c in left.columns],
                       *[F.col(f"__ev.{c}").alias(prefix + c) for c in cols])
@@ -127,7 +146,7 @@ def asof_join_by_group(left: DataFrame, right: DataFrame, *, by: str, left_on: s
         cols = [right_on] + cols
     day_rows = _day_survivors(right, by, right_on, cols, list(tiebreak), group_col, groups)
     ev_cols = [f"__ev{i}" for i in range(len(groups))]
-    matched = _carry_forward(left, day_rows, by, left_on, ev_cols, bucket)
+    matched = _carry_forward(left, day_rows, by, left_on, ev_cols, bucket, _span(right, right_on, bucket))
     out = left.join(matched, (left[by] == matched["__k"]) & (left[left_on] == matched["__d"]), "left")
     brought = [F.col(f"__ev{i}.{c}").alias(f"{g}_{c}") for i, g in enumerate(groups) for c in cols]
     return out.select(*[left[c] for c in left.columns], *brought)

@@ -176,6 +176,21 @@ def test_asof_on_timestamps_matches_brute_force(spark, bucket):
     assert got == _brute_asof(trades, events)
 
 
+@pytest.mark.parametrize("bucket", ["auto", 7, None])
+def test_asof_on_numbers_matches_brute_force(spark, bucket):
+    random.seed(8)
+    keys = ["HOT"] * 20 + [f"K{i}" for i in range(5)]
+    trades = [(random.choice(keys), random.randint(-50, 3000)) for _ in range(400)]
+    events = [(random.choice(keys), random.randint(0, 2500), i) for i in range(40)]
+    t = spark.createDataFrame(trades, "k string, d long")
+    e = spark.createDataFrame(events, "k string, ed long, eid int")
+    joined = asof_join(t, e, by="k", left_on="d", right_on="ed", columns=["eid"], tiebreak=["eid"], bucket=bucket)
+    got = sorted(((r.k, r.d, r.eid) for r in joined.collect()), key=lambda r: (r[0], r[1], r[2] or -1))
+    assert got == _brute_asof(trades, events)
+    none = asof_join(t, e.where("eid < 0"), by="k", left_on="d", right_on="ed", columns=["eid"], bucket=bucket)
+    assert none.where("eid IS NULL").count() == len(trades)
+
+
 def test_batch_stats_sum_and_messages_stay_rows(spark):
     from ledgerlake.operators.quality import batch_messages, batch_stats
     log = spark.createDataFrame(
@@ -238,8 +253,8 @@ def test_observed_profile_equals_the_profile_pass(spark):
     df.observe(obs, *aggs).write.format("noop").mode("overwrite").save()
     assert sorted(numeric_columns_from(cands, obs.get)) == sorted(numeric_like_columns(df.drop("is_open")))
     assert sorted(numeric_columns_from(cands, obs.get)) == ["p", "r"]
-    # a stored schema fixes known columns: s stored as double is cast, p stored as text is not
+    # stored as text stays text; s, stored as double, holds other text here and is not cast to null
     cands, aggs = numeric_profile_aggs(df, known_types={"s": "double", "p": "string"})
     obs = Observation("profile-test-known")
     df.observe(obs, *aggs).write.format("noop").mode("overwrite").save()
-    assert sorted(numeric_columns_from(cands, obs.get, {"s": "double", "p": "string"})) == ["r", "s"]
+    assert sorted(numeric_columns_from(cands, obs.get, {"s": "double", "p": "string"})) == ["r"]
