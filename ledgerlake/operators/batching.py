@@ -12,12 +12,16 @@ def with_global_index(df: DataFrame, order_cols, index_col: str = "row_index") -
 
     Range-partition and sort, tag each row with its partition and in-partition
     id, checkpoint (reliable, in the shared folder: ids stay stable if a task
-    is retried), then add each partition's row offset.  Only the per-partition
+    is retried), then add each partition's row offset.  Rows that tie are
+    ordered by a hash of the row, so a value that many rows share is spread
+    over partitions and the positions do not depend on the input's order.  Only the per-partition
     counts -- one row per partition -- meet in one place.
     """
     checkpoint_root(df.sparkSession)
     order_cols = list(order_cols)
-    tagged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+    tie = F.xxhash64(*[f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+    by = [*order_cols, "__tie"]
+    tagged = (df.withColumn("__tie", tie).repartitionByRange(*by).sortWithinPartitions(*by).drop("__tie")
                 .withColumn("__pid", F.spark_partition_id())
                 .withColumn("__mid", F.monotonically_increasing_id())
                 .checkpoint(eager=True))

@@ -178,11 +178,11 @@ def history_build(spark: SparkSession, lake_root: str, landing: dict[str, DataFr
 
 
 def backfill_daily(landing: DataFrame, recent_dates: DataFrame, date_col: str = "trade_date") -> DataFrame:
-    """Landing rows on the recent open days (k rows: a broadcast semi join
-    whose size is bounded by k)."""
+    """Landing rows on the recent open days (a semi join, broadcast where the
+    days' measured size allows it)."""
     from ..functions.dates import parse_date_multi
     d = parse_date_multi(F.col(date_col), landing.schema[date_col].dataType)
-    keys = F.broadcast(recent_dates.select(F.col("cal_date").alias("__rd")))
+    keys = recent_dates.select(F.col("cal_date").alias("__rd"))
     return landing.join(keys, d == F.col("__rd"), "left_semi")
 
 
