@@ -9,8 +9,10 @@ jointly by likelihood from the registers that are larger, smaller and equal,
 and what could reach the threshold is verified on the full sets.
 
 Groups are cut into blocks of about BLOCK_SET_BYTES; a task holds two blocks
-and emits only links that join two parts, never all pairs.  Equal sets are one
-node throughout, so exact copies cost one row.
+and emits only links that join two parts, never all pairs.  Blocks whose
+documents are already joined never meet, so a large family of near copies
+costs its own size, not its square.  Equal sets are one node throughout, so
+exact copies cost one row.
 
 Misses: a link at similarity 0.75 shares a band except with probability
 (1 - 0.75**4)**40, 2.5e-7; a link's estimate falls below FLOOR (five standard
@@ -28,7 +30,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .arrays import LOWER, SPACES, U64, Words, blocks, mix, utf8
 from .common import BLOCK_BYTES, bound_batches, written
@@ -182,8 +184,8 @@ def band_rows(nodes: DataFrame) -> DataFrame:
     return nodes.select("doc_id", "registers").mapInArrow(run, "key long, doc_id long")
 
 
-def sets_of(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The full shingle set and sketch of each document of a group, once for
+def sets_of(docs: DataFrame, placed: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The full shingle set and sketch of each document of ``placed``, once for
     every pair of blocks that it takes part in."""
     def run(batches):
         for batch in batches:
@@ -192,16 +194,16 @@ def sets_of(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) ->
                 edge = np.searchsorted(doc, np.arange(j - i + 1))
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("grp"), part.column("n_blocks"),
+                    [*[part.column(c) for c in place],
                      pa.array([key[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary()),
                      pa.array([r.tobytes() for r in regs], pa.binary())],
-                    ["doc_id", "grp", "n_blocks", "shingles", "registers"])
+                    [*place, "shingles", "registers"])
 
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(members, "doc_id")
-    sets = texts.select("doc_id", "grp", "n_blocks", "text").mapInArrow(run, "doc_id long, grp long, n_blocks long, shingles binary, registers binary")
-    own = F.pmod(F.xxhash64("doc_id"), F.col("n_blocks"))
-    return (sets.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
-            .select("grp", F.least("own", "with").alias("first"), F.greatest("own", "with").alias("second"), "own", "doc_id", "shingles", "registers"))
+    place = ["doc_id", "grp", "part", "own", "meets"]
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(placed.select(*place), "doc_id")
+    sets = texts.select(*place, "text").mapInArrow(run, "doc_id long, grp long, part long, own long, meets array<long>, shingles binary, registers binary")
+    return (sets.withColumn("meets", F.explode("meets"))
+            .select("grp", F.least("own", "meets").alias("first"), F.greatest("own", "meets").alias("second"), "own", "part", "doc_id", "shingles", "registers"))
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -223,27 +225,13 @@ def block_links(table: pa.Table) -> pa.Table:
     sets = [np.frombuffer(x, U64) for x in table.column("shingles").to_pylist()]
     regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
     size = np.array([len(s) for s in sets], np.float64)
-    parent = list(range(len(ids)))
-
-    def root(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
+    part = np.unique(table.column("part").to_numpy(), return_inverse=True)[1]      # what is joined so far
     found = []
-
-    def verify(x, ys):
-        for y in ys:
-            rx, ry = root(x), root(y)
-            if rx != ry and linked(sets[x], sets[y]):
-                parent[max(rx, ry)] = min(rx, ry)
-                found.append((ids[x], ids[y]))
-
     left = np.flatnonzero(own == first)
     right = np.flatnonzero(own == second)
     for k, x in enumerate(left.tolist()):
         ys = right if first != second else left[k + 1:]
+        ys = ys[part[ys] != part[x]]
         # sizes alone rule out most pairs of a mixed group
         small, large = np.minimum(size[ys], size[x]), np.maximum(size[ys], size[x])
         ys = ys[(100 * small >= LINK_PERCENT * large) & (size[ys] > 0) & (size[x] > 0)]
@@ -252,14 +240,73 @@ def block_links(table: pa.Table) -> pa.Table:
         more, less = (regs[x] > regs[ys]).sum(axis=1), (regs[x] < regs[ys]).sum(axis=1)
         maybe = REGISTERS - more - less >= (FLOOR - 0.15) * REGISTERS
         ys, more, less = ys[maybe], more[maybe], less[maybe]
-        if len(ys):
-            value = estimate(more, less, size[x], size[ys])
-            near = np.flatnonzero(value >= FLOOR)
-            verify(x, ys[near[np.argsort(-value[near], kind="stable")]].tolist())
+        if not len(ys):
+            continue
+        value = estimate(more, less, size[x], size[ys])
+        near = np.flatnonzero(value >= FLOOR)
+        for y in ys[near[np.argsort(-value[near], kind="stable")]].tolist():
+            if part[x] != part[y] and linked(sets[x], sets[y]):
+                part[part == part[y]] = part[x]
+                found.append((ids[x], ids[y]))
     a, b = zip(*found) if found else ((), ())
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
+def compared(docs: DataFrame, placed: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Links (a, b) that the block pairs of ``placed`` give."""
+    return written(sets_of(docs, placed, id_col, text_col).groupBy("grp", "first", "second").applyInArrow(block_links, "a long, b long"), "verified")
+
+
+def blocks_for(size: Column) -> Column:
+    return F.ceil(size * 8 / F.lit(BLOCK_SET_BYTES))
+
+
+def alone(members: DataFrame) -> DataFrame:
+    """Blocks of each group, every one compared with itself only."""
+    weight = members.groupBy("grp").agg(blocks_for(F.sum("n")).alias("n_blocks"))
+    return (members.join(weight, "grp").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("n_blocks")))
+            .withColumn("meets", F.array("own")))
+
+
+def across(members: DataFrame) -> DataFrame:
+    """Blocks that hold one part of a group or, for parts smaller than a
+    block, several; every two blocks meet but those of one part."""
+    size = members.groupBy("grp", "part").agg(blocks_for(F.sum("n")).alias("k"), F.sum("n").alias("n"))
+    big, small = F.col("k") > 1, F.col("k") <= 1
+    total = size.groupBy("grp").agg(blocks_for(F.sum(F.when(small, F.col("n")).otherwise(0))).alias("pooled"), F.sum(F.when(big, F.col("k")).otherwise(0)).alias("more"))
+    # parts larger than a block: as many rows as blocks at most
+    placed = (size.where(big).select("grp", F.col("part"), "k", F.sum("k").over(Window.partitionBy("grp").orderBy("part")).alias("upto"))
+              .join(total.select("grp", "pooled"), "grp").select("grp", "part", "k", (F.col("pooled") + F.col("upto") - F.col("k")).alias("low")))
+    held = members.join(total, "grp").join(placed, ["grp", "part"], "left")
+    own = F.when(F.col("k").isNull(), F.pmod(F.xxhash64("part"), F.greatest("pooled", F.lit(1)))).otherwise(F.col("low") + F.pmod(F.xxhash64("doc_id"), F.greatest("k", F.lit(1))))
+    meets = F.filter(F.sequence(F.lit(0).cast("long"), F.col("pooled") + F.col("more") - 1), lambda b: F.col("k").isNull() | (b < F.col("low")) | (b >= F.col("low") + F.col("k")))
+    return held.withColumn("own", own).withColumn("meets", meets).where(F.size("meets") > 0)
+
+
+def group_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Links that join whatever any link inside a group joins.
+
+    Each block is compared with itself, which settles every group of one
+    block.  In wider groups, one representative for each part found so far
+    goes on, as long as that halves them; then blocks of different parts meet.
+    So a family of near copies, however large, is compared once with itself in
+    blocks and then only with what is not joined to it."""
+    links = compared(docs, alone(members.withColumn("part", F.col("doc_id"))), id_col, text_col)
+    weight = members.groupBy("grp").agg(blocks_for(F.sum("n")).alias("n_blocks")).where("n_blocks > 1").select("grp")
+    wide = written(members.join(weight, "grp"), "wide")
+    before = wide.count()
+    while before:
+        own = links.join(wide.select(F.col("doc_id").alias("a")), "a", "left_semi")
+        parts = wide.join(components(own), F.col("doc_id") == F.col("node"), "left").select("doc_id", "grp", "n", F.coalesce("component", "doc_id").alias("part"))
+        heads = written(parts.where("doc_id = part"), "heads")
+        after = heads.count()
+        if 2 * after > before:
+            return links.union(compared(docs, across(parts), id_col, text_col))
+        links = links.union(compared(docs, alone(heads), id_col, text_col))
+        before = after
+    return links
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest id
     it is linked with, directly or in a chain) and kept."""
@@ -275,12 +322,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     leads = bands.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("key", "a")
     near = bands.join(leads, "key").where("doc_id > a").select("a", F.col("doc_id").alias("b")).distinct()
     groups = components(near)
-    weight = (groups.join(nodes.groupBy(F.col("doc_id").alias("node")).agg(F.sum("n_shingles").alias("n")), "node")
-              .groupBy("component").agg(F.ceil(F.sum("n") * 8 / F.lit(BLOCK_SET_BYTES)).alias("n_blocks")))
-    members = groups.join(weight, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("grp"), "n_blocks")
-    links = (sets_of(docs, members, id_col, text_col).groupBy("grp", "first", "second")
-             .applyInArrow(block_links, "a long, b long"))
-    found = components(written(links, "verified"))
+    size = nodes.groupBy(F.col("doc_id").alias("node")).agg(F.sum("n_shingles").alias("n"))
+    members = written(groups.join(size, "node").select(F.col("node").alias("doc_id"), F.col("component").alias("grp"), "n"), "members")
+    found = components(group_links(docs, members, id_col, text_col))
 
     return (signed.drop("registers").join(classes, same, "left").join(found, "node", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("component_id"))

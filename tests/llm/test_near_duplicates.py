@@ -74,6 +74,27 @@ def test_components_match_all_pairs(spark, monkeypatch):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted({str(i) for i, _, c in want if i == c})
 
 
+def test_large_family_is_not_compared_blockwise_with_itself(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"v{rng.randrange(5000)}" for _ in range(200)]
+    docs = []
+    for k in range(240):        # near copies of one text, each with a word of its own
+        w = list(base)
+        w[rng.randrange(len(w))] = f"own{k}"
+        docs.append((k, " ".join(w)))
+    docs += [(1000 + k, " ".join([*base[:110], *(f"far{k}x{n}" for n in range(90))])) for k in range(3)]
+    seen, inner = [], neardup.compared
+
+    def counted(texts, placed, *cols):
+        seen.append(placed.selectExpr("coalesce(sum(size(meets)), 0)").first()[0])
+        return inner(texts, placed, *cols)
+
+    monkeypatch.setattr(neardup, "compared", counted)
+    monkeypatch.setattr(neardup, "BLOCK_SET_BYTES", 16_000)     # some 24 blocks
+    assert got(spark.createDataFrame(docs, "doc_id long, text string")) == plain(docs)
+    assert sum(seen) < 4 * len(docs)
+
+
 def test_corpus_and_empty(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert got(df) == plain([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()])
