@@ -200,7 +200,9 @@ def sets_of(docs: DataFrame, placed: DataFrame, id_col: str, text_col: str) -> D
                     [*place, "shingles", "registers"])
 
     place = ["doc_id", "grp", "part", "own", "meets"]
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(placed.select(*place), "doc_id")
+    # dealt by id at every size, with the small rows as the hashed side: the
+    # number of members grows with the corpus, so no broadcast
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(placed.select(*place).hint("shuffle_hash"), "doc_id")
     sets = texts.select(*place, "text").mapInArrow(run, "doc_id long, grp long, part long, own long, meets array<long>, shingles binary, registers binary")
     return (sets.withColumn("meets", F.explode("meets"))
             .select("grp", F.least("own", "meets").alias("first"), F.greatest("own", "meets").alias("second"), "own", "part", "doc_id", "shingles", "registers"))
