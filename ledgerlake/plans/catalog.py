@@ -864,6 +864,38 @@ def q_query_financial_events(spark, d):
     return query_financial_events(lake, "C7", "1996-01-01", "20001231")
 
 
+# ---- order of rows -------------------------------------------------------------------------------
+def _stamped(df: DataFrame) -> DataFrame:
+    """The rows as they come: ``__part`` and the place ``__at`` in it.  Written
+    once, so that every later pass sees the same places."""
+    path = scratch_path(df.sparkSession, "order")
+    place = F.monotonically_increasing_id()
+    df.withColumn("__id", place).write.parquet(path)
+    back = df.sparkSession.read.parquet(path)
+    return back.select("*", F.shiftright("__id", 33).alias("__part"), F.col("__id").bitwiseAND((1 << 33) - 1).alias("__at")).drop("__id")
+
+
+@query("query_order", with_fixtures(["bars_raw", "basic", "adj"], """
+SELECT CAST(row_number() OVER (ORDER BY ts_code, trade_date) AS BIGINT) AS position, ts_code, trade_date, event_id
+FROM master WHERE year(trade_date) = 2024""", MASTER_SQL))
+def q_query_order(spark, d):
+    rows = _stamped(query_daily_master(_master_lake(spark, d), 2024).select("ts_code", "trade_date", "event_id"))
+    counts = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))
+    # one row per partition
+    before = counts.select("__part", (F.sum("n").over(Window.orderBy("__part")) - F.col("n")).alias("before"))
+    return rows.join(before, "__part").select((F.col("before") + F.col("__at") + 1).alias("position"), "ts_code", "trade_date", "event_id")
+
+
+@query("event_stream_order", with_fixtures(["fin_raw"], """
+SELECT source_table, COUNT(*) AS row_count, CAST(0 AS BIGINT) AS out_of_order FROM events_stream GROUP BY source_table""", EVENTS_SQL))
+def q_event_stream_order(spark, d):
+    rows = _stamped(_event_stream(spark, d))
+    key = F.struct("ts_code", "real_ann_date", "end_date", "ann_date", "source_table")
+    last = F.lag(key).over(Window.partitionBy("__part").orderBy("__at"))
+    return (rows.select("source_table", (last > key).alias("wrong")).groupBy("source_table")
+            .agg(F.count(F.lit(1)).alias("row_count"), F.count_if("wrong").alias("out_of_order")))
+
+
 # ---- incremental windows ------------------------------------------------------------------------
 _RECENT_SQL = """recent AS (SELECT cal_date FROM cal WHERE exchange = 'SSE' AND is_open = 1
                   AND cal_date <= DATE '2024-01-28' ORDER BY cal_date DESC LIMIT 5)"""
