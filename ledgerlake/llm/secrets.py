@@ -38,6 +38,14 @@ class Rule:
 #: In ``assign`` either case of a letter is spelt out, so that only ASCII
 #: letters match; a match of ``hex`` or ``access`` that is long enough is a
 #: whole run, so their least lengths are part of the pattern.
+#: A private key reaches to its END line; its body has single dashes only (in
+#: headers).  Without that line it reaches to the last long run of base64
+#: characters and one shorter line.  Single character classes repeat, not
+#: groups, so that a long body needs no deep stack; all of it is also RE2.
+_KEY_LINE = "[A-Z ]{0,20}PRIVATE KEY-----"
+_KEY_END = "[^-]*(?:-[^-]+){0,9}-----END " + _KEY_LINE
+_KEY_HEADERS = r"(?:[\x20\t\r\n\\nr]*Proc-Type: 4,ENCRYPTED[\x20\t\r\n\\nr]*DEK-Info: [A-Z0-9-]+,[0-9A-Fa-f]+)?"
+_KEY_LINES = _KEY_HEADERS + r"[A-Za-z0-9+/=\x20\t\r\n\\]*[A-Za-z0-9+/=]{32}[A-Za-z0-9+/=]*(?:\x20*(?:\r?\n|(?:\\r)?\\n)[\x20\t]*[A-Za-z0-9+/=]+)?"
 _ANY_CASE = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api")) + "_?[kK][eE][yY]"
 RULES = (
     Rule("assign", "(" + _ANY_CASE + r")[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", True, (2, 6)),
@@ -47,7 +55,7 @@ RULES = (
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", "AIza[A-Za-z0-9_-]{35}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+"),
-    Rule("private_key", "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("private_key", f"-----BEGIN {_KEY_LINE}(?:{_KEY_END}|{_KEY_LINES})?"),
 )
 
 
