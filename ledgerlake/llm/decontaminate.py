@@ -11,13 +11,13 @@ in full.
 
 The benchmark is the query set: it is cut into blocks of at most BLOCK_WINDOWS
 windows, each block is broadcast (its size is that bound) and joined with all
-documents, and the hits of several blocks are merged by document.
+documents, and the hits of several blocks are merged by id and text.
 
 Cases: a null or empty text or item has no words, no windows and no hits;
-items without an id count as the empty id, repeated items once; repeated rows of documents are
-judged one by one where one block holds the benchmark, and as one document
-beyond that; documents without an id keep a null id; other columns are not
-looked at; an empty benchmark hits nothing.
+items without an id count as the empty id, repeated items once; each row of
+documents gives one row, also where rows repeat, share an id or have none (a
+null id is kept); other columns are not looked at; an empty benchmark hits
+nothing.
 """
 
 from __future__ import annotations
@@ -235,11 +235,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def _merged(docs: DataFrame, found: list, id_col: str, text_col: str) -> DataFrame:
-    """The blocks' hits merged by document: hit words by position."""
+    """The blocks' hits merged by id and text, and joined to every row that
+    has them: equal rows have equal hits, so each keeps its own result."""
+    ident = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    keyed = docs.select(F.md5(F.concat(ident, F.lit("\0"), F.coalesce(F.col(text_col), F.lit("")))).alias("__key"), id_col, text_col)
+
     def scan(block, first):
         def run(batches):
             for batch in batches:
-                ids = batch.column(id_col).cast(pa.int64())
+                ids, keys = batch.column(id_col).cast(pa.int64()), batch.column("__key")
                 for i, j, part, words in _block_texts(batch, text_col):
                     hit, items = _hits(block.value, part, words)
                     counts = np.diff(words.first)
@@ -247,20 +251,23 @@ def _merged(docs: DataFrame, found: list, id_col: str, text_col: str) -> DataFra
                         own = hit[words.first[d]:words.first[d + 1]]
                         if first or own.any():
                             yield pa.RecordBatch.from_arrays(
-                                [ids.slice(i + d, 1), pa.array([counts[d]], pa.int64()), pa.array([np.flatnonzero(own)], pa.list_(pa.int64())),
-                                 pa.array([sorted(items.get(d, ()))], pa.list_(pa.string()))], ["doc_id", "n_words", "at", "items"])
-        return docs.select(id_col, text_col).mapInArrow(run, "doc_id long, n_words long, at array<long>, items array<string>")
+                                [keys.slice(i + d, 1), ids.slice(i + d, 1), pa.array([counts[d]], pa.int64()), pa.array([np.flatnonzero(own)], pa.list_(pa.int64())),
+                                 pa.array([sorted(items.get(d, ()))], pa.list_(pa.string()))], ["key", "doc_id", "n_words", "at", "items"])
+        return keyed.mapInArrow(run, "key string, doc_id long, n_words long, at array<long>, items array<string>")
 
     parts = [written(scan(b, k == 0), "leaks") for k, b in enumerate(found)]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    by_doc = union.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return by_doc.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    # rows that repeat give one and the same array a block
+    by_key = union.where(F.size("at") > 0).groupBy("key").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("n_hit"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    rows = parts[0].select("key", "doc_id", "n_words").join(by_key, "key", "left")
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    return rows.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+                       F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",

@@ -1,6 +1,7 @@
 """Packing, quality rules and decontamination against plain-Python versions."""
 
 import hashlib
+import random
 import re
 import struct
 import zlib
@@ -170,6 +171,24 @@ def test_contamination_matches_plain_python(spark, monkeypatch):
     assert any(w[5] for w in want)
 
 
+def test_contamination_of_rows_that_share_an_id_or_have_none(spark, monkeypatch):
+    rng = random.Random(4)
+    vocab = [f"w{k}" for k in range(400)]
+    items = [(f"i{k}", " ".join(rng.choice(vocab) for _ in range(25))) for k in range(6)]
+    docs = []
+    for k, doc in enumerate((None, None, None, 7, 7, 7, 8, 9)):
+        own = [rng.choice(vocab) for _ in range(30 + k)]
+        docs.append((doc, " ".join([*own, *(items[k % 6][1].split()[:12] if k % 3 else []), *(items[(k + 2) % 6][1].split()[3:20] if k % 2 else [])])))
+    docs += [docs[1], docs[1], docs[4], (7, None), (None, None), (None, ""), (None, items[0][1])]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    want = Counter(plain_contamination(docs, items))
+    assert len(docs) == sum(want.values()) and any(r[0] is None and r[-1] for r in want)
+    for size in (200_000, 20, 7):
+        monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", size)
+        assert Counter(tuple(r) for r in decontaminate.contamination(table, bench).collect()) == want
+
+
 def test_contamination_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert not any(r.contaminated for r in decontaminate.contamination(edges(spark), none).collect())
