@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, neardup, packing, passages, pii, quality, secrets, sharding, suffixes
+from . import align, chat, classify, decontaminate, neardup, packing, passages, pii, quality, search, secrets, sharding, suffixes
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,6 +124,31 @@ def op10_personal_data(spark, sf_dir):
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_lexical_search(spark, sf_dir):
+    return search.search(search.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+def byte_bpe_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def piece_bpe_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op12_tokenizer_alignment(spark, sf_dir):
+    return align.align(table(spark, sf_dir, "documents"), byte_bpe_path, piece_bpe_path)
+
+
+@query
+def op13_quality_classifier(spark, sf_dir):
+    return classify.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 # ---- SQL of the word operators -------------------------------------------------------------
 #: Words between white space, and words of digits, a-z and all beyond ASCII.
 SPACED = r"[^\x20\x09-\x0D]+"
@@ -201,3 +226,18 @@ cut AS (SELECT pieces.r, count(*) AS n_spans, sum(z - a) AS n_removed, max(z) AS
 SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
   sha256(unhex(coalesce(head, '') || hex(b[coalesce(last, 1):]))) AS kept_sha256
 FROM docs LEFT JOIN cut ON docs.r = cut.r"""
+
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+ORACLES["op11_lexical_search"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_TERMS}') AS w FROM documents),
+lens AS (SELECT r, doc_id, len(w) AS n FROM docs WHERE len(w) > 0),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS l FROM lens),
+posts AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs) GROUP BY r, t),
+freq AS (SELECT t, count(*) AS df FROM posts GROUP BY t),
+items AS (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERMS}')) AS t FROM benchmark),
+uses AS (SELECT item_id, t, count(*) AS times FROM items GROUP BY item_id, t),
+weighed AS (SELECT item_id, t, times * CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM uses JOIN freq USING (t), total),
+scored AS (SELECT item_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // l)))) AS BIGINT) AS score
+  FROM weighed JOIN posts USING (t) JOIN lens USING (r), total GROUP BY item_id, r),
+ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored JOIN lens USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
