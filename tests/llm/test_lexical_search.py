@@ -76,9 +76,10 @@ def test_blocks_are_rejected_before_they_are_read(monkeypatch):
     """Candidates whose bound cannot reach the heap leave blocks of the
     frequent, low-weight list unread, and nothing changes."""
     n = 6400
-    words, names = [], ["rare", "common"]
+    words, names = [], ["rare", "common", "pad"]
     for i in range(n):
-        words.append(np.array([0] * (3 if i < 20 else i % 64 == 1) + [1], np.int32))
+        rare = 3 if i < 20 else int(i % 64 == 1)
+        words.append(np.array([0] * rare + [1] + [2] * (3 - rare), np.int32))      # all of one length
     batches = list(search._shard_rows(0, list(range(n)), [len(w) for w in words], words, names, 64))
     rows = {r["term"]: r for b in batches for r in b.to_pylist()}
     m = np.full(n, 100, np.int64)
