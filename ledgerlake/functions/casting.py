@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from ..specs import FLOAT_PATTERN, IDENTIFIER_COLUMNS, INTEGER_COLUMNS
+from ..specs import FLOAT_PATTERN, IDENTIFIER_COLUMNS, INTEGER_COLUMNS, SPELLING
 from .dates import strip_ws
 
 
@@ -52,20 +52,14 @@ def numeric_like_profile(df: DataFrame, protected=()) -> DataFrame:
               .select(F.expr(f"stack({len(cands)}, {pairs}) AS (column_name, all_numeric)")))
 
 
-def numeric_like_columns(df: DataFrame, protected=()) -> list[str]:
-    """Names of columns to cast.  Brings one row, one value per column, to
-    the driver (bounded by the width of the table, not its length).  An
-    empty batch keeps its landing types: with no values there is nothing to
+def numeric_like_columns(df: DataFrame, protected=(), known_types=None) -> dict[str, str]:
+    """Columns to cast and their types.  Brings one row, a few values per
+    column, to the driver (bounded by the width of the table, not its length).
+    An empty batch keeps its landing types: with no values there is nothing to
     type, and a later batch decides."""
     cands = _candidate_columns(df, protected)
-    if not cands:
-        return []
-    aggs = [F.coalesce(F.bool_and(strip_ws(c).rlike(FLOAT_PATTERN)), F.lit(True)).alias(f"c{i}")
-            for i, c in enumerate(cands)]
-    row = df.agg(F.count(F.lit(1)).alias("__n"), *aggs).first()
-    if not row["__n"]:
-        return []
-    return [c for i, c in enumerate(cands) if row[f"c{i}"]]
+    aggs = _profile(cands, known_types)
+    return numeric_columns_from(cands, df.agg(*aggs).first().asDict(), known_types) if len(aggs) > 1 else {}
 
 
 def numeric_profile_aggs(df: DataFrame, protected=(), known_types=None):
@@ -75,44 +69,76 @@ def numeric_profile_aggs(df: DataFrame, protected=(), known_types=None):
     are cast before profiling, are left out.  Decide with
     ``numeric_columns_from``."""
     cands = [c for c in _candidate_columns(df, protected) if c not in INTEGER_COLUMNS]
-    fresh = _undecided(cands, known_types)
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    aggs += [F.coalesce(F.bool_and(strip_ws(c).rlike(FLOAT_PATTERN)), F.lit(True)).alias(f"__num{i}")
-             for i, c in enumerate(fresh)]
-    return cands, aggs
+    return cands, _profile(cands, known_types)
 
 
-def numeric_columns_from(cands, metrics: dict, known_types=None) -> list[str]:
-    """Columns to cast given the observed profile: those whose values all
-    look numeric (none when the batch had no rows)."""
+def _profile(cands, known_types) -> list:
+    """Row count, and for each undecided column: do all values look numeric,
+    and, where numbers of a type are stored, does that type hold them all."""
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for i, c in enumerate(_undecided(cands, known_types)):
+        aggs.append(F.coalesce(F.bool_and(strip_ws(c).rlike(FLOAT_PATTERN)), F.lit(True)).alias(f"__num{i}"))
+        stored = (known_types or {}).get(c)
+        if stored in _INTEGRAL:
+            fits = strip_ws(c).rlike(INTEGER_PATTERN) & _number(c, stored).isNotNull()
+        elif stored and stored.startswith("decimal"):
+            fits = F.coalesce(_number(c, stored) == _number(c, "decimal(38,18)"), F.lit(False))
+        else:
+            continue
+        aggs.append(F.coalesce(F.bool_and(F.when(F.col(c).isNotNull(), fits)), F.lit(True)).alias(f"__fit{i}"))
+    return aggs
+
+
+def numeric_columns_from(cands, metrics: dict, known_types=None) -> dict[str, str]:
+    """Columns to cast, with their types, given the observed profile: those
+    whose values all look numeric (none when the batch had no rows).  A stored
+    integer or decimal type stays where it holds every value."""
     if not metrics.get("__n"):
-        return []
-    return [c for i, c in enumerate(_undecided(cands, known_types)) if metrics.get(f"__num{i}")]
+        return {}
+    return {c: (known_types or {}).get(c, "double") if metrics.get(f"__fit{i}") else "double"
+            for i, c in enumerate(_undecided(cands, known_types)) if metrics.get(f"__num{i}")}
+
+
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+INTEGER_PATTERN = r"^[+-]?\d+$"
 
 
 def _undecided(cands, known_types=None) -> list[str]:
     """Text columns whose type a batch's values decide: those the stored
     dataset lacks or holds as numbers.  What is stored as text stays text."""
-    return [c for c in cands if (known_types or {}).get(c, "double") == "double"]
+    known = known_types or {}
+    return [c for c in cands if known.get(c, "double") in ("float", "double", *_INTEGRAL) or known[c].startswith("decimal")]
+
+
+def _number(c: str, dtype: str):
+    return F.expr(f"try_cast(regexp_replace(`{c}`, '^\\\\s+|\\\\s+$', '') AS {dtype})")
 
 
-def cast_numeric_like(df: DataFrame, protected=(), columns=None, known_types=None) -> DataFrame:
-    """Cast numeric-looking text columns to double.
+def cast_numeric_like(df: DataFrame, protected=(), columns=None, known_types=None, keep_spelling: bool = False) -> DataFrame:
+    """Cast numeric-looking text columns to numbers.
 
-    ``columns`` pins the decision outright.  With ``known_types`` (column ->
-    type name, e.g. the stored dataset's schema) a column stored as text stays
-    text.  A column stored as numbers is profiled like a new one: where a
-    batch holds other text, it is left as it is and the lake widens the stored
-    column, so no value is lost.
+    ``columns`` pins the decision outright (names, or names with types).  With
+    ``known_types`` (column -> type name, e.g. the stored dataset's schema) a
+    column stored as text stays text.  A column stored as numbers is profiled
+    like a new one: values that its type holds take that type, other numbers
+    become double, and where a batch holds other text it is left as it is and
+    the lake widens the stored column.  ``keep_spelling`` adds the text of the
+    numbers that are not written as Spark would write them (``SPELLING``), so
+    that a column that later turns to text holds every value as it came.
     """
     if columns is None:
-        fresh = _undecided(_candidate_columns(df, protected), known_types)
-        columns = numeric_like_columns(df.select(*fresh)) if fresh else []
-    columns = [c for c in columns if c in df.columns]
-    if not columns:
+        columns = numeric_like_columns(df, protected, known_types)
+    types = columns if isinstance(columns, dict) else {c: "double" for c in columns}
+    types = {c: t for c, t in types.items() if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)}
+    if not types:
         return df
-    return df.withColumns({c: F.expr(f"try_cast(regexp_replace(`{c}`, '^\\\\s+|\\\\s+$', '') AS DOUBLE)")
-                           for c in columns})
+    casts = {c: _number(c, t) for c, t in types.items()}
+    if keep_spelling:
+        names = F.array(*[F.lit(c) for c in casts])
+        texts = F.array(*[F.when(F.col(c) != n.cast("string"), F.col(c)) for c, n in casts.items()])
+        odd = F.map_filter(F.map_from_arrays(names, texts), lambda _, v: v.isNotNull())
+        casts[SPELLING] = F.when(F.size(odd) > 0, odd)
+    return df.withColumns(casts)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

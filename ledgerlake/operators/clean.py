@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions.casting import cast_identifiers, cast_integers, cast_numeric_like
 from ..functions.dates import parse_date_multi
-from ..specs import EVENT_COLUMNS, TableSpec, spec as get_spec
+from ..specs import EVENT_COLUMNS, SPELLING, TableSpec, spec as get_spec
 from .dedup import dedup_counts, require_columns, survivorship_dedup
 from .quality import null_profile
 
@@ -56,16 +56,18 @@ def prepare_financial(df: DataFrame, table_name: str) -> DataFrame:
     return out.withColumn("real_ann_date", visible_from())
 
 
-def prepare_table(table_name: str, df: DataFrame, numeric_columns=None, known_types=None) -> DataFrame:
+def prepare_table(table_name: str, df: DataFrame, numeric_columns=None, known_types=None,
+                  keep_spelling: bool = False) -> DataFrame:
     """All typing steps before dedup.  ``numeric_columns`` pins the numeric
     decision; ``known_types`` (a stored dataset's schema) pins it for the
-    columns already stored; the rest is profiled from the data in one pass."""
+    columns already stored; the rest is profiled from the data in one pass.
+    ``keep_spelling``: see ``cast_numeric_like``."""
     sp: TableSpec = get_spec(table_name)
     out = parse_date_columns(df, sp.date_columns)
     out = cast_identifiers(out)
     out = cast_integers(out)
     out = cast_numeric_like(out, protected=set(sp.date_columns), columns=numeric_columns,
-                            known_types=known_types)
+                            known_types=known_types, keep_spelling=keep_spelling)
     if sp.is_financial:
         require_columns(out, ["ann_date"], "financial")
         out = prepare_financial(out, table_name)
@@ -78,6 +80,7 @@ class CleanResult:
     prepared: DataFrame          # typed rows before dedup
     frame: DataFrame             # survivors, one per primary key
     primary_key: tuple[str, ...]
+    stored: DataFrame | None = None      # survivors with the spelling of their numbers, for the lake
 
     def counts(self) -> DataFrame:
         """rows_before, rows_after, duplicate_rows in one grouping."""
@@ -89,14 +92,14 @@ class CleanResult:
 
 
 def clean_table(table_name: str, df: DataFrame, numeric_columns=None,
-                order_first=(), known_types=None) -> CleanResult:
+                order_first=(), known_types=None, keep_spelling: bool = False) -> CleanResult:
     """Clean one landing table: parse dates, type columns, apply financial
     rules, and keep one survivor per primary key."""
     sp = get_spec(table_name)
-    prepared = prepare_table(table_name, df, numeric_columns, known_types)
+    prepared = prepare_table(table_name, df, numeric_columns, known_types, keep_spelling)
     require_columns(prepared, sp.primary_key)
     frame = survivorship_dedup(prepared, sp.primary_key, order_first=order_first)
-    return CleanResult(table_name, prepared, frame, sp.primary_key)
+    return CleanResult(table_name, prepared.drop(SPELLING), frame.drop(SPELLING), sp.primary_key, frame)
 
 
 def empty_table(spark: SparkSession, table_name: str, columns: dict[str, T.DataType] | None = None) -> DataFrame:

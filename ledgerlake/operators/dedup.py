@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from ..functions.rows import completeness_score, update_priority
+from ..specs import SPELLING
 
 _HELPERS = ("__prio", "__score", "__rn")
 
@@ -37,7 +38,7 @@ def survivor_order(df: DataFrame, key, order_first=(), score_exclude=()) -> tupl
     """
     key = list(key)
     data_cols = [c for c in df.columns if c not in _HELPERS]
-    scored = [c for c in data_cols if c not in set(score_exclude)]
+    scored = [c for c in data_cols if c not in {*score_exclude, SPELLING}]
     out = df.withColumn("__score", completeness_score(scored))
     order: list[Column] = []
     if "update_flag" in df.columns:

@@ -3,10 +3,10 @@ event stream."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ..specs import EVENT_COLUMNS, TABLE_SPECS
-from .clean import EVENT_SCHEMA
+from ..specs import TABLE_SPECS
+from .clean import EVENT_SCHEMA, add_source_tag
 from .dedup import require_columns, survivorship_dedup
 from .union import union_aligned
 
@@ -39,22 +39,13 @@ def build_financial_event_stream(frames: dict[str, DataFrame | None],
     """Aligned union of the statement tables, each tagged with its source
     table.  No dedup across sources.  The nine event columns always exist
     (typed); rows are sorted within partitions by the event order."""
-    parts = []
-    for name, df in frames.items():
-        if df is None:
-            continue
-        if "source_table" not in df.columns:
-            df = df.withColumn("source_table", F.lit(name))
-        parts.append(df)
-    if not parts:
-        if spark is None:
-            raise ValueError("no statement tables and no session for an empty result")
-        return spark.createDataFrame([], EVENT_SCHEMA)
-    parts.append(parts[0].sparkSession.createDataFrame([], EVENT_SCHEMA))
-    combined = union_aligned(parts)
-    lead = list(EVENT_COLUMNS)
-    combined = combined.select(*lead, *[c for c in combined.columns if c not in lead])
-    return combined.sortWithinPartitions("ts_code", "real_ann_date", "end_date", "ann_date", "source_table")
+    tagged = [add_source_tag(df, name) for name, df in frames.items() if df is not None]
+    session = tagged[0].sparkSession if tagged else spark
+    if session is None:
+        raise ValueError("no statement tables and no session for an empty result")
+    # the typed nine columns lead, whatever the tables hold
+    return (union_aligned([session.createDataFrame([], EVENT_SCHEMA), *tagged])
+            .sortWithinPartitions("ts_code", "real_ann_date", "end_date", "ann_date", "source_table"))
 
 
 def product_inputs(product: str) -> tuple[str, ...]:

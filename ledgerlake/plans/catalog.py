@@ -812,6 +812,43 @@ def q_upsert_type_drift(spark, d):
     return lake.scan("dwd", "orders").select("o_orderkey", "o_orderdate", "note", "volume")
 
 
+_TYPE_CUTS = (1, 2, 5)
+
+
+@query("type_cut_invariance", f"""
+WITH rows AS (
+  SELECT 'O' || o_orderkey AS ts_code, CAST(o_orderdate AS DATE) AS trade_date,
+         CASE WHEN o_orderkey % 5 = 4 THEN o_orderpriority ELSE printf('%08d', o_custkey) END AS code,
+         CASE WHEN o_orderkey % 5 = 3 THEN 'n/a' ELSE '1234567890' || printf('%010d', o_orderkey) END AS serial,
+         CAST(printf('%.2f', o_totalprice) AS DOUBLE) AS close
+  FROM orders)
+SELECT n_batches, layer, ts_code, trade_date, code, serial, close
+FROM rows, (VALUES {', '.join(f'({n})' for n in _TYPE_CUTS)}) AS t(n_batches), (VALUES ('dwd'), ('dws')) AS l(layer)""")
+def q_type_cut_invariance(spark, d):
+    """The same landing rows in 1, 2 and 5 batches give one table in both
+    layers.  Columns that are numbers in the early batches and text in a late
+    one keep leading zeros and all digits; a column of numbers stays numbers."""
+    o = fx.table(spark, d, "orders")
+    key = F.col("o_orderkey")
+    landing = o.select(
+        F.concat(F.lit("O"), key.cast("string")).alias("ts_code"), F.date_format("o_orderdate", "yyyyMMdd").alias("trade_date"),
+        F.when(key % 5 == 4, F.col("o_orderpriority")).otherwise(F.format_string("%08d", "o_custkey")).alias("code"),
+        F.when(key % 5 == 3, F.lit("n/a")).otherwise(F.concat(F.lit("1234567890"), F.format_string("%010d", key))).alias("serial"),
+        F.format_string("%.2f", "o_totalprice").alias("close"), (key % 5).alias("part"))
+    out = []
+    for n in _TYPE_CUTS:
+        lake = _new_lake(spark)
+        for k in range(n):
+            # of two batches, the first has the parts that look like numbers throughout
+            batch = landing.where(F.when(F.col("part") < 3, 0).otherwise(1) == k) if n == 2 else landing.where(F.col("part") % n == k)
+            years = process_table(lake, "daily", batch.drop("part"), "20150101")
+            rebuild_summary(lake, years)
+        for layer, name in (("dwd", "daily"), ("dws", "daily_master")):
+            out.append(lake.scan(layer, name).select(F.lit(n).alias("n_batches"), F.lit(layer).alias("layer"),
+                                                     "ts_code", "trade_date", "code", "serial", "close"))
+    return union_aligned(out)
+
+
 @query("quality_report", with_fixtures(["bars_raw", "fin"], """
 SELECT 'daily' AS table_name, CAST((SELECT COUNT(*) FROM bars) AS BIGINT) AS rows_before,
        CAST((SELECT COUNT(*) FROM daily) AS BIGINT) AS rows_after,
@@ -924,6 +961,21 @@ def _trade_bars(spark, d, bump: float = 0.0) -> DataFrame:
                     "l_orderkey", "l_linenumber")
 
 
+@query("upsert_moves_year", """
+SELECT o_orderkey, CAST(year(day) AS INTEGER) AS year, day, version
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN CAST(CAST(o_orderdate AS DATE) + INTERVAL 400 DAY AS DATE) ELSE CAST(o_orderdate AS DATE) END AS day,
+             CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS version FROM orders)""")
+def q_upsert_moves_year(spark, d):
+    """Corrections that move keys to another year: each key has one row over
+    all years, and the year it left no longer holds it."""
+    lake = _new_lake(spark)
+    o = fx.table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    lake.upsert("dwd", "orders", o.withColumn("version", F.lit(0)), ["o_orderkey"], "day", across_years=True)
+    moved = o.where(F.col("o_orderkey") % 3 == 0).withColumn("day", F.date_add("day", 400)).withColumn("version", F.lit(1))
+    lake.upsert("dwd", "orders", moved, ["o_orderkey"], "day", across_years=True)
+    return lake.scan("dwd", "orders").select("o_orderkey", "year", "day", "version")
+
+
 @query("rebuild_affected_years", with_fixtures(["trades"], """
 SELECT CAST(year(trade_date) AS INTEGER) AS year, COUNT(*) AS n_rows,
        CAST(SUM(CAST(round(close * 100) AS BIGINT)) AS BIGINT) AS checksum

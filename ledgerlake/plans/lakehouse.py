@@ -15,7 +15,7 @@ from ..functions.dates import parse_date_two
 from ..operators.calendar import clean_calendar, coverage_summary, recent_trade_dates, to_date_param
 from ..operators.clean import add_source_tag, clean_table
 from ..operators.dedup import require_columns
-from ..operators.products import build_daily_master, build_financial_event_stream
+from ..operators.products import build_dws_outputs
 from ..operators.quality import nested_report, table_quality, write_report
 from ..session import checkpoint_root
 from ..sources.lake import YEAR, Lake
@@ -45,50 +45,50 @@ def write_raw(lake: Lake, table_name: str, raw: DataFrame, fallback_date) -> lis
 
 
 # ---- detail layer --------------------------------------------------------------------------
-def persist_detail(lake: Lake, table_name: str, cleaned: DataFrame) -> list[int]:
+def persist_detail(lake: Lake, table_name: str, cleaned: DataFrame, order_first=(), across_years: bool = False) -> list[int]:
     """Upsert cleaned rows into ``dwd/<table>`` by the year of the
-    partition date (real_ann_date for statements)."""
+    partition date (real_ann_date for statements).  Where a column's type has
+    widened, every year was rewritten and is returned."""
     sp = get_spec(table_name)
-    return lake.upsert("dwd", table_name, cleaned, sp.primary_key, sp.dwd_partition_column)
+    lake.widened.pop(("dwd", table_name), None)
+    years = lake.upsert("dwd", table_name, cleaned, sp.primary_key, sp.dwd_partition_column, order_first, across_years=across_years)
+    return sorted({*years, *lake.widened.get(("dwd", table_name), ())})
 
 
 # ---- summary layer ---------------------------------------------------------------------------
-def _detail_years(lake: Lake, name: str, years) -> DataFrame | None:
-    df = lake.read_years("dwd", name, years)
-    return None if df is None else df.drop(YEAR)
+#: Key columns of a daily table that was never written.
+_NO_DAILY = "ts_code string, trade_date date"
+_SUMMARY = {"daily_master": ("trade_date", ("ts_code", "trade_date")),
+            "financial_events": ("real_ann_date", ("ts_code", "real_ann_date", "end_date", "ann_date", "source_table"))}
 
 
 def rebuild_summary(lake: Lake, years) -> dict[str, list[int]]:
     """Rebuild daily_master and financial_events for ``years`` only: one
     job per product for all years (dynamic overwrite replaces exactly the
-    years that have rows)."""
+    years that have rows; a year that has none left is emptied).  A side table
+    that was never written counts as empty."""
     years = sorted({int(y) for y in years})
-    written: dict[str, list[int]] = {}
     if not years:
-        return written
-    daily = _detail_years(lake, "daily", years)
-    if daily is not None:
-        others = {}
+        return {}
+    detail = {n: lake.read_years("dwd", n, years, refresh=False) for n in (*DAILY_MASTER_SOURCES, *FINANCIAL_EVENT_SOURCES)}
+    detail = {n: df.drop(YEAR) for n, df in detail.items() if df is not None}
+    if DAILY_MASTER_SOURCES[0] in detail:
         for n in DAILY_MASTER_SOURCES[1:]:
-            df = _detail_years(lake, n, years)
-            others[n] = df if df is not None else lake.spark.createDataFrame(
-                [], "ts_code string, trade_date date")
-        master = build_daily_master(daily, others["daily_basic"], others["adj_factor"])
-        written["daily_master"] = lake.write_years("dws", "daily_master", master, "trade_date",
-                                                    sort_cols=("ts_code", "trade_date"))
-    fin = {n: _detail_years(lake, n, years) for n in FINANCIAL_EVENT_SOURCES}
-    fin = {n: df for n, df in fin.items() if df is not None}
-    if fin:
-        events = build_financial_event_stream(fin)
-        written["financial_events"] = lake.write_years(
-            "dws", "financial_events", events, "real_ann_date",
-            sort_cols=("ts_code", "real_ann_date", "end_date", "ann_date", "source_table"))
-    return written
+            detail.setdefault(n, lake.spark.createDataFrame([], _NO_DAILY))
+    return {product: lake.write_years("dws", product, frame, _SUMMARY[product][0], sort_cols=_SUMMARY[product][1], within=years)
+            for product, frame in build_dws_outputs(detail).items()}
 
 
 # ---- flows -----------------------------------------------------------------------------------
+def stored_types(lake: Lake, name: str) -> dict[str, str] | None:
+    """Column types of a stored detail dataset: they fix the types of later
+    batches where their values allow."""
+    schema = lake.stored_schema("dwd", name)
+    return None if schema is None else {f.name: f.dataType.simpleString() for f in schema.fields}
+
+
 def process_table(lake: Lake, name: str, raw: DataFrame, fallback_date, order_first=(),
-                  stage_landing: bool = True, results: dict | None = None) -> list[int]:
+                  stage_landing: bool = True, results: dict | None = None, across_years: bool = False) -> list[int]:
     """One landing table through raw -> detail.  The landing rows are read
     three times (raw write, type profile, clean).  With ``stage_landing``
     they are staged once, so a computed landing frame (joins, windows) is
@@ -96,9 +96,7 @@ def process_table(lake: Lake, name: str, raw: DataFrame, fallback_date, order_fi
     landing files, which are cheaper to re-read than to copy.
     ``order_first`` hints naming columns the table lacks are skipped.
     ``results`` (a dict) receives the table's ``CleanResult`` for a report."""
-    # a stored detail dataset fixes the types of its columns (no flip by a later batch)
-    stored = lake.scan("dwd", name)
-    known = dict(stored.dtypes) if stored is not None else None
+    known = stored_types(lake, name)
     numeric = None
     if stage_landing:
         # the numeric profile rides along the staging write: no extra pass
@@ -108,10 +106,10 @@ def process_table(lake: Lake, name: str, raw: DataFrame, fallback_date, order_fi
         numeric = numeric_columns_from(cands, profile.get, known)
     write_raw(lake, name, raw, fallback_date)
     hints = [o for o in order_first if not isinstance(o, str) or o in raw.columns]
-    res = clean_table(name, raw, numeric_columns=numeric, order_first=hints, known_types=known)
+    res = clean_table(name, raw, numeric_columns=numeric, order_first=hints, known_types=known, keep_spelling=True)
     if results is not None:
         results[name] = res
-    return persist_detail(lake, name, res.frame)
+    return persist_detail(lake, name, res.stored, across_years=across_years)
 
 
 def process_tables(lake: Lake, batches: dict[str, DataFrame], fallback_date, order_first=(),

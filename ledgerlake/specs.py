@@ -29,6 +29,8 @@ class TableSpec:
 
 @dataclass(frozen=True)
 class Settings:
+    # fixed values that must equal the reference's: both backfill windows,
+    # rows per file, codec, default exchange
     daily_backfill_days: int = 5          # trading days re-read by a daily update
     financial_backfill_days: int = 90     # calendar days re-read for statements
     partition_column: str = "year"
@@ -77,7 +79,11 @@ INTEGER_COLUMNS = frozenset({"is_open"})
 FLOAT_PATTERN = r"^[+-]?(?:\d+(?:\.\d+)?|\.\d+)(?:[eE][+-]?\d+)?$"
 NULL_DATE_TOKENS = ("", "None", "null", "NULL")
 
-# Columns of the financial event stream, in query order.
+#: Helper column of stored rows: column -> text as it came, for numbers whose
+#: own rendering differs ("007", "1.50").  Reads leave it out.
+SPELLING = "__spelling"
+
+# Columns of the financial event stream, in query order (fixed values).
 EVENT_COLUMNS: tuple[str, ...] = (
     "ts_code", "source_table", "ann_date", "f_ann_date", "real_ann_date",
     "end_date", "report_type", "comp_type", "update_flag",

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import clean_table
+from ..plans.lakehouse import stored_types
 from ..session import scratch_path
 from ..sources.lake import Lake
 from ..specs import spec as get_spec
@@ -33,10 +34,9 @@ def upsert_stream(spark: SparkSession, landing_dir: str, schema: T.StructType, l
     lake = Lake(spark, lake_root)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        stored = lake.scan("dwd", table_name) if numeric_columns is None else None
-        known = dict(stored.dtypes) if stored is not None else None
+        known = stored_types(lake, table_name) if numeric_columns is None else None
         cleaned = clean_table(table_name, batch, numeric_columns=numeric_columns,
-                              order_first=order_first, known_types=known).frame
+                              order_first=order_first, known_types=known, keep_spelling=True).stored
         lake.upsert("dwd", table_name, cleaned, sp.primary_key, sp.dwd_partition_column,
                     order_first=[c for c in order_first if not isinstance(c, str) or c in cleaned.columns])
 
