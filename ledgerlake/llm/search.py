@@ -16,8 +16,9 @@ highest possible score.  Those whose bounds together cannot reach the heap's
 least score are non-essential: candidates come from the other (essential) lists
 only.  A candidate's score so far plus the block maxima of the non-essential
 lists decides whether it is rejected before any of their blocks is
-decompressed.  Documents are taken in ranges, so the heap of one range prunes
-the next.  Shard heaps are merged by a rank window that keeps k rows of a query
+decompressed.  The heap starts from the documents of the lists with the highest
+bounds, scored in full; a list that several queries of a group read whole is
+decompressed once.  Shard heaps are merged by a rank window that keeps k rows of a query
 before they are shuffled.
 
 The statistics (documents with a term, terms, documents of a term) are counted
@@ -49,8 +50,6 @@ from .common import bound_batches, written
 SHARD_BYTES = 16 << 20
 BLOCK = 64
 QUERY_BLOCK = 256
-#: Ranges of documents that a shard is searched in, one after the other.
-RANGES = 8
 SLICE_CHARS = 1 << 20
 #: Terms: maximal runs of 0-9, a-z and all beyond ASCII, A-Z lower-cased.
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -183,98 +182,111 @@ def build_index(docs: DataFrame, shard_bytes: int = SHARD_BYTES, block: int = BL
 
 
 # ---- search ----------------------------------------------------------------------------
-class _List:
-    """A query term's postings in one shard."""
+class Postings:
+    """A term's postings in one shard; impacts are scores before the weight."""
 
-    __slots__ = ("weight", "data", "byte_at", "last", "bound", "most")
-
-    def __init__(self, weight, data, block_bytes, block_last, block_tf, block_n, m_of):
-        self.weight = weight                # the weight times the term's repeats in the query
-        self.data = np.frombuffer(data, np.uint8)
+    def __init__(self, data, block_bytes, block_last, block_tf, block_n, m: np.ndarray, m_of):
+        self.data, self.m = np.frombuffer(data, np.uint8), m
         self.byte_at = np.append(0, np.cumsum(block_bytes))
         self.last = np.asarray(block_last, np.int64)
-        tf = np.asarray(block_tf, np.int64)
-        self.bound = weight * ((1_000_000_000 * tf) // (1000 * tf + 8 * m_of(np.asarray(block_n, np.int64))))
+        self.bound = np.append(_impact(np.asarray(block_tf, np.int64), m_of(np.asarray(block_n, np.int64))), 0)
         self.most = int(self.bound.max())
+        self._whole: tuple[np.ndarray, np.ndarray] | None = None
 
     def read(self, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(documents, counts) of ascending ``blocks``."""
+        """(documents, impacts) of ascending ``blocks``, decompressed."""
         if not len(blocks):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        sizes = self.byte_at[blocks + 1] - self.byte_at[blocks]
         if blocks[-1] - blocks[0] + 1 == len(blocks):
             data = self.data[self.byte_at[blocks[0]]:self.byte_at[blocks[-1] + 1]]
         else:
             data = np.concatenate([self.data[self.byte_at[b]:self.byte_at[b + 1]] for b in blocks.tolist()])
         # a posting is two numbers; the first gap of a block is the document itself
         values = unvbyte(data)
-        gaps, tf = values[::2], values[1::2] + 1
-        doc = np.cumsum(gaps)
-        ends = np.cumsum(np.add.reduceat((data >> 7).astype(np.int64), self._starts(blocks))) // 2
-        starts = np.append(0, ends[:-1])
-        doc -= np.repeat(np.append(0, doc[ends[:-1] - 1]), ends - starts)
-        return doc, tf
-
-    def _starts(self, blocks: np.ndarray) -> np.ndarray:
-        sizes = self.byte_at[blocks + 1] - self.byte_at[blocks]
-        return np.cumsum(sizes) - sizes
+        doc, tf = np.cumsum(values[::2]), values[1::2] + 1
+        if len(blocks) > 1:
+            ends = np.cumsum(np.add.reduceat((data >> 7).astype(np.int64), np.cumsum(sizes) - sizes)) // 2
+            doc -= np.repeat(np.append(0, doc[ends[:-1] - 1]), np.diff(ends, prepend=0))
+        return doc, _impact(tf, self.m[doc])
+
+    def whole(self) -> tuple[np.ndarray, np.ndarray]:
+        if self._whole is None:
+            self._whole = self.read(np.arange(len(self.last)))
+        return self._whole
+
+    def block_of(self, doc: np.ndarray) -> np.ndarray:
+        """The block that would hold each document; the number of blocks for none."""
+        return np.searchsorted(self.last, doc, "left")
+
+    def at(self, doc: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """Impacts of ascending documents, 0 for those without the term; only
+        blocks that may hold one are decompressed."""
+        need = np.unique(block[block < len(self.last)])
+        if self._whole is not None or 2 * len(need) > len(self.last):
+            found, impact = self.whole()
+        else:
+            found, impact = self.read(need)
+        j = np.searchsorted(found, doc)
+        hit = j < len(found)
+        hit[hit] = found[j[hit]] == doc[hit]
+        out = np.zeros(len(doc), np.int64)
+        out[hit] = impact[j[hit]]
+        return out
 
 
-def _part(weight: int, tf: np.ndarray, m: np.ndarray) -> np.ndarray:
-    return weight * ((1_000_000_000 * tf) // (1000 * tf + 8 * m))
+def _impact(tf: np.ndarray, m: np.ndarray) -> np.ndarray:
+    return (1_000_000_000 * tf) // (1000 * tf + 8 * m)
 
 
-def best_of_shard(lists: list[_List], m: np.ndarray, ids: np.ndarray, k: int, read=None) -> tuple[np.ndarray, np.ndarray]:
+def best_of_shard(lists: list[tuple[int, Postings]], ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(places, scores) of the k best documents, by score and then id.
 
-    ``m``: the length factor of each document; ``ids``: its rank by id."""
-    lists = sorted(lists, key=lambda x: x.most)
-    upto = np.cumsum([x.most for x in lists])            # what the first lists can give together
-    place, score, least = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
-    edges = np.linspace(0, len(m), min(RANGES, max(1, len(m) // BLOCK)) + 1).astype(np.int64)
-    for lo, hi in zip(edges, edges[1:]):
-        # a document that only equals the least score can still come first by its id
-        essential = int(np.searchsorted(upto, max(least, 1), "left"))
-        if essential == len(lists):
+    ``lists``: (weight times repeats, postings) of the query's terms; ``ids``:
+    the rank of each document by id."""
+    lists = sorted(lists, key=lambda x: x[0] * x[1].most)
+    upto = np.cumsum([w * p.most for w, p in lists])            # what the first lists can give together
+    total, held = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
+
+    def take(i: int) -> None:
+        doc, impact = lists[i][1].whole()
+        total[doc] += lists[i][0] * impact
+        held[doc] = True
+
+    # the heap starts from the lists with the highest bounds
+    rest, least = len(lists), 0
+    while rest and np.count_nonzero(held) < k:
+        rest -= 1
+        take(rest)
+    some = np.flatnonzero(held)
+    if len(some) >= k:
+        some = np.sort(some[np.argpartition(-total[some], k - 1)[:k]])
+        least = int((total[some] + sum((w * p.at(some, p.block_of(some)) for w, p in lists[:rest]), np.zeros(k, np.int64))).min())
+    # a document that only equals the least score can still come first by its id
+    least = max(least, 1)
+    essential = int(np.searchsorted(upto, least, "left"))
+    while rest > essential:
+        rest -= 1
+        take(rest)
+    doc = np.flatnonzero(held)
+    score = total[doc]
+    # block maxima of the non-essential lists, before anything of them is read
+    blocks = [p.block_of(doc) for _, p in lists[:rest]]
+    highest = [w * p.bound[b] for (w, p), b in zip(lists, blocks)]
+    ahead = np.sum(highest, axis=0) if highest else np.zeros(len(doc), np.int64)
+    for i in range(rest - 1, -1, -1):
+        alive = score + ahead >= least
+        if not alive.all():
+            doc, score, ahead = doc[alive], score[alive], ahead[alive]
+            blocks, highest = [b[alive] for b in blocks[:i + 1]], [h[alive] for h in highest[:i + 1]]
+        if not len(doc):
             break
-        total, held = np.zeros(hi - lo, np.int64), np.zeros(hi - lo, bool)
-        for x in lists[essential:]:
-            b = np.arange(np.searchsorted(x.last, lo, "left"), min(np.searchsorted(x.last, hi - 1, "left") + 1, len(x.last)))
-            doc, tf = x.read(b)
-            inside = (doc >= lo) & (doc < hi)
-            doc, tf = doc[inside], tf[inside]
-            total[doc - lo] += _part(x.weight, tf, m[doc])
-            held[doc - lo] = True
-        at = np.flatnonzero(held)
-        if essential:
-            doc = at + lo
-            sofar = total[at]
-            # block maxima of the non-essential lists, before anything is read
-            blocks = [np.searchsorted(x.last, doc, "left") for x in lists[:essential]]
-            highest = [np.append(x.bound, 0)[b] for x, b in zip(lists[:essential], blocks)]
-            rest = np.sum(highest, axis=0)
-            for i in range(essential - 1, -1, -1):
-                alive = sofar + rest >= max(least, 1)
-                if not alive.all():
-                    doc, sofar, rest = doc[alive], sofar[alive], rest[alive]
-                    blocks, highest = [b[alive] for b in blocks[:i + 1]], [h[alive] for h in highest[:i + 1]]
-                x, mine = lists[i], blocks[i]
-                has = mine < len(x.last)
-                found, tf = x.read(np.unique(mine[has]))
-                j = np.searchsorted(found, doc)
-                hit = has & (j < len(found))
-                hit[hit] = found[j[hit]] == doc[hit]
-                gain = np.zeros(len(doc), np.int64)
-                gain[hit] = _part(x.weight, tf[j[hit]], m[doc[hit]])
-                sofar = sofar + gain
-                rest = rest - highest[i]
-        else:
-            doc, sofar = at + lo, total[at]
-        place, score = np.append(place, doc), np.append(score, sofar)
-        keep = np.lexsort((ids[place], -score))[:k]
-        keep = keep[score[keep] > 0]
-        place, score = place[keep], score[keep]
-        least = int(score[-1]) if len(score) == k else 0
-    return place, score
+        w, p = lists[i]
+        score = score + w * p.at(doc, blocks[i])
+        ahead = ahead - highest[i]
+    best = np.lexsort((ids[doc], -score))[:k]
+    best = best[score[best] > 0]
+    return doc[best], score[best]
 
 
 HITS = "q long, item_id string, doc_id long, score long"
@@ -294,13 +306,11 @@ def _searcher(docs: int, length: int, k: int):
                 rank[sorted(range(len(n)), key=lambda i: (row["doc_ids"][i] is None, row["doc_ids"][i] or 0))] = np.arange(len(n))
                 queries = defaultdict(list)
                 for t in row["lists"]:
-                    for use in t["uses"]:
-                        w = t["w"] * use["times"]
-                        if w:
-                            queries[(use["q"], use["item_id"])].append(
-                                _List(w, t["postings"], t["block_bytes"], t["block_last"], t["block_tf"], t["block_n"], m_of))
+                    postings = Postings(t["postings"], t["block_bytes"], t["block_last"], t["block_tf"], t["block_n"], m, m_of)
+                    for use in t["uses"] if t["w"] else ():
+                        queries[(use["q"], use["item_id"])].append((t["w"] * use["times"], postings))
                 out = [(q, item, row["doc_ids"][p], s) for (q, item), lists in queries.items()
-                       for p, s in zip(*(x.tolist() for x in best_of_shard(lists, m, rank, k)))]
+                       for p, s in zip(*(x.tolist() for x in best_of_shard(lists, rank, k)))]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.int64(), pa.int64()))],
                                                      names=["q", "item_id", "doc_id", "score"])
@@ -342,7 +352,9 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, query_block: int =
     group = (lists.drop("df").join(wanted, "term")
              .groupBy("query_block", "shard")
              .agg(F.collect_list(F.struct("w", "uses", "postings", "block_bytes", "block_last", "block_tf", "block_n")).alias("lists")))
-    hits = group.join(shards, "shard").select("lists", "doc_ids", "lengths")
+    # the work grows with queries and shards, not with bytes: as many tasks as the session deals to
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hits = group.join(shards, "shard").repartition(parts, "query_block", "shard").select("lists", "doc_ids", "lengths")
     heaps = hits.mapInArrow(_searcher(docs, length, k), HITS)
     merged = heaps.withColumn("nth", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))).where(F.col("nth") <= k)
     # rows of the query table that share an id are ranked together
