@@ -44,12 +44,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import bound_batches, written
 
-BUNDLE_BYTES = 8 << 20
+BUNDLE_BYTES = 6 << 20
 SLICE_CHARS = 1 << 20
 #: Units joined into one text for the tokenizers.
-CHUNK = 64
+CHUNK = 512
 #: Distinct units a worker remembers; it starts anew with the next bundle beyond this.
-CACHE_UNITS = 400_000
+CACHE_UNITS = 300_000
 PAIR = 1 << 32
 
 #: Latin letters, and printable ASCII.
@@ -115,50 +115,76 @@ class Vocabulary:
     def b_tokens(self, text: str, data: bytes) -> tuple[np.ndarray, np.ndarray, bool]:
         """The same for B; ``data`` begins with the space that B adds."""
         pieces = self.b.encode(text, return_type="proto").pieces
-        ids = np.array([p.id for p in pieces], np.int64)
+        ids = [p.id for p in pieces]
         end = np.array([p.end + 1 if p.end > p.begin else -1 for p in pieces], np.int64)
-        return ids, byte_ends(end, self.b_len[ids]), b"".join(self.b_bytes[p.id] for p in pieces) == data
+        joined = b"".join(map(self.b_bytes.__getitem__, ids))
+        ids = np.array(ids, np.int64)
+        return ids, byte_ends(end, self.b_len[ids]), joined == data
+
+
+class _Index(dict):
+    """Units by number; a new unit takes the next number and waits."""
+
+    def __init__(self, waiting: list[str]):
+        self.waiting = waiting
+
+    def __missing__(self, unit: str) -> int:
+        n = self[unit] = len(self)
+        self.waiting.append(unit)
+        return n
 
 
 class Units:
     """Distinct units with their tokens: groups as text, and the id pair of
-    each link."""
+    each link.  Units get numbers as they are met; ``settle`` encodes those
+    that wait, CHUNK at a time."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
+        a, b = len(vocabulary.a_bytes), len(vocabulary.b_bytes)
+        self._ids = a, a + b
+        # an id with what follows it: its own side, the other side, a group, a unit
+        self._strings = [f"{i}{end}" for end in ",|;\0" for n in (a, b) for i in range(n)]
         self.clear()
-        ids, ends, _ = vocabulary.a_tokens("\n", b"\n")
-        b_ids, b_ends, _ = vocabulary.b_tokens("\n", b" \n")
-        self._line_end = ids, ends, b_ids[1:], b_ends[1:] - 1
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self._waiting: list[str] = []
+        self.index, self._raw = _Index(self._waiting), set()
         self.text: list[str] = []                  # a1,a2|b1;...
-        self.good: list[bool] = []
-        self._sizes: list[tuple[int, int, int]] = []
-        self._links: list[np.ndarray] = []
-        self.sizes, self.links, self.at = np.zeros((0, 3), np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.sizes, self.links = np.zeros((0, 3), np.int64), np.zeros(0, np.int64)
+        self.at, self.good = np.zeros(1, np.int64), np.zeros(0, bool)
+        self._new: list[tuple] = []
 
     def of(self, units: list[str]) -> np.ndarray:
-        """Numbers of units cut by _UNITS, the new ones encoded in chunks."""
-        index = self.index
-        new = [u for u in dict.fromkeys(units) if u not in index]
-        if new and new.count("\n"):
-            new.remove("\n")
-            self._add("\n", *self._line_end, True)
-        for k in range(0, len(new), CHUNK):
-            self._chunk(new[k:k + CHUNK])
-        return np.fromiter(map(index.__getitem__, units), np.int32, len(units))
+        """Numbers of units cut by _UNITS."""
+        return np.fromiter(map(self.index.__getitem__, units), np.int32, len(units))
 
     def raw(self, part: str) -> int:
-        """Number of a part that begins with a space, encoded by itself."""
+        """Number of a part that begins with a space, to be encoded by itself."""
         if part not in self.index:
-            data = part.encode()
-            a, a_end, a_good = self.v.a_tokens(part, data)
-            b, b_end, b_good = self.v.b_tokens(part[1:], data)
-            self._add(part, a, a_end, b, b_end, a_good and b_good)
+            self._raw.add(part)
         return self.index[part]
 
+    def settle(self) -> None:
+        """Encode the units that wait."""
+        some: list[str] = []
+        for unit in [*self._waiting, None]:
+            alone = unit is None or unit == "\n" or unit in self._raw
+            if some and (alone or len(some) == CHUNK):
+                self._chunk(some)
+                some = []
+            if unit is not None and alone:
+                self._alone(unit)
+            elif unit is not None:
+                some.append(unit)
+        self._waiting.clear()
+        if self._new:
+            sizes, counts, links, good = zip(*self._new)
+            self.sizes = np.concatenate([self.sizes, *sizes])
+            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(np.concatenate(counts))])
+            self.links, self.good = np.concatenate([self.links, *links]), np.concatenate([self.good, *good])
+            self._new = []
+
     def _chunk(self, units: list[str]) -> None:
         # a line end before each unit: both tokenizers cut around it
         text = "\n" + "\n".join(units)
@@ -168,52 +194,49 @@ class Units:
         b_end = b_end - 1
         ends = np.cumsum([len(u.encode()) + 1 for u in units])
         starts = np.append(0, ends[:-1]) + 1
-        # tokens of a unit: after its line end's token, up to its own end
-        cut = [np.searchsorted(a_end, starts, "right"), np.searchsorted(a_end, ends, "right"),
-               np.searchsorted(b_end, starts, "right"), np.searchsorted(b_end, ends, "right")]
-        whole = all(len(x) for x in (a, b)) and all(np.isin(p, e).all() for p in (starts, ends) for e in (a_end, b_end))
-        if not (a_good and b_good and whole):
-            for u in units:
-                self.raw(u) if u.startswith(" ") else self._alone(u)
+        cuts = np.concatenate([starts, ends])
+        if a_good and b_good and b_end[0] == 0 and np.isin(cuts, a_end).all() and np.isin(cuts, b_end).all():
+            self._add(a, a_end, b[1:], b_end[1:], ends, starts)
             return
-        for k, u in enumerate(units):
-            i, j, m, n = (int(c[k]) for c in cut)
-            self._add(u, a[i:j], a_end[i:j] - starts[k], b[m:n], b_end[m:n] - starts[k], True)
+        for u in units:
+            self._alone(u)
 
     def _alone(self, unit: str) -> None:
-        """A unit without a space before it, behind a line end."""
-        data = ("\n" + unit).encode()
-        a, a_end, a_good = self.v.a_tokens("\n" + unit, data)
-        b, b_end, b_good = self.v.b_tokens("\n" + unit, b" " + data)
-        self._add(unit, a[1:], a_end[1:] - 1, b[2:], b_end[2:] - 2, a_good and b_good)
-
-    def _add(self, unit, a, a_end, b, b_end, good: bool) -> None:
-        self.index[unit] = len(self.text)
-        self.good.append(good)
-        if not good:
-            a = b = a_end = b_end = np.zeros(0, np.int64)
-        al, bl, ae, be = a.tolist(), b.tolist(), a_end.tolist(), b_end.tolist()
-        i = j = gi = gj = 0
-        pairs, groups = [], []
-        while i < len(al):
-            pairs.append(al[i] * PAIR + bl[j])
-            x, y = ae[i], be[j]
-            i += x <= y
-            j += y <= x
-            if x == y:
-                groups.append(",".join(map(str, al[gi:i])) + "|" + ",".join(map(str, bl[gj:j])))
-                gi, gj = i, j
-        self.text.append(";".join(groups))
-        self._sizes.append((len(al), len(bl), len(groups)))
-        self._links.append(np.array(pairs, np.int64))
-
-    def settle(self) -> None:
-        """Take what was added since into the arrays."""
-        if self._sizes:
-            self.sizes = np.concatenate([self.sizes, np.array(self._sizes, np.int64)])
-            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(x) for x in self._links])])
-            self.links = np.concatenate([self.links, *self._links])
-            self._sizes, self._links = [], []
+        """A unit by itself; one without a space before it stands behind a
+        line end."""
+        bare = not unit.startswith(" ")
+        text = "\n" + unit if bare and unit != "\n" else unit
+        data = text.encode()
+        a, a_end, a_good = self.v.a_tokens(text, data)
+        b, b_end, b_good = self.v.b_tokens(text if bare else text[1:], b" " + data if bare else data)
+        if not (a_good and b_good):
+            self.text.append("")
+            self._new.append((np.zeros((1, 3), np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(1, bool)))
+        elif bare:      # less the space that B adds
+            self._add(a, a_end, b[1:], b_end[1:] - 1, np.array([len(data)]), np.array([1] if unit != "\n" else [], np.int64))
+        else:
+            self._add(a, a_end, b, b_end, np.array([len(data)]), np.zeros(0, np.int64))
+
+    def _add(self, a, a_end, b, b_end, unit_end, between) -> None:
+        """Units of one text: ``unit_end`` are their ends, ``between`` those of
+        the tokens between them, which belong to none."""
+        n = len(unit_end)
+        a_own, b_own = ~np.isin(a_end, between), ~np.isin(b_end, between)
+        a, a_end, b, b_end = a[a_own], a_end[a_own], b[b_own], b_end[b_own]
+        ends, common = np.union1d(a_end, b_end), np.intersect1d(a_end, b_end)
+        a_unit, b_unit = np.searchsorted(unit_end, a_end), np.searchsorted(unit_end, b_end)
+        count = lambda of: np.bincount(of, minlength=n)
+        sizes = np.stack([count(a_unit), count(b_unit), count(np.searchsorted(unit_end, common))], axis=1)
+        links = a[np.searchsorted(a_end, ends)] * PAIR + b[np.searchsorted(b_end, ends)]
+        self._new.append((sizes, count(np.searchsorted(unit_end, ends)), links, np.ones(n, bool)))
+        # the groups as text: ids in order of group and side, each with what follows
+        place = np.concatenate([np.searchsorted(common, a_end) * 2, np.searchsorted(common, b_end) * 2 + 1])
+        order = np.argsort(place, kind="stable")
+        place, unit = place[order], np.concatenate([a_unit, b_unit])[order]
+        after, next_unit = np.append(place[1:], -2), np.append(unit[1:], -1)
+        follows = np.where(next_unit != unit, 3, np.where(after == place, 0, np.where(after >> 1 == place >> 1, 1, 2)))
+        code = follows * self._ids[1] + np.concatenate([a, b + self._ids[0]])[order]
+        self.text += "".join(map(self._strings.__getitem__, code.tolist())).split("\0")[:-1]
 
 
 def _slices(joined: str) -> Iterator[str]:
@@ -241,13 +264,27 @@ def units_of(units: Units, text: str) -> np.ndarray:
     return np.concatenate(out)
 
 
+DOC = [("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()),
+       ("groups_sha256", pa.string()), ("n_units", pa.int64())]
+#: units: of all documents one after the other, commonest first in number;
+#: unit_sizes, unit_links: how many links a unit has, and their places in a, b, n.
 BUNDLES = pa.schema([
     ("bundle", pa.int64()), ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32())), ("n", pa.list_(pa.int64())),
-    ("unit_links", pa.list_(pa.list_(pa.int32()))),
-    ("docs", pa.list_(pa.struct([("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
-                                 ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("units", pa.list_(pa.int32()))])))])
-BUNDLE_COLUMNS = ("bundle long, a array<int>, b array<int>, n array<long>, unit_links array<array<int>>, docs array<struct<doc_id:bigint,"
-                  "n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint,groups_sha256:string,units:array<int>>>")
+    ("units", pa.binary()), ("unit_sizes", pa.binary()), ("unit_links", pa.binary()), ("docs", pa.list_(pa.struct(DOC)))])
+BUNDLE_COLUMNS = ("bundle long, a array<int>, b array<int>, n array<long>, units binary, unit_sizes binary, unit_links binary, docs array<struct<"
+                  "doc_id:bigint,n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint,groups_sha256:string,n_units:bigint>>")
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Non-negative integers by byte planes, compressed."""
+    planes = np.ascontiguousarray(values.astype("<u4")).view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 4 * n, "zstd"), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(n).astype(np.int64)
 
 
 def _gather(at: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,31 +297,28 @@ def _bundle(number: int, units: Units, docs: list[tuple]) -> pa.RecordBatch:
     """One row: the distinct id pairs of a bundle, the pairs of each unit, and
     the units of each document."""
     units.settle()
-    good = np.array(units.good, bool)
     rows, held = [], []
     for doc_id, seq in docs:
-        ok = seq is not None and len(seq) > 0 and bool(good[seq].all())
+        ok = seq is not None and len(seq) > 0 and bool(units.good[seq].all())
         held.append(seq if ok else np.zeros(0, np.int32))
         n_a, n_b, n_groups = units.sizes[seq].sum(axis=0).tolist() if ok else (0, 0, 0)
         digest = sha256(";".join(map(units.text.__getitem__, seq.tolist())).encode()).hexdigest() if ok else ""
-        rows.append((doc_id, n_a, n_b, n_groups, n_a + n_b - n_groups, digest))
+        rows.append(dict(zip((name for name, _ in DOC), (doc_id, n_a, n_b, n_groups, n_a + n_b - n_groups, digest, len(held[-1])))))
     used = np.concatenate(held) if held else np.zeros(0, np.int32)
-    own, times = np.unique(used, return_counts=True)
+    own, inverse, times = np.unique(used, return_inverse=True, return_counts=True)
+    order = np.argsort(-times, kind="stable")
+    rank = np.empty(len(own), np.int64)
+    rank[order] = np.arange(len(own))
+    own, times = own[order], times[order]
     place, lens = _gather(units.at, own)
     keys, link = np.unique(units.links[place], return_inverse=True)
     n = np.zeros(len(keys), np.int64)
     np.add.at(n, link, np.repeat(times, lens))
     one = lambda values, of: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, of))
-    ragged = lambda sizes, values: pa.ListArray.from_arrays(
-        pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values, pa.int32()))
-    local = np.searchsorted(own, used)
-    columns = [pa.array([r[k] for r in rows], f.type) for k, f in enumerate(BUNDLES.field("docs").type.value_type) if f.name != "units"]
-    columns.append(ragged([len(h) for h in held], local))
-    structs = pa.StructArray.from_arrays(columns, fields=list(BUNDLES.field("docs").type.value_type))
     return pa.RecordBatch.from_arrays([
         pa.array([number], pa.int64()), one(keys // PAIR, pa.int32()), one(keys % PAIR, pa.int32()), one(n, pa.int64()),
-        pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), ragged(lens, link)),
-        pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), structs)], schema=BUNDLES)
+        pa.array([_packed(rank[inverse])], pa.binary()), pa.array([_packed(lens)], pa.binary()), pa.array([_packed(link)], pa.binary()),
+        one(rows, pa.struct(DOC))], schema=BUNDLES)
 
 
 def _bundles(a_path: Callable[[], str], b_path: Callable[[], str], bundle_bytes: int):
@@ -302,6 +336,7 @@ def _bundles(a_path: Callable[[], str], b_path: Callable[[], str], bundle_bytes:
                     number, docs, size = number + 1, [], 0
                     if len(units.text) > CACHE_UNITS:
                         units.clear()
+            del batch
         if docs:
             yield _bundle(number, units, docs)
     return run
@@ -312,41 +347,31 @@ OUT = pa.schema([("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()
 OUT_COLUMNS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sums of the slices between ``offsets``."""
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of neighbouring slices of the given sizes."""
     total = np.append(0, np.cumsum(values))
-    return total[offsets[1:]] - total[offsets[:-1]]
+    ends = np.cumsum(sizes)
+    return total[ends] - total[ends - sizes]
 
 
 def _scored(bundle: pa.Table, totals: pa.Table) -> pa.Table:
     """The documents of one bundle, given the totals of its id pairs."""
     out = []
+    at = totals.column("place").to_numpy()
+    total, best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    total[at] = totals.column("total").to_numpy()
+    best[at] = totals.column("best").to_numpy().astype(np.int64)
     for row in bundle.combine_chunks().to_batches():
-        at = totals.column("place").to_numpy()
-        total = np.zeros(len(at), np.int64)
-        best = np.zeros(len(at), np.int64)
-        total[at] = totals.column("total").to_numpy()
-        best[at] = totals.column("best").to_numpy().astype(np.int64)
-        unit = row.column("unit_links").flatten()           # of the units, their links
-        link = unit.flatten().to_numpy()
-        offsets = _offsets(unit)
-        unit_total, unit_best = _sums(total[link], offsets), _sums(best[link], offsets)
-        docs = row.column("docs").flatten()
-        fields = dict(zip((f.name for f in docs.type), docs.flatten()))
-        seq = fields["units"].flatten().to_numpy()
-        offsets = _offsets(fields["units"])
+        link, sizes = _unpacked(row.column("unit_links")[0].as_py()), _unpacked(row.column("unit_sizes")[0].as_py())
+        units = _unpacked(row.column("units")[0].as_py())
+        fields = dict(zip((name for name, _ in DOC), row.column("docs").flatten().flatten()))
+        of_docs = [_sums(_sums(values[link], sizes)[units], fields["n_units"].to_numpy()) for values in (best, total)]
         out.append(pa.RecordBatch.from_arrays([
             *[fields[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")],
-            pa.array(_sums(unit_best[seq], offsets), pa.int64()), pa.array(_sums(unit_total[seq], offsets), pa.int64()),
-            fields["groups_sha256"]], schema=OUT))
+            *[pa.array(x, pa.int64()) for x in of_docs], fields["groups_sha256"]], schema=OUT))
     return pa.Table.from_batches(out, schema=OUT)
 
 
-def _offsets(lists: pa.ListArray) -> np.ndarray:
-    offsets = lists.offsets.to_numpy()
-    return (offsets - offsets[0]).astype(np.int64)
-
-
 def _totals(bundles: DataFrame) -> DataFrame:
     """(a, b, total, best): how many links of the corpus hold each id pair, and
     whether that is the most of any pair with this B id."""
@@ -375,7 +400,7 @@ def align(docs: DataFrame, a_path: Callable[[], str], b_path: Callable[[], str],
     totals = written(_totals(bundles), "align-totals")
     wanted = bundles.select("bundle", F.posexplode(F.arrays_zip("a", "b")).alias("place", "p")).select(F.col("bundle").alias("of"), "place", "p.a", "p.b")
     found = wanted.join(totals, ["a", "b"]).select("of", "place", "total", "best")
-    return (bundles.select("bundle", "unit_links", "docs").groupBy("bundle")
+    return (bundles.select("bundle", "units", "unit_sizes", "unit_links", "docs").groupBy("bundle")
             .cogroup(found.groupBy("of")).applyInArrow(_scored, OUT_COLUMNS))
 
 
@@ -389,8 +414,9 @@ def aligned_groups(docs: DataFrame, a_path: Callable[[], str], b_path: Callable[
         units = Units(Vocabulary(a_path(), b_path()))
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seq = units_of(units, text).tolist() if text else []
+            found = [(i, units_of(units, t).tolist() if t else []) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            units.settle()
+            for doc_id, seq in found:
                 if not all(units.good[u] for u in seq):
                     seq = []
                 groups = [[[int(i) for i in side.split(",")] for side in g.split("|")] for u in seq for g in units.text[u].split(";")]

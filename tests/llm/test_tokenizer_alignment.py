@@ -95,14 +95,17 @@ def test_whole_table(spark, vocabulary):
 
 def test_slices_and_small_caches_change_nothing(spark, vocabulary, monkeypatch):
     text = " ".join(f"word{i} höher, x\n{i}" for i in range(400)) + "  end\t."
-    whole = align.units_of(align.Units(vocabulary), text)
     units = align.Units(vocabulary)
-    all_ids = lambda u, seq: [u.text[k] for k in seq]
+
+    def all_ids(u, seq):
+        u.settle()
+        return [u.text[k] for k in seq]
+
     first = all_ids(units, align.units_of(units, text))
     monkeypatch.setattr(align, "SLICE_CHARS", 100)
     monkeypatch.setattr(align, "CHUNK", 3)
     units = align.Units(vocabulary)
-    assert ";".join(all_ids(units, align.units_of(units, text))) == ";".join(first) and len(whole) > 1000
+    assert ";".join(all_ids(units, align.units_of(units, text))) == ";".join(first) and len(first) > 1000
 
 
 def test_without_safe_cuts_texts_are_encoded_whole(vocabulary, monkeypatch):
