@@ -1,21 +1,26 @@
 """Backward as-of join: each left row gets the latest right row of the same
 key whose date is on or before the left date (point-in-time correct).
 
-Plan, chosen so no key -- however hot -- lands in one task with its rows:
-
-1. right side reduced to ONE row per (key, date): the survivor of that day
-   by the tiebreak columns (``max`` of a struct, partially aggregated on the
-   map side);
-2. left side reduced to its distinct (key, date) pairs (partial aggregate);
-3. both stacked and scanned by a window per key ordered by date, carrying
-   the last right row forward.  For dates a window holds at most the key's
-   distinct calendar days.  Dense timelines (timestamps, numbers) are split
-   into (key, bucket) windows instead, and
-4. the value carried into each bucket from earlier ones comes from the last
-   right row of every (key, bucket) and a window per key over its buckets
-   (one row per bucket);
-5. the matches joined back to the left rows on (key, date): an equi-join
-   that spreads a hot key over its dates (AQE splits a hot (key, date)).
+The right side is first reduced to one row per (key, date): the survivor of
+that day by the tiebreak columns (``max`` of a struct, partially aggregated on
+the map side).  Then one of two plans, neither of which puts a hot key's rows
+in one task:
+
+*Dates* (``_timeline``): the right side becomes one row per (key, year) with
+the array of its days in that year, led by what held at the year's start; years
+without a day carry on what held before.  An array has at most 367 entries,
+years are bounded by the calendar.  Each left row meets exactly one such row by
+an equi-join on (key, year) and takes the last entry up to its date.  The left
+side is read once, moved at most once, and never sorted into a window; AQE
+splits a hot (key, year), since every left row finds its match by itself.
+
+*Timestamps and numbers* (``_carry_forward``), whose timelines can be dense:
+the left side's distinct (key, order) pairs and the right rows are stacked and
+scanned by windows per (key, bucket), carrying the last right row forward; what
+is carried into a bucket comes from a window over the key's buckets, one row
+each.  Buckets are days for timestamps and quantiles of the right side for
+numbers, so outliers do not stretch them.  The matches are joined back to the
+left rows, which are read a second time.
 """
 
 from __future__ import annotations
@@ -42,29 +47,40 @@ def _day_survivors(right: DataFrame, by: str, right_on: str, payload_cols, tiebr
     return r.groupBy(F.col(by).alias("__k"), F.col(right_on).alias("__d")).agg(*aggs)
 
 
-#: Ranges that "auto" cuts the right side's span of a numeric order column into.
-NUMERIC_BUCKETS = 1024
+#: Quantiles of the right side that "auto" cuts a numeric order column at: two
+#: levels of QUANTILES each, so a row is placed by two short comparisons.
+QUANTILES = 32
 
 
 def _span(right: DataFrame, on: str, bucket):
-    """(lowest value, bucket width) of a numeric order column as expressions:
-    one row from one aggregate, read by the plan itself; ``None`` otherwise."""
+    """How a numeric order column is cut, as a function of its values: the
+    given width, or quantiles of the right side (one row from one aggregate,
+    read by the plan itself).  ``None`` for other types."""
     if bucket is None or not isinstance(right.schema[on].dataType, T.NumericType):
         return None
-    ends = right.agg(F.min(on).cast("double").alias("lo"), F.max(on).cast("double").alias("hi"))
-    low, high = ends.select("lo").scalar(), ends.select("hi").scalar()
-    width = F.lit(float(bucket)) if isinstance(bucket, (int, float)) else F.greatest(F.lit(1e-9), (high - low) / NUMERIC_BUCKETS)
-    return low, width
+    if isinstance(bucket, (int, float)):
+        return lambda d: F.floor(d.cast("double") / F.lit(float(bucket)))
+    n = QUANTILES * QUANTILES
+    shares = F.array(*[F.lit(i / n) for i in range(1, n)])
+    cuts = right.select(F.percentile_approx(F.col(on).cast("double"), shares, 10 * n).alias("cuts")).select("cuts").scalar()
+
+    def place(d):
+        v = d.cast("double")
+        all_cuts = F.coalesce(cuts, F.array().cast("array<double>"))
+        coarse = F.size(F.filter(F.transform(F.sequence(F.lit(QUANTILES - 1), F.lit(n - 2), F.lit(QUANTILES)), lambda i: F.get(all_cuts, i)), lambda c: c <= v))
+        fine = F.size(F.filter(F.slice(all_cuts, coarse * QUANTILES + 1, F.lit(QUANTILES)), lambda c: c <= v))
+        return (coarse * QUANTILES + fine).cast("long")
+    return place
 
 
 def _bucket_of(d, dtype: T.DataType, bucket, span=None):
     """Time bucket of the order column: ``"year"`` or a ``date_trunc`` unit.
     ``"auto"``: none for dates -- a key's timeline is at most its calendar
     days, a few hundred rows a year -- and ``"day"`` for timestamps, whose
-    timelines can be dense.  Numeric order columns are cut into equal ranges
-    of the right side's ``span``.  ``None`` for other types."""
+    timelines can be dense.  Numeric order columns are cut by ``span``.
+    ``None`` for other types."""
     if span is not None:
-        return F.floor((d.cast("double") - span[0]) / span[1])
+        return span(d)
     if not isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return None
     if bucket == "auto":
@@ -108,6 +124,39 @@ def _carry_forward(left: DataFrame, day_rows: DataFrame, by: str, left_on: str,
                                       for i, c in enumerate(ev_cols)])
 
 
+def _timeline(day_rows: DataFrame, ev_cols, last_year) -> DataFrame:
+    """(key, year, days): for each key and every year from its first to
+    ``last_year``, which also stands for all later ones, the sorted (date,
+    values) that can match in it."""
+    # what holds on each day: the last value of every column (a key's days only)
+    w = Window.partitionBy("__k").orderBy("__d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    state = [F.last(c, ignorenulls=True).over(w).alias(c) for c in ev_cols] if len(ev_cols) > 1 else [F.col(c) for c in ev_cols]
+    held = day_rows.select("__k", "__d", F.year("__d").alias("__y"), F.struct(F.col("__d").alias("d"), *state).alias("day"))
+    years = held.groupBy("__k", "__y").agg(F.sort_array(F.collect_list("day")).alias("days"), F.max("day").alias("last"))
+    over = Window.partitionBy("__k").orderBy("__y")
+    years = years.select("__k", "__y", "days", "last", F.lag("last").over(over).alias("before"), F.lead("__y").over(over).alias("next"))
+    upto = F.coalesce(F.col("next") - 1, last_year)
+    filled = years.select("__k", "__y", "days", "last", "before", F.explode(F.sequence("__y", upto)).alias("year"))
+    first = F.when(F.col("before").isNotNull(), F.concat(F.array("before"), F.col("days"))).otherwise(F.col("days"))
+    return filled.select(F.col("__k"), F.col("year").alias("__y"),
+                         F.when(F.col("year") == F.col("__y"), first).otherwise(F.array("last")).alias("days"))
+
+
+def _matched(left: DataFrame, day_rows: DataFrame, right: DataFrame, by: str, left_on: str, right_on: str, ev_cols, bucket) -> DataFrame:
+    """Left rows with the values that match them, as columns ``ev_cols``."""
+    dates = all(isinstance(df.schema[c].dataType, T.DateType) for df, c in ((left, left_on), (right, right_on)))
+    if bucket != "auto" or not dates:
+        matched = _carry_forward(left, day_rows, by, left_on, ev_cols, bucket, _span(right, right_on, bucket))
+        return left.join(matched, (left[by] == matched["__k"]) & (left[left_on] == matched["__d"]), "left")
+    last_year = right.agg(F.max(F.year(right_on)).alias("y")).select("y").scalar()
+    timeline = _timeline(day_rows, ev_cols, last_year)
+    asked = left.withColumn("__ask", F.least(F.year(left[left_on]), last_year))
+    out = asked.join(timeline, (asked[by] == timeline["__k"]) & (asked["__ask"] == timeline["__y"]), "left")
+    found = F.try_element_at(F.filter(timeline["days"], lambda x: x["d"] <= left[left_on]), F.lit(-1))
+    out = out.withColumn("__found", found)
+    return out.select(*[left[c] for c in left.columns], *[F.col("__found")[c].alias(c) for c in ev_cols])
+
+
 def asof_join(left: DataFrame, right: DataFrame, *, by: str, left_on: str, right_on: str,
               columns=None, tiebreak=(), prefix: str = "", bucket: str | None = "auto") -> DataFrame:
     """Backward as-of LEFT join.
@@ -119,8 +168,9 @@ def asof_join(left: DataFrame, right: DataFrame, *, by: str, left_on: str, right
     brought columns.  ``bucket`` splits each key's timeline into time
     buckets (``"year"`` or a ``date_trunc`` unit such as ``"hour"``, or a
     width for a numeric order column; ``None`` scans a key's whole timeline in
-    one window; ``"auto"``: none for dates, ``"day"`` for timestamps, equal
-    ranges of the right side for numbers).
+    one window; ``"auto"``: one lookup by (key, year) for dates, ``"day"``
+    buckets for timestamps, quantiles of the right side for numbers).  Left
+    rows without a key or a date match nothing.
     """
     require_columns(left, [by, left_on], "left")
     require_columns(right, [by, right_on], "right")
@@ -128,8 +178,7 @@ def asof_join(left: DataFrame, right: DataFrame, *, by: str, left_on: str, right
     if right_on not in cols:
         cols = [right_on] + cols
     day_rows = _day_survivors(right, by, right_on, cols, list(tiebreak))
-    matched = _carry_forward(left, day_rows, by, left_on, ["__ev"], bucket, _span(right, right_on, bucket))
-    out = left.join(matched, (left[by] == matched["__k"]) & (left[left_on] == matched["__d"]), "left")
+    out = _matched(left, day_rows, right, by, left_on, right_on, ["__ev"], bucket)
     return out.select(*[left[c] for c in left.columns],
                       *[F.col(f"__ev.{c}").alias(prefix + c) for c in cols])
 
@@ -146,7 +195,6 @@ def asof_join_by_group(left: DataFrame, right: DataFrame, *, by: str, left_on: s
         cols = [right_on] + cols
     day_rows = _day_survivors(right, by, right_on, cols, list(tiebreak), group_col, groups)
     ev_cols = [f"__ev{i}" for i in range(len(groups))]
-    matched = _carry_forward(left, day_rows, by, left_on, ev_cols, bucket, _span(right, right_on, bucket))
-    out = left.join(matched, (left[by] == matched["__k"]) & (left[left_on] == matched["__d"]), "left")
+    out = _matched(left, day_rows, right, by, left_on, right_on, ev_cols, bucket)
     brought = [F.col(f"__ev{i}.{c}").alias(f"{g}_{c}") for i, g in enumerate(groups) for c in cols]
     return out.select(*[left[c] for c in left.columns], *brought)

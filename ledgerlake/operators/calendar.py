@@ -92,38 +92,76 @@ def expected_dates_array(cal: DataFrame, start, end, exchange: str = SETTINGS.de
     return days.agg(F.sort_array(F.collect_set("cal_date"))).scalar()
 
 
+def day_bitmaps(df: DataFrame, date_col: str, start, end, group_cols=()) -> DataFrame:
+    """(group, days): one bit per day of [start, end], set where the group has
+    a row of that day.  Bitmaps of parts of the data merge by OR
+    (``merge_day_bitmaps``), so a part's bitmaps can be kept and only new parts
+    be read.  A range has at most MOST_DAYS days (one bitmap of 4 KB)."""
+    place = _place(date_col, to_date_param(start), to_date_param(end))
+    return df.groupBy(*group_cols).agg(F.bitmap_construct_agg(place).alias("days"))
+
+
+def _place(date_col: str, s: _dt.date, e: _dt.date):
+    """The bit of a day, null outside [s, e] (nulls set no bit)."""
+    if (e - s).days >= MOST_DAYS:
+        raise ValueError(f"a range of at most {MOST_DAYS} days; got {(e - s).days + 1}")
+    d = F.col(date_col)
+    return F.when(d.between(F.lit(s), F.lit(e)), F.datediff(d, F.lit(s)).cast("long"))
+
+
+#: Bits of Spark's bitmaps.
+MOST_DAYS = 32_768
+
+
+def merge_day_bitmaps(df: DataFrame, group_cols=()) -> DataFrame:
+    return df.groupBy(*group_cols).agg(F.bitmap_or_agg("days").alias("days"))
+
+
+def _bit(days, place):
+    """Whether the bit at ``place`` is set (false for no bitmap)."""
+    byte = F.conv(F.hex(F.substring(days, (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.call_function("shiftright", byte, F.pmod(place, F.lit(8))).bitwiseAND(1) == 1, F.lit(False))
+
+
 def coverage_summary(cal: DataFrame, actual: DataFrame, date_col: str, start, end,
-                     group_cols=(), exchange: str = SETTINGS.default_exchange) -> DataFrame:
+                     group_cols=(), exchange: str = SETTINGS.default_exchange,
+                     universe: DataFrame | None = None) -> DataFrame:
     """Coverage of a table's dates against open days in [start, end].
 
     Per group (or one row for the whole table): expected_dates = open days in
     range; actual_dates = distinct dates present (any date, also outside the
     range); covered_dates = expected days present; missing_dates = sorted
-    array of expected days absent.  Per-group sets are built only from dates
-    inside the range, so each is bounded by the range length.
+    array of expected days absent.  A group's days are one bit each, built on
+    the map side; the range bounds what the open days and a group's missing
+    days can be.  ``universe`` (group columns) names the groups to report: one
+    without any row has all days missing.  Groups outside of it are left out.
     """
     s, e = to_date_param(start), to_date_param(end)
     expected = expected_dates_array(cal, s, e, exchange)
-    d = F.col(date_col)
-    in_range = F.when(d.between(F.lit(s), F.lit(e)), d)
     grouped = actual.groupBy(*group_cols) if group_cols else actual.groupBy()
-    agg = grouped.agg(F.count_distinct(d).alias("actual_dates"),
-                      F.collect_set(in_range).alias("__seen"))
+    agg = grouped.agg(F.count_distinct(F.col(date_col)).alias("actual_dates"),
+                      F.bitmap_construct_agg(_place(date_col, s, e)).alias("__days"))
+    if universe is not None:
+        groups = universe.select(*group_cols).distinct().withColumnsRenamed({c: f"__u_{c}" for c in group_cols})
+        same = [F.col(f"__u_{c}").eqNullSafe(F.col(c)) for c in group_cols]
+        agg = groups.join(agg, same, "left").select(*[F.col(f"__u_{c}").alias(c) for c in group_cols], "actual_dates", "__days")
     # the scalar subquery is referenced once, then reused as a column
-    with_exp = agg.select(*group_cols, "actual_dates", "__seen", expected.alias("__exp"))
-    return with_exp.select(
+    with_exp = agg.select(*group_cols, F.coalesce("actual_dates", F.lit(0)).cast("long").alias("actual_dates"), "__days", expected.alias("__exp"))
+    missing = F.filter("__exp", lambda d: ~_bit(F.col("__days"), F.datediff(d, F.lit(s))))
+    return with_exp.withColumn("__missing", missing).select(
         *group_cols,
         F.size("__exp").cast("long").alias("expected_dates"),
         "actual_dates",
-        F.size(F.array_intersect("__exp", "__seen")).cast("long").alias("covered_dates"),
-        F.array_except("__exp", "__seen").alias("missing_dates"),
+        (F.size("__exp") - F.size("__missing")).cast("long").alias("covered_dates"),
+        F.col("__missing").alias("missing_dates"),
     )
 
 
 def coverage_missing_dates(cal: DataFrame, actual: DataFrame, date_col: str, start, end,
-                           group_cols=(), exchange: str = SETTINGS.default_exchange) -> DataFrame:
+                           group_cols=(), exchange: str = SETTINGS.default_exchange,
+                           universe: DataFrame | None = None) -> DataFrame:
     """One row per (group, missing open day)."""
-    summary = coverage_summary(cal, actual, date_col, start, end, group_cols, exchange)
+    summary = coverage_summary(cal, actual, date_col, start, end, group_cols, exchange, universe)
     return summary.select(*group_cols, F.explode("missing_dates").alias("missing_date"))
 
 

@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import types as T
 
-from ..operators.clean import clean_table, prepare_table
+from ..operators.clean import clean_table, empty_table, prepare_table
 from ..operators.dedup import dedup_counts, pk_duplicate_count, survivorship_dedup
 from ..operators.quality import null_profile
 from ..functions.dates import parse_date_multi
@@ -281,37 +282,32 @@ def _profile_sql(cols) -> str:
         f"AS all_numeric FROM events_text" for c in cols)
 
 
-def _schema_rows(table_name: str, frame: DataFrame) -> DataFrame:
-    """(table_name, column_name, data_type, n_rows): the frame's schema as
-    rows, with its row count from one aggregate over the frame."""
-    entries = [F.struct(F.lit(n).alias("column_name"), F.lit(t).alias("data_type")) for n, t in frame.dtypes]
-    return (frame.agg(F.count(F.lit(1)).alias("n_rows"))
-                 .select(F.lit(table_name).alias("table_name"), F.inline(F.array(*entries)), "n_rows"))
+_EMPTY_COLUMNS = {"income": {"ts_code": "string", "end_date": "date", "ann_date": "date", "amount": "string", "source_table": "string", "real_ann_date": "date"},
+                  "suspend_d": {"ts_code": "string", "trade_date": "date", "suspend_timing": "string"}}
 
 
-@query("empty_table_schema", """
-SELECT * FROM (VALUES
-  ('suspend_d', 'ts_code', 'string', 0), ('suspend_d', 'trade_date', 'date', 0),
-  ('suspend_d', 'suspend_timing', 'string', 0),
-  ('income', 'ts_code', 'string', 0), ('income', 'ann_date', 'date', 0), ('income', 'end_date', 'date', 0),
-  ('income', 'amount', 'string', 0), ('income', 'source_table', 'string', 0),
-  ('income', 'f_ann_date', 'date', 0), ('income', 'comp_type', 'string', 0),
-  ('income', 'update_flag', 'string', 0), ('income', 'real_ann_date', 'date', 0)
-) AS t(table_name, column_name, data_type, n_rows)""")
+@query("empty_table_schema", with_fixtures(["fin_raw", "suspend_raw"], """
+SELECT table_name, column_name, data_type, CAST(n_values AS BIGINT) AS n_values FROM (
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{kind}' AS data_type, "
+    + {"source_table": "COUNT(*)", "real_ann_date": "0 * COUNT(*)"}.get(c, f"COUNT({c})") + f" AS n_values FROM {'fin_raw' if t == 'income' else 'suspend_raw'}"
+    for t, cols in _EMPTY_COLUMNS.items() for c, kind in cols.items()) + ")"))
 def q_empty_table_schema(spark, d):
-    """Empty batches (no rows after the last one in the data) still clean to
-    a typed table: keys and dates typed, untyped text kept, the statement
-    extras added."""
-    ev = fx.table(spark, d, "events")
-    after = ev.where(F.col("ts") > ev.agg(F.max("ts")).scalar())
-    suspend = after.select(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ts_code"),
-                           F.date_format("ts", "yyyyMMdd").alias("trade_date"),
-                           F.lit("09:30-11:30").alias("suspend_timing"))
-    fin = fx.fin_raw(spark, d)
-    fin_after = fin.where(F.col("ann_date") > fin.agg(F.max("ann_date")).scalar())
-    income = fin_after.select("ts_code", "ann_date", "end_date", "amount")
-    return (_schema_rows("suspend_d", clean_table("suspend_d", suspend).frame)
-            .unionByName(_schema_rows("income", clean_table("income", income).frame)))
+    """Typed empty tables as the first part of a union with landing rows of
+    all tables: they give the columns that the rows lack and the types of
+    those that are parsed; values per column are those of the rows."""
+    out = []
+    for name, raw in (("income", fx.fin_raw(spark, d)), ("suspend_d", fx.suspend_raw(spark, d))):
+        kept = [c for c in _EMPTY_COLUMNS[name] if c in raw.columns]
+        rows = raw.select(*[parse_date_multi(c, raw.schema[c].dataType).alias(c) if _EMPTY_COLUMNS[name][c] == "date" else F.col(c) for c in kept])
+        if name == "income":
+            rows = rows.withColumn("source_table", F.lit("income"))
+        extra = {c: T.StringType() for c in kept if c not in ("ts_code", "end_date", "ann_date", "trade_date")}
+        full = union_aligned([empty_table(spark, name, extra), rows])
+        counts = full.agg(*[F.count(c).alias(c) for c in full.columns])
+        entries = [F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("data_type"), F.col(c).alias("n_values")) for c, t in full.dtypes]
+        out.append(counts.select(F.lit(name).alias("table_name"), F.inline(F.array(*entries))))
+    return union_aligned(out)
 
 
 @query("numeric_like_profile", with_fixtures([], _profile_sql(
@@ -557,6 +553,21 @@ def q_coverage_summary(spark, d):
                     F.size("missing_dates").cast("long").alias("n_missing"))
 
 
+@query("coverage_universe", with_fixtures(["cal"], """
+SELECT c.c_custkey AS user_id, CAST(COUNT(e.cal_date) AS BIGINT) AS expected_dates,
+       CAST((SELECT COUNT(*) FROM act a WHERE a.user_id = c.c_custkey) AS BIGINT) AS actual_dates,
+       CAST(COUNT(a.d) AS BIGINT) AS covered_dates,
+       coalesce(string_agg(CAST(e.cal_date AS VARCHAR), ',' ORDER BY e.cal_date) FILTER (a.d IS NULL), '') AS missing
+FROM customer c CROSS JOIN exp e LEFT JOIN act a ON a.user_id = c.c_custkey AND a.d = e.cal_date
+GROUP BY c.c_custkey""", _COV_CTES))
+def q_coverage_universe(spark, d):
+    """Every customer as a symbol: those without a row miss every open day."""
+    s = coverage_summary(fx.cal(spark, d), _user_dates(spark, d), "d", "20240101", "20240130", group_cols=["user_id"],
+                         universe=fx.table(spark, d, "customer").select(F.col("c_custkey").alias("user_id")))
+    return s.select("user_id", "expected_dates", "actual_dates", "covered_dates",
+                    F.array_join(F.transform("missing_dates", lambda x: x.cast("string")), ",").alias("missing"))
+
+
 # ---- symbols, years, batches, windows -------------------------------------------------------
 @query("filter_symbols", with_fixtures(["trades"], """
 SELECT l_orderkey, l_linenumber, ts_code FROM trades
@@ -648,7 +659,8 @@ from ..operators.calendar import calendar_from_parquet  # noqa: E402
 from ..operators.quality import table_quality  # noqa: E402
 from ..sources.lake import Lake  # noqa: E402
 from .lakehouse import (backfill_daily, backfill_financial, daily_update, history_build,  # noqa: E402
-                        process_table, rebuild_summary, write_raw)
+                        process_table, rebuild_summary, rejects, write_raw)
+from .quality_state import batch_state, state_report  # noqa: E402
 from .query import head, query_daily_master, query_financial_events  # noqa: E402
 
 
@@ -683,10 +695,17 @@ def q_scan_one_year(spark, d):
 
 
 @query("partition_write_log", """
-SELECT 'orders' AS dataset_name, CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS row_count
-FROM orders GROUP BY 2""")
+SELECT 'orders' AS dataset_name, CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS row_count,
+       'dwd/orders/year=' || year(o_orderdate) AS directory, TRUE AS files_counted
+FROM orders GROUP BY 2, 4""")
 def q_partition_write_log(spark, d):
-    return _orders_lake(spark, d).partition_log("dwd", "orders").select("dataset_name", "year", "row_count")
+    """The log's rows and directory, and its file count against a listing."""
+    lake = _orders_lake(spark, d)
+    log = lake.partition_log("dwd", "orders")
+    listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(lake.path("dwd", "orders"))
+              .groupBy("year").agg(F.count(F.lit(1)).alias("n_files")))
+    return log.join(listed, "year").select("dataset_name", "year", "row_count", F.regexp_extract("path", "[^/]+/[^/]+/[^/]+$", 0).alias("directory"),
+                                           (F.col("file_count") == F.col("n_files")).alias("files_counted"))
 
 
 @query("write_layout", """
@@ -1068,28 +1087,121 @@ def q_history_build(spark, d):
     return log.join(sums, ["layer", "dataset_name", "year"], "left").select("layer", "dataset_name", "year", "row_count", "checksum")
 
 
-@query("daily_update", with_fixtures(["bars_raw", "basic", "adj", "cal", "limit_raw"], """
-SELECT 'daily_master' AS dataset_name, m.ts_code, m.trade_date, m.event_id,
+#: Days from a statement of ``fin_raw`` to its late copy, which falls into the
+#: 90 days before the update's as-of date for the youngest orders.
+_LATE_DAYS = 8220
+
+
+def _late_landing(spark, d) -> dict[str, DataFrame]:
+    """Ten landing tables of an update: corrected values for all days (the run
+    takes the recent ones) and statements announced _LATE_DAYS later."""
+    ev = fx.table(spark, d, "events").select("event_id", "value")
+    bars = (fx.bars_raw(spark, d).join(ev, "event_id")
+            .withColumn("close", F.when(F.col("close").isNotNull(), F.format_string("%.2f", F.col("value") + 1))).drop("value"))
+
+    def later(c: str):
+        return F.date_format(F.date_add(F.to_date(c, "yyyyMMdd"), _LATE_DAYS), "yyyyMMdd")
+
+    statements = {n: df.withColumns({c: later(c) for c in ("ann_date", "f_ann_date") if c in df.columns}) for n, df in _statement_slices(spark, d).items()}
+    return {"daily": bars, "daily_basic": fx.basic(spark, d).withColumn("turnover_rate", F.col("turnover_rate") + 1),
+            "adj_factor": fx.adj(spark, d).withColumn("adj_factor", F.col("adj_factor") + 1),
+            "trade_cal": fx.cal_raw(spark, d), "stock_basic": _stock_raw(spark, d).withColumn("acctbal", F.lit("0.5")),
+            "suspend_d": fx.suspend_raw(spark, d).withColumn("suspend_type", F.lit("U")),
+            "stk_limit": fx.limit_raw(spark, d, 20.0), **statements}
+
+
+@query("daily_update", with_fixtures(["bars_raw", "basic", "adj", "cal", "fin_raw", "suspend_raw", "limit_raw"], f"""
+SELECT 'daily_master' AS dataset_name, m.ts_code, m.trade_date AS day, m.event_id AS id,
        CASE WHEN m.trade_date IN (SELECT cal_date FROM recent) AND m.close IS NOT NULL
-            THEN CAST(printf('%.2f', e.value + 1) AS DOUBLE) ELSE m.close END AS close
+            THEN CAST(printf('%.2f', e.value + 1) AS DOUBLE) ELSE m.close END AS a,
+       m.turnover_rate + CASE WHEN m.trade_date IN (SELECT cal_date FROM recent) THEN 1 ELSE 0 END AS b,
+       m.adj_factor + CASE WHEN m.trade_date IN (SELECT cal_date FROM recent) THEN 1 ELSE 0 END AS c, m.tag AS t
 FROM master m JOIN events e ON m.event_id = e.event_id
 UNION ALL SELECT 'stk_limit', ts_code, day, event_id,
-       CAST(CASE WHEN day IN (SELECT cal_date FROM recent) THEN later_limit ELSE up_limit END AS DOUBLE)
-FROM (SELECT *, CAST(strptime(trade_date, '%Y%m%d') AS DATE) AS day FROM limit_raw
-      QUALIFY row_number() OVER (PARTITION BY ts_code, trade_date ORDER BY event_id DESC) = 1)""", MASTER_SQL + ",\n" + _RECENT_SQL))
+       CAST(CASE WHEN day IN (SELECT cal_date FROM recent) THEN later_limit ELSE up_limit END AS DOUBLE), CAST(down_limit AS DOUBLE), NULL, NULL
+FROM stk_limit
+UNION ALL SELECT 'suspend_d', ts_code, day, event_id, NULL, NULL, NULL,
+       CASE WHEN day IN (SELECT cal_date FROM recent) THEN 'U' ELSE suspend_type END || coalesce(suspend_timing, '')
+FROM suspend_d
+UNION ALL SELECT DISTINCT 'stock_basic', ts_code, CAST(strptime(list_date, '%Y%m%d') AS DATE), CAST(NULL AS BIGINT), 0.5, NULL, NULL, name FROM stock_raw
+UNION ALL SELECT 'trade_cal', exchange, cal_date, NULL,
+       CASE WHEN exchange = 'SSE' AND day(cal_date) = 13 THEN NULL ELSE CAST(is_open AS DOUBLE) END, NULL, NULL, NULL FROM cal
+UNION ALL SELECT 'financial_events', ts_code, real_ann_date, o_orderkey, roe, revenue, total_assets, source_table FROM events_stream
+UNION ALL SELECT 'financial_events', ts_code, CAST(real_ann_date + INTERVAL {_LATE_DAYS} DAY AS DATE), o_orderkey, roe, revenue, total_assets, source_table
+FROM events_stream WHERE CAST(ann_date + INTERVAL {_LATE_DAYS} DAY AS DATE) BETWEEN DATE '2023-10-30' AND DATE '2024-01-28'""",
+       _FLOW_CTES + ",\n" + _RECENT_SQL))
 def q_daily_update(spark, d):
+    """A history of ten landing tables, then a daily update of all ten; both
+    summary products and the auxiliary tables by value."""
     lake = _new_lake(spark)
-    base = {"daily": fx.bars_raw(spark, d), "daily_basic": fx.basic(spark, d), "adj_factor": fx.adj(spark, d),
-            "stk_limit": fx.limit_raw(spark, d)}
-    history_build(spark, lake.root, base, order_first=["event_id"])
-    ev = fx.table(spark, d, "events").select("event_id", "value")
-    bumped = (fx.bars_raw(spark, d).join(ev, "event_id")
-              .withColumn("close", F.when(F.col("close").isNotNull(),
-                                          F.format_string("%.2f", F.col("value") + 1)))
-              .drop("value"))
-    daily_update(spark, lake.root, {"daily": bumped, "stk_limit": fx.limit_raw(spark, d, 20.0),
-                                    "trade_cal": fx.cal_raw(spark, d)}, "20240128", order_first=["event_id"])
-    master = lake.scan("dws", "daily_master").select(F.lit("daily_master").alias("dataset_name"), "ts_code", "trade_date", "event_id", "close")
-    limits = lake.scan("dwd", "stk_limit").select(F.lit("stk_limit").alias("dataset_name"), "ts_code", "trade_date", "event_id",
-                                                  F.col("up_limit").alias("close"))
-    return master.unionByName(limits)
+    history_build(spark, lake.root, _landing(spark, d), order_first=_ORDER_HINTS)
+    daily_update(spark, lake.root, _late_landing(spark, d), "20240128", order_first=_ORDER_HINTS)
+    return _update_rows(lake)
+
+
+def _update_rows(lake: Lake, names=None) -> DataFrame:
+    rows = {
+        "daily_master": ("dws", "ts_code", "trade_date", "event_id", "close", "turnover_rate", "adj_factor", "tag"),
+        "stk_limit": ("dwd", "ts_code", "trade_date", "event_id", "up_limit", "down_limit", "NULL", "NULL"),
+        "suspend_d": ("dwd", "ts_code", "trade_date", "event_id", "NULL", "NULL", "NULL", "suspend_type || coalesce(suspend_timing, '')"),
+        "stock_basic": ("dwd", "ts_code", "list_date", "NULL", "acctbal", "NULL", "NULL", "name"),
+        "trade_cal": ("dwd", "exchange", "cal_date", "NULL", "is_open", "NULL", "NULL", "NULL"),
+        "financial_events": ("dws", "ts_code", "real_ann_date", "o_orderkey", "roe", "revenue", "total_assets", "source_table")}
+    types = {"day": "date", "id": "bigint", "a": "double", "b": "double", "c": "double", "t": "string"}
+    parts = []
+    for name, (layer, code, *values) in rows.items():
+        if names is None or name in names:
+            parts.append(lake.scan(layer, name).select(F.lit(name).alias("dataset_name"), F.expr(code).alias("ts_code"),
+                                                       *[F.expr(v).cast(t).alias(c) for v, (c, t) in zip(values, types.items())]))
+    return union_aligned(parts)
+
+
+@query("stream_update", with_fixtures(["bars_raw", "basic", "adj", "cal", "fin_raw"], """
+SELECT 'daily_master' AS dataset_name, ts_code, trade_date AS day, event_id AS id, close AS a, turnover_rate AS b, adj_factor AS c, tag AS t FROM master
+UNION ALL SELECT 'financial_events', ts_code, real_ann_date, o_orderkey, roe, revenue, total_assets, source_table
+FROM events_stream""", MASTER_SQL + ",\n" + EVENTS_SQL))
+def q_stream_update(spark, d):
+    """Landing folders drained as streams through all three layers, the bars
+    in micro-batches of one file, give what one batch build gives."""
+    from ..streaming.update_stream import drain
+    lake, home = _new_lake(spark), scratch_path(spark, "landing")
+    sources = {"daily_basic": fx.basic(spark, d), "adj_factor": fx.adj(spark, d), **_statement_slices(spark, d), "daily": fx.bars_raw(spark, d)}
+    landing = {}
+    for name, df in sources.items():
+        df.repartition(2 if name == "daily" else 1).write.parquet(f"{home}/{name}")
+        landing[name] = (f"{home}/{name}", df.schema)
+    drain(spark, landing, lake.root, f"{home}-checkpoints", order_first=_ORDER_HINTS, max_files_per_trigger=1)
+    return _update_rows(lake, ("daily_master", "financial_events"))
+
+
+@query("rejected_rows", with_fixtures(["fin_raw", "cal", "bars_raw"], """
+SELECT src AS table_name, CASE WHEN ann_date IS NULL THEN 'no announcement date' WHEN src <> 'fina_indicator' AND report_type <> '1' THEN 'other statement type' ELSE 'kept' END AS reason,
+       COUNT(*) AS n_rows FROM fin_raw GROUP BY 1, 2
+UNION ALL SELECT 'trade_cal', CASE WHEN exchange = 'SSE' AND day(cal_date) = 13 THEN 'bad integer' ELSE 'kept' END, COUNT(*) FROM cal GROUP BY 2
+UNION ALL SELECT 'daily', CASE WHEN event_id % 9 = 0 THEN 'no partition year' ELSE 'kept' END, COUNT(*) FROM bars_raw GROUP BY 2"""))
+def q_rejected_rows(spark, d):
+    """Landing rows by reason: kept and rejected ones add up to the landed."""
+    lake = _new_lake(spark)
+    bars = fx.bars_raw(spark, d).withColumn("trade_date", F.when(F.col("event_id") % 9 == 0, F.lit("soon")).otherwise(F.col("trade_date")))
+    landed = {**_statement_slices(spark, d), "trade_cal": fx.cal_raw(spark, d), "daily": bars}
+    for name in [*landed, "trade_cal"]:              # the same batch again replaces what it left
+        process_table(lake, name, landed[name], "20150101", order_first=_ORDER_HINTS, batch="first")
+    counted = rejects(lake).groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    kept = batch_state(lake).select("table_name", F.lit("kept").alias("reason"), F.col("rows_before").alias("n_rows"))
+    return counted.unionByName(kept)
+
+
+@query("run_quality_report", with_fixtures(["bars_raw", "fin"], """
+SELECT 'daily' AS table_name, c AS column_name, CAST((SELECT COUNT(*) FROM daily) AS BIGINT) AS row_count,
+       CAST(CASE c WHEN 'close' THEN (SELECT COUNT(*) FROM daily WHERE close IS NULL) WHEN 'tag' THEN (SELECT COUNT(*) FROM daily WHERE tag IS NULL) ELSE 0 END AS BIGINT) AS null_count,
+       CAST((SELECT COUNT(*) FROM bars_raw) AS BIGINT) AS landed_rows, CAST(2 AS BIGINT) AS n_batches
+FROM (VALUES ('ts_code'), ('trade_date'), ('close'), ('tag'), ('update_flag'), ('event_id')) AS t(c)""", DAILY_SQL))
+def q_run_quality_report(spark, d):
+    """A build and an update; the report is merged from the measures that the
+    writes left, and equals SQL over the whole table."""
+    lake = _new_lake(spark)
+    bars = fx.bars_raw(spark, d)
+    for k in range(2):
+        process_table(lake, "daily", bars.where(F.col("event_id") % 2 == k), "20150101", order_first=_ORDER_HINTS, order_batches=True, batch=f"b{k}")
+    report = state_report(lake)
+    return report.select("table_name", F.explode("null_counts").alias("column_name", "null_count"), "row_count", "landed_rows", "n_batches")

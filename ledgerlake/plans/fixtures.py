@@ -129,10 +129,10 @@ def cal_raw(spark, sf_dir) -> DataFrame:
 
 # ------------------------------------------------- suspend_raw / limit_raw
 def suspend_raw(spark, sf_dir) -> DataFrame:
-    """Trading suspensions as landing text: every 11th event; the time range
+    """Trading suspensions as landing text, one per event; the time range
     null for every 3rd of them, so a fuller row of the day survives."""
     k = F.col("event_id")
-    return table(spark, sf_dir, "events").where(k % 11 == 0).select(
+    return table(spark, sf_dir, "events").select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ts_code"),
         F.date_format(_d("ts"), "yyyyMMdd").alias("trade_date"),
         F.when(k % 3 != 0, F.concat(F.lpad((k % 12).cast("string"), 2, "0"), F.lit(":00-15:00"))).alias("suspend_timing"),
@@ -140,8 +140,8 @@ def suspend_raw(spark, sf_dir) -> DataFrame:
 
 
 def limit_raw(spark, sf_dir, room: float = 10.0) -> DataFrame:
-    """Price limits as landing text: every 5th event, ``room`` above."""
-    return table(spark, sf_dir, "events").where(F.col("event_id") % 5 == 1).select(
+    """Price limits as landing text, one per event, ``room`` above."""
+    return table(spark, sf_dir, "events").select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ts_code"),
         F.date_format(_d("ts"), "yyyyMMdd").alias("trade_date"),
         F.format_string("%.2f", F.col("value") + room).alias("up_limit"),
@@ -152,12 +152,12 @@ SUSPEND_SQL = """suspend_raw AS (
   SELECT 'U' || CAST(user_id AS VARCHAR) AS ts_code, strftime(CAST(ts AS DATE), '%Y%m%d') AS trade_date,
          CASE WHEN event_id % 3 <> 0 THEN lpad(CAST(event_id % 12 AS VARCHAR), 2, '0') || ':00-15:00' END AS suspend_timing,
          CASE WHEN event_id % 2 = 0 THEN 'S' ELSE 'R' END AS suspend_type, event_id
-  FROM events WHERE event_id % 11 = 0)"""
+  FROM events)"""
 LIMIT_SQL = """limit_raw AS (
   SELECT 'U' || CAST(user_id AS VARCHAR) AS ts_code, strftime(CAST(ts AS DATE), '%Y%m%d') AS trade_date,
          printf('%.2f', value + 10) AS up_limit, printf('%.2f', value + 20) AS later_limit,
          printf('%.2f', value) AS down_limit, event_id
-  FROM events WHERE event_id % 5 = 1)"""
+  FROM events)"""
 
 
 # ---------------------------------------------------------------- fin_raw

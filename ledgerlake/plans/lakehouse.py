@@ -15,11 +15,14 @@ from ..functions.dates import parse_date_two
 from ..operators.calendar import clean_calendar, coverage_summary, recent_trade_dates, to_date_param
 from ..operators.clean import add_source_tag, clean_table
 from ..operators.dedup import require_columns
-from ..operators.products import build_dws_outputs
+from ..operators.products import build_dws_outputs, product_inputs
 from ..operators.quality import nested_report, table_quality, write_report
+from ..operators.rejects import REASON, reject_reason, rejected
 from ..session import checkpoint_root
 from ..sources.lake import YEAR, Lake
+from ..sources.landing import LandingFolder
 from ..specs import DAILY_MASTER_SOURCES, FINANCIAL_EVENT_SOURCES, SETTINGS, spec as get_spec
+from .quality_state import note_batch, note_years
 
 
 # ---- raw layer ---------------------------------------------------------------------------
@@ -34,14 +37,14 @@ def raw_partition_date(df: DataFrame, table_name: str, fallback_date) -> F.Colum
     return F.coalesce(parse_date_two(F.col(col).cast("string")), fallback)
 
 
-def write_raw(lake: Lake, table_name: str, raw: DataFrame, fallback_date) -> list[int]:
+def write_raw(lake: Lake, table_name: str, raw: DataFrame, fallback_date, order_first=()) -> list[int]:
     """Upsert landing rows into ``ods/<table>`` by the year of the raw
     partition date; duplicates are resolved on the raw (text) key."""
     sp = get_spec(table_name)
     staged = add_source_tag(raw, table_name) if sp.is_financial else raw
     staged = staged.withColumn("__raw_date", raw_partition_date(staged, table_name, fallback_date))
     require_columns(staged, sp.primary_key)
-    return lake.upsert("ods", table_name, staged, sp.primary_key, "__raw_date", drop_date=True)
+    return lake.upsert("ods", table_name, staged, sp.primary_key, "__raw_date", order_first, drop_date=True)
 
 
 # ---- detail layer --------------------------------------------------------------------------
@@ -62,7 +65,7 @@ _SUMMARY = {"daily_master": ("trade_date", ("ts_code", "trade_date")),
             "financial_events": ("real_ann_date", ("ts_code", "real_ann_date", "end_date", "ann_date", "source_table"))}
 
 
-def rebuild_summary(lake: Lake, years) -> dict[str, list[int]]:
+def rebuild_summary(lake: Lake, years, products=tuple(_SUMMARY)) -> dict[str, list[int]]:
     """Rebuild daily_master and financial_events for ``years`` only: one
     job per product for all years (dynamic overwrite replaces exactly the
     years that have rows; a year that has none left is emptied).  A side table
@@ -70,16 +73,30 @@ def rebuild_summary(lake: Lake, years) -> dict[str, list[int]]:
     years = sorted({int(y) for y in years})
     if not years:
         return {}
-    detail = {n: lake.read_years("dwd", n, years, refresh=False) for n in (*DAILY_MASTER_SOURCES, *FINANCIAL_EVENT_SOURCES)}
+    detail = {n: lake.read_years("dwd", n, years, refresh=False) for product in products for n in product_inputs(product)}
     detail = {n: df.drop(YEAR) for n, df in detail.items() if df is not None}
     if DAILY_MASTER_SOURCES[0] in detail:
         for n in DAILY_MASTER_SOURCES[1:]:
             detail.setdefault(n, lake.spark.createDataFrame([], _NO_DAILY))
     return {product: lake.write_years("dws", product, frame, _SUMMARY[product][0], sort_cols=_SUMMARY[product][1], within=years)
-            for product, frame in build_dws_outputs(detail).items()}
+            for product, frame in build_dws_outputs(detail).items() if product in products}
 
 
 # ---- flows -----------------------------------------------------------------------------------
+def keep_rejects(lake: Lake, name: str, batch: str, marked: DataFrame) -> None:
+    """Write the rejected rows of a marked landing batch to
+    ``<root>/rejects/table_name=../batch=..``, in place of those that the same
+    batch left there before."""
+    (rejected(name, marked).drop("table_name").write.mode("overwrite")
+        .parquet(f"{lake.root}/rejects/table_name={name}/batch={batch}"))
+
+
+def rejects(lake: Lake) -> DataFrame:
+    """(table_name, batch, reason, row) of all batches."""
+    return (lake.spark.read.schema("reason string, row string, table_name string, batch string").parquet(f"{lake.root}/rejects")
+            .select("table_name", "batch", "reason", "row"))
+
+
 def stored_types(lake: Lake, name: str) -> dict[str, str] | None:
     """Column types of a stored detail dataset: they fix the types of later
     batches where their values allow."""
@@ -88,28 +105,53 @@ def stored_types(lake: Lake, name: str) -> dict[str, str] | None:
 
 
 def process_table(lake: Lake, name: str, raw: DataFrame, fallback_date, order_first=(),
-                  stage_landing: bool = True, results: dict | None = None, across_years: bool = False) -> list[int]:
+                  stage_landing: bool = True, results: dict | None = None, across_years: bool = False,
+                  ledger=None, order_batches: bool = False, batch: str | None = None) -> list[int]:
     """One landing table through raw -> detail.  The landing rows are read
     three times (raw write, type profile, clean).  With ``stage_landing``
     they are staged once, so a computed landing frame (joins, windows) is
     not recomputed; pass False when the landing frames are plain reads of
     landing files, which are cheaper to re-read than to copy.
     ``order_first`` hints naming columns the table lacks are skipped.
-    ``results`` (a dict) receives the table's ``CleanResult`` for a report."""
+    ``results`` (a dict) receives the table's ``CleanResult`` for a report.
+    ``across_years``: one row per key over all years (see ``Lake.upsert``).
+    ``order_batches``: ``order_first`` ranks a key's rows before their batch
+    does.  ``batch`` names the batch: rows that the detail layer does not take
+    are then kept in ``<root>/rejects`` and the quality measures beside the data
+    (``quality_state``) brought up to date; the same name again replaces what
+    the batch had left there.  ``ledger`` (see ``streaming.update_stream``) notes the finished
+    steps; one that has finished before is not run again."""
     known = stored_types(lake, name)
     numeric = None
     if stage_landing:
         # the numeric profile rides along the staging write: no extra pass
         cands, aggs = numeric_profile_aggs(raw, protected=get_spec(name).date_columns, known_types=known)
         profile = Observation(f"profile-{name}-{uuid.uuid4().hex[:8]}")
-        raw = lake.stage(raw.observe(profile, *aggs), f"landing-{name}")
+        # with a batch name, the same write parts kept and rejected rows
+        marked = raw.withColumn(REASON, reject_reason(name, raw)) if batch is not None else raw
+        staged = lake.stage(marked.observe(profile, *aggs), f"landing-{name}")
+        raw = staged.drop(REASON)
         numeric = numeric_columns_from(cands, profile.get, known)
-    write_raw(lake, name, raw, fallback_date)
+    elif batch is not None:
+        staged = raw.withColumn(REASON, reject_reason(name, raw))
     hints = [o for o in order_first if not isinstance(o, str) or o in raw.columns]
-    res = clean_table(name, raw, numeric_columns=numeric, order_first=hints, known_types=known, keep_spelling=True)
+    across = hints if order_batches else ()
+    if ledger is None or ledger.years("raw") is None:
+        years = write_raw(lake, name, raw, fallback_date, across)
+        if ledger is not None:
+            ledger.finish("raw", years)
+    taken = raw if batch is None else staged.where(F.col(REASON).isNull()).drop(REASON)
+    res = clean_table(name, taken, numeric_columns=numeric, order_first=hints, known_types=known, keep_spelling=True)
     if results is not None:
         results[name] = res
-    return persist_detail(lake, name, res.stored, across_years=across_years)
+    years = persist_detail(lake, name, res.stored, across, across_years)
+    if batch is not None:
+        keep_rejects(lake, name, batch, staged)
+        note_batch(lake, name, batch, raw, res.prepared, res.primary_key)
+        note_years(lake, "dwd", name, years)
+    if ledger is not None:
+        ledger.finish("detail", years)
+    return years
 
 
 def process_tables(lake: Lake, batches: dict[str, DataFrame], fallback_date, order_first=(),
@@ -194,15 +236,20 @@ def backfill_financial(landing: DataFrame, as_of, days: int = SETTINGS.financial
     return landing.where(d.between(F.lit(s), F.lit(e)))
 
 
-def daily_update(spark: SparkSession, lake_root: str, landing: dict[str, DataFrame], as_of,
+def daily_update(spark: SparkSession, lake_root: str, landing: dict[str, DataFrame | LandingFolder], as_of,
                  calendar: DataFrame | None = None, fallback_date="20150101", order_first=(),
                  stage_landing: bool = True, report_path: str | None = None) -> DataFrame:
     """Daily run: daily and auxiliary tables re-read for the last five open
     days up to ``as_of``, statements for the last 90 calendar days; each
     through raw -> detail; summary rebuilt for the touched years.  Rerunning
-    with the same input changes nothing (upserts are idempotent).  Returns the
-    write log of this run."""
+    with the same input changes nothing (upserts are idempotent).  A table
+    given as a ``LandingFolder`` reads only the files that no finished run has
+    read; they are marked as read once the summary is rebuilt, but for files
+    that hold days after ``as_of``.  Returns the write log of this run."""
     lake = Lake(spark, lake_root)
+    folders = {n: f for n, f in landing.items() if isinstance(f, LandingFolder)}
+    landing = {n: folders[n].rows() if n in folders else f for n, f in landing.items()
+               if n not in folders or folders[n].new_files()}
     cal = calendar
     if cal is None:
         cols = ["exchange", "cal_date", "is_open"]
@@ -234,10 +281,14 @@ def daily_update(spark: SparkSession, lake_root: str, landing: dict[str, DataFra
         else:
             batches[name] = backfill_daily(raw, recent, sp.date_columns[0])
     results: dict | None = {} if report_path else None
-    touched = process_tables(lake, batches, fallback_date, order_first, stage_landing, results)
+    touched = process_tables(lake, batches, fallback_date, order_first, stage_landing, results) if batches else set()
     rebuild_summary(lake, touched)
+    for name, folder in folders.items():
+        sp = get_spec(name)
+        windowed = name not in ("trade_cal", "stock_basic")
+        folder.commit(("ann_date" if sp.is_financial else sp.date_columns[0]) if windowed else None, to_date_param(as_of))
     datasets = list(landing) + ["daily_master", "financial_events"]
-    if report_path:
+    if report_path and results:
         # coverage over the backfill window: its first and last open day (k rows)
         bounds = recent.agg(F.min("cal_date").alias("s"), F.max("cal_date").alias("e")).first()
         window = (bounds["s"], bounds["e"]) if bounds["s"] is not None else None

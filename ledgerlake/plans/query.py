@@ -31,20 +31,22 @@ def query_daily_master(lake: Lake, year: int, ts_code: str | None = None,
 def query_financial_events(lake: Lake, ts_code: str, start_date=None, end_date=None) -> DataFrame:
     """Events of one symbol over all years, optional closed range on
     real_ann_date; nine columns ordered by real_ann_date, end_date,
-    source_table.  The range also bounds ``year`` (events are partitioned
-    by the year of real_ann_date), so only those partitions are listed."""
+    source_table.  Events lie by the year of real_ann_date, so the range names
+    the years to read: of the years noted beside the data, only their
+    directories are listed.  Files are sorted by symbol and date, and carry a
+    Bloom filter of the symbols where they have too many for a dictionary, so
+    row groups without the symbol are skipped."""
     if not ts_code:
         raise ValueError("ts_code is required")
-    df = lake.scan("dws", "financial_events")
-    if df is None:
+    if lake.stored_schema("dws", "financial_events") is None:
         raise FileNotFoundError(f"no financial_events data at {lake.path('dws', 'financial_events')}")
-    df = df.where(F.col("ts_code") == F.lit(ts_code))
-    if start_date:
-        s = to_date_param(start_date)
-        df = df.where((F.col("real_ann_date") >= F.lit(s)) & (F.col(YEAR) >= s.year))
-    if end_date:
-        e = to_date_param(end_date)
-        df = df.where((F.col("real_ann_date") <= F.lit(e)) & (F.col(YEAR) <= e.year))
+    s, e = (to_date_param(d) if d else None for d in (start_date, end_date))
+    years = [y for y in lake.years("dws", "financial_events", refresh=False) if (s is None or y >= s.year) and (e is None or y <= e.year)]
+    df = lake.read_years("dws", "financial_events", years, refresh=False).where(F.col("ts_code") == F.lit(ts_code))
+    if s is not None:
+        df = df.where(F.col("real_ann_date") >= F.lit(s))
+    if e is not None:
+        df = df.where(F.col("real_ann_date") <= F.lit(e))
     cols = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in EVENT_COLUMNS]
     return df.select(*cols).orderBy(F.col("real_ann_date").asc_nulls_last(),
                                     F.col("end_date").asc_nulls_last(),

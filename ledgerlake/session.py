@@ -3,11 +3,14 @@ the shared folder used to cut lineage and stage lake writes."""
 
 from __future__ import annotations
 
+import logging
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this library expects.  The cluster may set them
 # too; builder settings only apply to sessions we create ourselves.
@@ -66,3 +69,26 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{kind}-{uuid.uuid4().hex[:12]}"
+
+
+#: What a read of a path that was never written raises, and who logs it.
+_MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+_LOGGERS = ("SQLQueryContextLogger", "DataFrameQueryContextLogger")
+
+
+def read_or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The frame that ``read`` gives, ``None`` where its path is not there.
+    That is an answer and no error, so it is kept out of the log."""
+    loggers = [logging.getLogger(name) for name in _LOGGERS]
+    levels = [logger.level for logger in loggers]
+    for logger in loggers:
+        logger.setLevel(logging.CRITICAL + 1)
+    try:
+        return read()
+    except AnalysisException as exc:
+        if exc.getCondition() not in _MISSING:
+            raise
+        return None
+    finally:
+        for logger, level in zip(loggers, levels):
+            logger.setLevel(level)

@@ -18,20 +18,16 @@ import json
 import threading
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import require_columns, survivorship_dedup
 from ..operators.union import aligned_types, union_aligned
-from ..session import scratch_path
+from ..session import read_or_none, scratch_path
 from ..specs import SETTINGS, SPELLING
 
 YEAR = SETTINGS.partition_column
 
-
-#: What a read of a dataset that was never written raises.
-_MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 _NOTE = "version long, schema string, years array<int>"
 
 
@@ -80,7 +76,7 @@ class Lake:
         out = None
         if version or self._unnoted:
             reader = self.spark.read.schema(schema) if schema is not None else self._reader(noted, merge_schema)
-            out = self._or_none(lambda: reader.parquet(path))
+            out = read_or_none(lambda: reader.parquet(path))
         if out is None:
             return None if schema is None else self.spark.createDataFrame([], schema)
         return out if spelling else out.drop(SPELLING)
@@ -92,15 +88,6 @@ class Lake:
         # union of the file schemas, which writes keep free of conflicts
         return self.spark.read.option("mergeSchema", str(merge_schema).lower())
 
-    @staticmethod
-    def _or_none(read) -> DataFrame | None:
-        try:
-            return read()
-        except AnalysisException as exc:
-            if exc.getCondition() not in _MISSING:
-                raise
-            return None
-
     def read_year(self, layer: str, dataset: str, year: int, refresh: bool = True) -> DataFrame | None:
         """One year: only its directory is listed and read."""
         return self.read_years(layer, dataset, [year], refresh)
@@ -119,7 +106,7 @@ class Lake:
             return self._reader(noted).option("basePath", path).parquet(*[f"{path}/{YEAR}={y}" for y in some])
 
         if held is None:                 # a note without years
-            some = [y for y in years if self._or_none(lambda: read([y])) is not None]
+            some = [y for y in years if read_or_none(lambda: read([y])) is not None]
         else:
             some = [y for y in years if y in held]
         df = read(some) if some else self.spark.createDataFrame([], noted)
@@ -156,10 +143,10 @@ class Lake:
 
     def _load_notes(self) -> None:
         path = f"{self.root}/schemas"
-        notes = self._or_none(lambda: self.spark.read.schema(_NOTE).option("recursiveFileLookup", "true").json(path))
+        notes = read_or_none(lambda: self.spark.read.schema(_NOTE).option("recursiveFileLookup", "true").json(path))
         if notes is None:
             if self._notes is None:
-                self._unnoted = self._or_none(lambda: self.spark.read.format("binaryFile").load(self.root)) is not None
+                self._unnoted = read_or_none(lambda: self.spark.read.format("binaryFile").load(self.root)) is not None
             self._notes = {}
             return
         where = F.regexp_extract("_metadata.file_path", "/schemas/([^/]+)/([^/]+)/[^/]+$", 1), F.regexp_extract("_metadata.file_path", "/schemas/([^/]+)/([^/]+)/[^/]+$", 2)
@@ -229,8 +216,11 @@ class Lake:
         obs = Observation(f"years-{dataset}-{uuid.uuid4().hex[:8]}")
         order = [YEAR, *[c for c in sort_cols if c in out.columns]]
         out = out.repartitionByRange(*order).observe(obs, F.collect_set(YEAR).alias("years"))
+        # symbols are looked up over all years: a row group without one is
+        # skipped by its Bloom filter where the sort order does not tell
+        blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in SETTINGS.lookup_columns if c in out.columns}
         (out.sortWithinPartitions(*order)
-            .write.mode("overwrite")
+            .write.mode("overwrite").options(**blooms)
             .option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", self.max_rows_per_file)
             .option("compression", SETTINGS.parquet_compression)

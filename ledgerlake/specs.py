@@ -37,6 +37,7 @@ class Settings:
     parquet_compression: str = "zstd"
     max_rows_per_file: int = 250_000
     default_exchange: str = "SSE"
+    lookup_columns: tuple[str, ...] = ("ts_code",)   # Bloom filters in the lake's files
     concurrent_tables: int = 8            # landing tables processed as concurrent Spark jobs
     layers: tuple[str, ...] = field(default=("ods", "dwd", "dws"))
 
