@@ -8,8 +8,8 @@ chain, form a group.  Inside a group, every pair's similarity is estimated
 jointly by likelihood from the registers that are larger, smaller and equal,
 and what could reach the threshold is verified on the full sets.
 
-Groups are cut into blocks of about BLOCK_SET_BYTES; a task holds two blocks
-and emits only links that join two parts, never all pairs.  Blocks whose
+Groups are cut into blocks of about BLOCK_SET_BYTES and BLOCK_DOCS documents; a
+task holds two blocks and emits only links that join two parts, never all pairs.  Blocks whose
 documents are already joined never meet, so a large family of near copies
 costs its own size, not its square.  Equal sets are one node throughout, so
 exact copies cost one row.
@@ -46,6 +46,10 @@ BASE, RATE, TOP = 1.001, 20.0, 65535
 FLOOR = 0.58
 #: Sets of one block of a group.
 BLOCK_SET_BYTES = 8 << 20
+#: Documents of one block at most, and so pairs of one task; a shorter
+#: document weighs as much as its share of a full block.
+BLOCK_DOCS = 4096
+LEAST_WEIGHT = BLOCK_SET_BYTES // 8 // BLOCK_DOCS
 
 SIGNATURES = "doc_id long, n_shingles long, s1 long, s2 long, registers binary"
 
@@ -239,11 +243,14 @@ def block_links(table: pa.Table) -> pa.Table:
         ys = ys[(100 * small >= LINK_PERCENT * large) & (size[ys] > 0) & (size[x] > 0)]
         if not len(ys):
             continue
-        more, less = (regs[x] > regs[ys]).sum(axis=1), (regs[x] < regs[ys]).sum(axis=1)
-        maybe = REGISTERS - more - less >= (FLOOR - 0.15) * REGISTERS
-        ys, more, less = ys[maybe], more[maybe], less[maybe]
+        other = regs[ys]
+        equal = np.count_nonzero(other == regs[x], axis=1)
+        maybe = equal >= (FLOOR - 0.15) * REGISTERS
+        ys, other, equal = ys[maybe], other[maybe], equal[maybe]
         if not len(ys):
             continue
+        less = np.count_nonzero(other > regs[x], axis=1)
+        more = REGISTERS - equal - less
         value = estimate(more, less, size[x], size[ys])
         near = np.flatnonzero(value >= FLOOR)
         for y in ys[near[np.argsort(-value[near], kind="stable")]].tolist():
@@ -324,7 +331,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     leads = bands.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("key", "a")
     near = bands.join(leads, "key").where("doc_id > a").select("a", F.col("doc_id").alias("b")).distinct()
     groups = components(near)
-    size = nodes.groupBy(F.col("doc_id").alias("node")).agg(F.sum("n_shingles").alias("n"))
+    size = nodes.groupBy(F.col("doc_id").alias("node")).agg(F.greatest(F.sum("n_shingles"), F.lit(LEAST_WEIGHT)).alias("n"))
     members = written(groups.join(size, "node").select(F.col("node").alias("doc_id"), F.col("component").alias("grp"), "n"), "members")
     found = components(group_links(docs, members, id_col, text_col))
 
@@ -335,9 +342,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group of near duplicates (its smallest id), and
-    every document that is linked with nothing; all columns stay.  Rows that
-    share an id are one document: one of them stays."""
-    keep = near_duplicates(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    out = docs.join(keep, docs[id_col].eqNullSafe(keep["__kept"]), "left_semi")
-    named, unnamed = out.where(F.col(id_col).isNotNull()), out.where(F.col(id_col).isNull())
-    return named.dropDuplicates([id_col]).unionByName(unnamed)
+    every document that is linked with nothing; all columns stay.  A document
+    is an id with its text: rows that share both are one (one of them stays),
+    rows that share only the id are several, the one with the smaller hash of
+    the text first."""
+    version = F.xxhash64(text_col)
+    given = docs.select(F.col(id_col).alias("__id"), version.alias("__h")).where("__id IS NOT NULL")
+    shared = given.groupBy("__id").agg((F.min("__h") < F.max("__h")).alias("several")).where("several")
+    if shared.isEmpty():
+        keep = near_duplicates(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
+        out = docs.join(keep, docs[id_col].eqNullSafe(keep["__kept"]), "left_semi")
+        named, unnamed = out.where(F.col(id_col).isNotNull()), out.where(F.col(id_col).isNull())
+        return named.dropDuplicates([id_col]).unionByName(unnamed)
+    # documents numbered in order of id and text; written, so that every later
+    # pass sees the same numbers
+    numbered = written(given.distinct().repartitionByRange("__id", "__h").sortWithinPartitions("__id", "__h")
+                       .withColumn("__n", F.monotonically_increasing_id()), "near-numbers")
+    marked = docs.join(numbered, (docs[id_col] == numbered["__id"]) & (version == numbered["__h"]), "left")
+    keep = near_duplicates(marked.select("__n", text_col), "__n", text_col).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    out = marked.join(keep, marked["__n"].eqNullSafe(keep["__kept"]), "left_semi")
+    named, unnamed = out.where("__n IS NOT NULL").dropDuplicates(["__n"]), out.where("__n IS NULL")
+    return named.unionByName(unnamed).select(*docs.columns)

@@ -7,10 +7,11 @@ the same anchor at the same distance.  So only anchors whose gram occurs twice
 are kept, and only the text around them (its context) is sorted.
 
 Equal contexts are counted and collapsed before any text moves.  The contexts
-left, of grams that occur in several contexts, are sorted in blocks: only the
-suffixes smaller than their successors are sorted directly, the others follow
-from one scan over the buckets of first bytes, and comparing neighbours gives
-the common prefixes.  Strings are equal where neighbours share LENGTH bytes;
+left, of grams that occur in several contexts, are sorted in blocks, less those
+that share no HALF bytes beside the anchor with another.  Of the suffixes that
+begin a string, only those smaller than their successors are sorted directly
+(equal ones as one), the others follow from one scan over the buckets of first
+bytes, and comparing neighbours gives the common prefixes.  Strings are equal where neighbours share LENGTH bytes;
 the distance to the anchor must agree as well, so that a string is never taken
 for its own repetition.  A gram with more than BLOCK_CONTEXTS contexts would
 not fit a block; its strings are counted by hash instead, which spreads them.
@@ -36,6 +37,8 @@ LENGTH, GRAM = 200, 64
 #: Starts of grams in a string, and so the furthest a string begins before its anchor.
 STARTS = LENGTH - GRAM + 1
 REACH = STARTS - 1
+#: A string has so many bytes before its anchor or behind it.
+HALF = (LENGTH - GRAM) // 2
 #: Bytes of contexts that are sorted together, and contexts of one gram that may be.
 SORT_BYTES = 1 << 20
 BLOCK_CONTEXTS = 1 << 14
@@ -147,8 +150,28 @@ def direct_sort(at: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return order
 
 
-def suffix_order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(suffixes in order to a depth of LENGTH bytes, the eight-byte keys)."""
+def collapsed_sort(at: np.ndarray, keys: np.ndarray, string: np.ndarray) -> np.ndarray:
+    """``direct_sort`` of positions whose LENGTH bytes are mostly repeated:
+    one position of each string (by the hash ``string``) is sorted, and the
+    others follow it.  Hashes are checked against the bytes."""
+    _, lead, own = np.unique(string[at], return_index=True, return_inverse=True)
+    alike = at[lead][own]
+    for k in range(0, LENGTH, 8):
+        if (keys[at + k] != keys[alike + k]).any():
+            return direct_sort(at, keys)
+    leads = at[lead]
+    by = np.argsort(leads)
+    rank = np.empty(len(leads), np.int64)
+    rank[by[np.searchsorted(leads[by], direct_sort(leads.copy(), keys))]] = np.arange(len(leads))
+    return at[np.argsort(rank[own], kind="stable")]
+
+
+def suffix_order(text: np.ndarray, starts: np.ndarray | None = None, string: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(suffixes in order to a depth of LENGTH bytes, the eight-byte keys).
+
+    With ``starts`` only those suffixes are ordered, and the ones behind them
+    up to the next that is smaller than its successor, from which they are
+    induced.  ``string``: hashes of the LENGTH bytes from each position."""
     n = len(text)
     keys = word_keys(text)
     # a suffix is smaller than its successor by the first byte that differs
@@ -159,11 +182,17 @@ def suffix_order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         some = following < len(differs)
         at = differs[following[some]]
         smaller[some] = text[at] < text[at + 1]
+    wanted = np.ones(n, bool)
+    if starts is not None:
+        ends = np.append(np.flatnonzero(smaller), n - 1)
+        edge = np.bincount(starts, minlength=n + 1) - np.bincount(ends[np.searchsorted(ends, starts)] + 1, minlength=n + 1)
+        wanted = np.cumsum(edge)[:n] > 0
     # stage one: only these are compared
-    direct = direct_sort(np.flatnonzero(smaller), keys)
-    counts = np.bincount(text, minlength=256)
+    direct = np.flatnonzero(smaller & wanted)
+    direct = direct_sort(direct, keys) if string is None else collapsed_sort(direct, keys, string)
+    counts = np.bincount(text[wanted], minlength=256)
     first = np.cumsum(counts) - counts
-    order = np.full(n, -1, np.int64)
+    order = np.full(int(wanted.sum()), -1, np.int64)
     per_byte = np.bincount(text[direct], minlength=256)
     tail = first + counts - per_byte
     order[np.repeat(tail, per_byte) + np.arange(len(direct)) - np.repeat(np.cumsum(per_byte) - per_byte, per_byte)] = direct
@@ -174,7 +203,7 @@ def suffix_order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     def induce(places: np.ndarray) -> None:
         before = places - 1
         before = before[before >= 0]
-        before = before[~smaller[before]]
+        before = before[wanted[before] & ~smaller[before]]
         if len(before):
             byte = text[before]
             by = np.argsort(byte, kind="stable")
@@ -184,8 +213,9 @@ def suffix_order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             head[:] = head + size
 
     # the last suffix has no successor to be compared with: it is the first of its bucket
-    order[head[text[-1]]] = n - 1
-    head[text[-1]] += 1
+    if wanted[-1]:
+        order[head[text[-1]]] = n - 1
+        head[text[-1]] += 1
     for c in np.flatnonzero(counts):
         done = first[c]
         while done < head[c]:           # suffixes of this bucket that the scan itself adds
@@ -198,14 +228,16 @@ def suffix_order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def repeated_strings(text: np.ndarray, starts: np.ndarray, distance: np.ndarray, times: np.ndarray) -> np.ndarray:
     """Which of ``starts`` begin a LENGTH-byte string that occurs twice with
     the same distance to its anchor, each start standing for ``times``."""
-    order, keys = suffix_order(text)
+    roll, at = Rolling(text), np.arange(len(text))
+    string = roll(at, np.minimum(at + LENGTH, len(text)))
+    order, keys = suffix_order(text, starts, string)
     place = np.full(len(text), -1, np.int64)
     place[starts] = np.arange(len(starts))
     ranked = place[order]
     ranked = ranked[ranked >= 0]
     at = starts[ranked]
-    same = np.ones(max(len(at) - 1, 0), bool)
-    live = np.arange(len(same))
+    same = string[at[1:]] == string[at[:-1]] if len(at) else np.zeros(0, bool)
+    live = np.flatnonzero(same)
     for k in range(0, LENGTH, 8):       # common prefix of neighbours
         equal = keys[at[live] + k] == keys[at[live + 1] + k]
         same[live[~equal]] = False
@@ -219,9 +251,29 @@ def repeated_strings(text: np.ndarray, starts: np.ndarray, distance: np.ndarray,
     return out
 
 
+def _likely(rows: list[tuple]) -> list[tuple]:
+    """Rows that can share a string with another context of their gram.  A
+    string of LENGTH bytes that covers the anchor holds HALF bytes before it or
+    HALF bytes behind it, so contexts that share one share the gram with these."""
+    text = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
+    size = np.array([len(r[4]) for r in rows])
+    begin = np.cumsum(size) - size
+    at = begin + np.array([r[3] for r in rows])
+    roll, gram = Rolling(text), np.array([r[0] for r in rows], np.int64).view(U64)
+    keep = np.array([r[2] for r in rows]) > 1
+    for a, b in ((at - HALF, at + GRAM), (at, at + GRAM + HALF)):
+        fits = np.flatnonzero((a >= begin) & (b <= begin + size))
+        _, own, n = np.unique(mix(roll(a[fits], b[fits]) ^ mix(gram[fits])), return_inverse=True, return_counts=True)
+        keep[fits[n[own] > 1]] = True
+    return [r for r, k in zip(rows, keep.tolist()) if k]
+
+
 def _block(rows: list[tuple]) -> list[tuple]:
     """(gram, context, from, to) of the removed ranges, relative to the anchor,
     for rows of (gram, context, times, before, bytes)."""
+    rows = _likely(rows)
+    if not rows:
+        return []
     text = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
     size = np.array([len(r[4]) for r in rows])
     begin = np.cumsum(size) - size

@@ -95,6 +95,36 @@ def test_large_family_is_not_compared_blockwise_with_itself(spark, monkeypatch):
     assert sum(seen) < 4 * len(docs)
 
 
+def test_short_texts_of_one_template_take_bounded_blocks(spark):
+    """Thousands of short texts that share bands but are no links: no task
+    holds more than BLOCK_DOCS of each side, and the whole stays quick."""
+    rng = random.Random(2)
+    base = [f"t{k}" for k in range(14)]
+    docs = [(k, " ".join([*base[:10], *(f"own{k}x{n}" for n in range(1 + rng.randrange(4)))])) for k in range(9000)]
+    from time import time
+    began = time()
+    rows = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert time() - began < 150
+    short = {i: shingle_set(t) for i, t in docs}
+    own = {r.doc_id: r.component_id for r in rows}
+    for i, j in ((rng.randrange(9000), rng.randrange(9000)) for _ in range(3000)):
+        if i != j and 100 * len(short[i] & short[j]) >= 75 * len(short[i] | short[j]):
+            assert own[i] == own[j]
+
+
+def test_rows_that_share_an_id_are_kept_by_their_text(spark):
+    rng = random.Random(6)
+    text = lambda: " ".join(f"v{rng.randrange(9000)}" for _ in range(80))
+    a, b, c = text(), text(), text()
+    docs = [(1, a), (1, b), (1, a), (2, b + " end"), (3, c), (3, None), (None, a), (None, a), (4, "")]
+    df = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, __clash string")
+    kept = sorted(((r.doc_id, r.text) for r in neardup.drop_near_duplicates(df).collect()), key=str)
+    # a and b of id 1 are different documents; 2 is a near copy of one of them
+    assert kept == sorted([(1, a), (1, b), (3, c), (3, None), (None, a), (None, a), (4, "")], key=str)
+    assert neardup.drop_near_duplicates(df).columns == df.columns
+    assert neardup.drop_near_duplicates(df.limit(0)).count() == 0
+
+
 def test_corpus_and_empty(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert got(df) == plain([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()])

@@ -47,6 +47,28 @@ def frame(spark, docs):
     return spark.createDataFrame([(i, t, "clash", 1) for i, t in docs], "doc_id long, text string, row string, n_bytes int")
 
 
+def test_order_of_some_starts_is_that_of_all():
+    rng = np.random.default_rng(4)
+    piece = rng.integers(97, 101, 260)
+    for text in (rng.integers(97, 100, 3000), np.tile(piece, 9), np.concatenate([piece, rng.integers(97, 101, 300), piece]), np.full(900, 97), np.repeat(rng.integers(97, 103, 60), 30)):
+        text = text.astype(np.uint8)
+        raw, at = text.tobytes(), np.arange(len(text))
+        string = suffixes.Rolling(text)(at, np.minimum(at + 200, len(text)))
+        for starts in (np.arange(0, len(raw) - 199, 7), np.arange(50, 120), np.array([0])):
+            order, _ = suffixes.suffix_order(text, starts, string)
+            assert set(starts.tolist()) <= set(order.tolist()) and len(set(order.tolist())) == len(order)
+            cut = [raw[k:k + 200] for k in order.tolist()]
+            assert all(a <= b for a, b in zip(cut, cut[1:]))
+
+
+def test_contexts_without_a_shared_half_are_left_out():
+    gram = bytes(range(64))
+    shared, other = b"s" * 136, b"o" * 136
+    rows = [(1, 1, 1, 136, shared + gram + b"a" * 136), (1, 2, 1, 136, shared + gram + b"b" * 136), (1, 3, 1, 136, other + gram + b"c" * 136),
+            (2, 4, 1, 136, other + gram + b"d" * 136), (1, 5, 2, 0, gram + b"e" * 136), (1, 6, 1, 40, b"f" * 40 + gram + b"a" * 136)]
+    assert [r[1] for r in suffixes._likely(rows)] == [1, 2, 5, 6]
+
+
 def test_suffix_order():
     rng = np.random.default_rng(0)
     for text in (rng.integers(97, 100, 3000), rng.integers(0, 256, 3000), np.full(700, 97), np.tile([98, 97], 400), np.repeat(rng.integers(97, 103, 40), 30), np.array([5])):
