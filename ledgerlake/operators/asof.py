@@ -62,14 +62,18 @@ def _span(right: DataFrame, on: str, bucket):
         return lambda d: F.floor(d.cast("double") / F.lit(float(bucket)))
     n = QUANTILES * QUANTILES
     shares = F.array(*[F.lit(i / n) for i in range(1, n)])
-    cuts = right.select(F.percentile_approx(F.col(on).cast("double"), shares, 10 * n).alias("cuts")).select("cuts").scalar()
+    every = F.coalesce(F.percentile_approx(F.col(on).cast("double"), shares, 10 * n), F.array().cast("array<double>"))
+    steps = F.sequence(F.lit(QUANTILES - 1), F.lit(n - 2), F.lit(QUANTILES))
+    cuts = (right.agg(every.alias("fine")).select(F.struct("fine", F.transform(steps, lambda i: F.get("fine", i)).alias("coarse")).alias("cuts"))
+            .scalar())
+
+    def smaller(some, v):                # of a sorted array; no lambda, which could not hold the subquery
+        return F.array_position(F.sort_array(F.array_append(some, v)), v) - 1
 
     def place(d):
         v = d.cast("double")
-        all_cuts = F.coalesce(cuts, F.array().cast("array<double>"))
-        coarse = F.size(F.filter(F.transform(F.sequence(F.lit(QUANTILES - 1), F.lit(n - 2), F.lit(QUANTILES)), lambda i: F.get(all_cuts, i)), lambda c: c <= v))
-        fine = F.size(F.filter(F.slice(all_cuts, coarse * QUANTILES + 1, F.lit(QUANTILES)), lambda c: c <= v))
-        return (coarse * QUANTILES + fine).cast("long")
+        k = smaller(F.array_compact(cuts["coarse"]), v)
+        return k * QUANTILES + smaller(F.slice(cuts["fine"], (k * QUANTILES + 1).cast("int"), F.lit(QUANTILES)), v)
     return place
 
 

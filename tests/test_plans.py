@@ -4,6 +4,7 @@ import contextlib
 import datetime as dt
 import io
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.asof import asof_join
@@ -43,3 +44,21 @@ def test_query_prunes_years_and_pushes_filters(spark, lake):
     plan = plan_of(query_daily_master(lake, 2025, "A", "20250101", "20250131"))
     assert "PartitionFilters: [isnotnull(year" in plan and "= 2025)" in plan
     assert "EqualTo(ts_code,A)" in plan and "GreaterThanOrEqual(trade_date,2025-01-01)" in plan
+
+
+def test_files_are_zstd_and_hold_bounded_rows(spark, lake):
+    lake.max_rows_per_file = 400
+    rows = spark.range(3000).select(F.format_string("S%04d", F.col("id") % 90).alias("ts_code"), F.date_add(F.lit(dt.date(2023, 1, 1)), (F.col("id") % 700).cast("int")).alias("trade_date"),
+                                    F.col("id").alias("vol"))
+    lake.write_years("dwd", "daily", rows, "trade_date", sort_cols=("ts_code", "trade_date"))
+    files = [r[0] for r in lake.scan("dwd", "daily").select(F.input_file_name()).distinct().collect()]
+    total = 0
+    for f in files:
+        footer = pq.read_metadata(f.removeprefix("file://").removeprefix("file:"))
+        total += footer.num_rows
+        assert 0 < footer.num_rows <= 400
+        groups = [footer.row_group(g) for g in range(footer.num_row_groups)]
+        assert {g.column(c).compression for g in groups for c in range(g.num_columns)} == {"ZSTD"}
+        codes = [g.column(c).statistics for g in groups for c in range(g.num_columns) if g.column(c).path_in_schema == "ts_code"]
+        assert all(s.min <= s.max for s in codes)
+    assert total == 3000
