@@ -3,6 +3,8 @@ data-dependent cast of numeric-looking text columns."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -135,9 +137,11 @@ def cast_numeric_like(df: DataFrame, protected=(), columns=None, known_types=Non
     casts = {c: _number(c, t) for c, t in types.items()}
     if keep_spelling:
         names = F.array(*[F.lit(c) for c in casts])
-        texts = F.array(*[F.when(F.col(c) != n.cast("string"), F.col(c)) for c, n in casts.items()])
+        other = {c: F.coalesce(F.col(c) != n.cast("string"), F.lit(False)) for c, n in casts.items()}
+        texts = F.array(*[F.when(o, F.col(c)) for c, o in other.items()])
         odd = F.map_filter(F.map_from_arrays(names, texts), lambda _, v: v.isNotNull())
-        casts[SPELLING] = F.when(F.size(odd) > 0, odd)
+        # a map is made for the rows alone that need one
+        casts[SPELLING] = F.when(reduce(lambda a, b: a | b, other.values()), odd)
     return df.withColumns(casts)
 
 

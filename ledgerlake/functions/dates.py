@@ -11,14 +11,19 @@ from ..specs import NULL_DATE_TOKENS
 # 'M' and 'd' take one or two digits, so 2025-1-3 parses like 2025-01-03.
 COMPACT, DASH, SLASH = "yyyyMMdd", "yyyy-M-d", "yyyy/M/d"
 
+#: Whitespace of a pattern's ``\\s``, and what its ``$`` stands before.
+_EDGES = " \t\n\x0b\f\r\x85\u2028\u2029"
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def strip_ws(c) -> Column:
-    """Trim all leading / trailing whitespace (``trim`` only removes spaces)."""
-    return F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", "")
+    """Trim all leading / trailing whitespace (``trim`` only removes spaces).
+    Text without any is taken as it is, at the cost of a comparison."""
+    text = _col(c).cast("string")
+    return F.when(F.trim(text, F.lit(_EDGES)) == text, text).otherwise(F.regexp_replace(text, r"^\s+|\s+$", ""))
 
 
 def parse_date_multi(c, dtype: T.DataType | None = None) -> Column:
@@ -34,10 +39,12 @@ def parse_date_multi(c, dtype: T.DataType | None = None) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.to_date(_col(c))
     text = strip_ws(c)
+    # a text fits one form at most; the separator tells which to try, as a
+    # parse that fails costs many times one that succeeds
     parsed = F.coalesce(
+        F.when(F.contains(text, F.lit("-")), F.try_to_date(text, DASH)),
+        F.when(F.contains(text, F.lit("/")), F.try_to_date(text, SLASH)),
         F.try_to_date(text, COMPACT),
-        F.try_to_date(text, DASH),
-        F.try_to_date(text, SLASH),
     )
     return F.when(text.isin(*NULL_DATE_TOKENS), F.lit(None).cast("date")).otherwise(parsed)
 
@@ -45,7 +52,7 @@ def parse_date_multi(c, dtype: T.DataType | None = None) -> Column:
 def parse_date_two(c) -> Column:
     """Calendar / raw-layer parse: yyyyMMdd, else yyyy-M-d, untrimmed."""
     text = _col(c).cast("string")
-    return F.coalesce(F.try_to_date(text, COMPACT), F.try_to_date(text, DASH))
+    return F.coalesce(F.when(F.contains(text, F.lit("-")), F.try_to_date(text, DASH)), F.try_to_date(text, COMPACT))
 
 
 def date_text(c) -> Column:
