@@ -8,6 +8,7 @@ oracle's exactly; every computed column is aliased on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
@@ -854,18 +855,21 @@ def q_type_cut_invariance(spark, d):
         F.when(key % 5 == 4, F.col("o_orderpriority")).otherwise(F.format_string("%08d", "o_custkey")).alias("code"),
         F.when(key % 5 == 3, F.lit("n/a")).otherwise(F.concat(F.lit("1234567890"), F.format_string("%010d", key))).alias("serial"),
         F.format_string("%.2f", "o_totalprice").alias("close"), (key % 5).alias("part"))
-    out = []
-    for n in _TYPE_CUTS:
+
+    def build(n: int) -> Lake:
         lake = _new_lake(spark)
         for k in range(n):
             # of two batches, the first has the parts that look like numbers throughout
             batch = landing.where(F.when(F.col("part") < 3, 0).otherwise(1) == k) if n == 2 else landing.where(F.col("part") % n == k)
             years = process_table(lake, "daily", batch.drop("part"), "20150101")
             rebuild_summary(lake, years)
-        for layer, name in (("dwd", "daily"), ("dws", "daily_master")):
-            out.append(lake.scan(layer, name).select(F.lit(n).alias("n_batches"), F.lit(layer).alias("layer"),
-                                                     "ts_code", "trade_date", "code", "serial", "close"))
-    return union_aligned(out)
+        return lake
+
+    with ThreadPoolExecutor(max_workers=len(_TYPE_CUTS)) as pool:       # lakes of their own: side by side
+        lakes = dict(zip(_TYPE_CUTS, pool.map(build, _TYPE_CUTS)))
+    return union_aligned([
+        lake.scan(layer, name).select(F.lit(n).alias("n_batches"), F.lit(layer).alias("layer"), "ts_code", "trade_date", "code", "serial", "close")
+        for n, lake in lakes.items() for layer, name in (("dwd", "daily"), ("dws", "daily_master"))])
 
 
 @query("quality_report", with_fixtures(["bars_raw", "fin"], """
@@ -1166,10 +1170,9 @@ def q_stream_update(spark, d):
     from ..streaming.update_stream import drain
     lake, home = _new_lake(spark), scratch_path(spark, "landing")
     sources = {"daily_basic": fx.basic(spark, d), "adj_factor": fx.adj(spark, d), **_statement_slices(spark, d), "daily": fx.bars_raw(spark, d)}
-    landing = {}
-    for name, df in sources.items():
-        df.repartition(2 if name == "daily" else 1).write.parquet(f"{home}/{name}")
-        landing[name] = (f"{home}/{name}", df.schema)
+    landing = {name: (f"{home}/{name}", df.schema) for name, df in sources.items()}
+    with ThreadPoolExecutor(max_workers=len(sources)) as pool:      # one task writes a file, so the folders side by side
+        list(pool.map(lambda s: s[1].repartition(2 if s[0] == "daily" else 1).write.parquet(f"{home}/{s[0]}"), sources.items()))
     drain(spark, landing, lake.root, f"{home}-checkpoints", order_first=_ORDER_HINTS, max_files_per_trigger=1)
     return _update_rows(lake, ("daily_master", "financial_events"))
 

@@ -37,14 +37,15 @@ def raw_partition_date(df: DataFrame, table_name: str, fallback_date) -> F.Colum
     return F.coalesce(parse_date_two(F.col(col).cast("string")), fallback)
 
 
-def write_raw(lake: Lake, table_name: str, raw: DataFrame, fallback_date, order_first=()) -> list[int]:
+def write_raw(lake: Lake, table_name: str, raw: DataFrame, fallback_date, order_first=(), stage: bool = True) -> list[int]:
     """Upsert landing rows into ``ods/<table>`` by the year of the raw
-    partition date; duplicates are resolved on the raw (text) key."""
+    partition date; duplicates are resolved on the raw (text) key.  ``stage``
+    False: ``raw`` is staged already (see ``Lake.upsert``)."""
     sp = get_spec(table_name)
     staged = add_source_tag(raw, table_name) if sp.is_financial else raw
     staged = staged.withColumn("__raw_date", raw_partition_date(staged, table_name, fallback_date))
     require_columns(staged, sp.primary_key)
-    return lake.upsert("ods", table_name, staged, sp.primary_key, "__raw_date", order_first, drop_date=True)
+    return lake.upsert("ods", table_name, staged, sp.primary_key, "__raw_date", order_first, drop_date=True, stage=stage)
 
 
 # ---- detail layer --------------------------------------------------------------------------
@@ -120,7 +121,9 @@ def process_table(lake: Lake, name: str, raw: DataFrame, fallback_date, order_fi
     are then kept in ``<root>/rejects`` and the quality measures beside the data
     (``quality_state``) brought up to date; the same name again replaces what
     the batch had left there.  ``ledger`` (see ``streaming.update_stream``) notes the finished
-    steps; one that has finished before is not run again."""
+    steps; one that has finished before is not run again.  Without a ledger the
+    raw and the detail layer, which both read the landing rows alone, are
+    written side by side."""
     known = stored_types(lake, name)
     numeric = None
     if stage_landing:
@@ -136,15 +139,26 @@ def process_table(lake: Lake, name: str, raw: DataFrame, fallback_date, order_fi
         staged = raw.withColumn(REASON, reject_reason(name, raw))
     hints = [o for o in order_first if not isinstance(o, str) or o in raw.columns]
     across = hints if order_batches else ()
-    if ledger is None or ledger.years("raw") is None:
-        years = write_raw(lake, name, raw, fallback_date, across)
-        if ledger is not None:
-            ledger.finish("raw", years)
-    taken = raw if batch is None else staged.where(F.col(REASON).isNull()).drop(REASON)
-    res = clean_table(name, taken, numeric_columns=numeric, order_first=hints, known_types=known, keep_spelling=True)
+
+    def to_raw() -> list[int]:
+        return write_raw(lake, name, raw, fallback_date, across, stage=not stage_landing)
+
+    def to_detail():
+        taken = raw if batch is None else staged.where(F.col(REASON).isNull()).drop(REASON)
+        cleaned = clean_table(name, taken, numeric_columns=numeric, order_first=hints, known_types=known, keep_spelling=True)
+        return cleaned, persist_detail(lake, name, cleaned.stored, across, across_years)
+
+    if ledger is None:
+        with ThreadPoolExecutor(max_workers=1) as pool:
+            landed = pool.submit(to_raw)
+            res, years = to_detail()
+        landed.result()
+    else:
+        if ledger.years("raw") is None:
+            ledger.finish("raw", to_raw())
+        res, years = to_detail()
     if results is not None:
         results[name] = res
-    years = persist_detail(lake, name, res.stored, across, across_years)
     if batch is not None:
         keep_rejects(lake, name, batch, staged)
         note_batch(lake, name, batch, raw, res.prepared, res.primary_key)

@@ -249,7 +249,7 @@ class Lake:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def upsert(self, layer: str, dataset: str, batch: DataFrame, key, date_col: str,
-               order_first=(), drop_date: bool = False, across_years: bool = False) -> list[int]:
+               order_first=(), drop_date: bool = False, across_years: bool = False, stage: bool = True) -> list[int]:
         """Merge ``batch`` into the years it touches.
 
         New rows are tagged batch 1, stored rows batch 0; the survivorship
@@ -272,6 +272,9 @@ class Lake:
         is read, and nothing is kept beside the data that a lost write could
         leave behind).
 
+        ``stage`` False: the batch comes from staged rows by cheap steps, so its
+        years are taken from its date column alone and it is not copied again.
+
         Returns the years of the batch, with those that may have lost a row.
         The years are replaced when the write commits, after every task has
         read them, so the merge needs no second copy.
@@ -297,12 +300,14 @@ class Lake:
             written = self._overwrite(layer, dataset, survivors, None, sort_cols=key)
             self._count_null_years(layer, dataset, nulls)
             return written
-        # the batch is computed once and staged; its years are observed
-        # while it is written (a bounded set, no extra pass)
-        new = self.stage(new.observe(obs, F.collect_set(YEAR).alias("years"),
-                                     F.count(F.lit(1)).alias("rows")), "batch")
-        metrics = obs.get
-        years = sorted(metrics.get("years") or [])
+        held = F.collect_set(YEAR).alias("years")
+        if stage:
+            # the batch is computed once and staged; its years are observed
+            # while it is written (a bounded set, no extra pass)
+            new = self.stage(new.observe(obs, held), "batch")
+            years = sorted(obs.get.get("years") or [])
+        else:
+            years = sorted(new.agg(held).first()["years"])
         self._count_null_years(layer, dataset, nulls)
         if not years:
             return []
