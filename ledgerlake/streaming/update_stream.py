@@ -11,12 +11,14 @@ are idempotent.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.lakehouse import process_table, rebuild_summary
-from ..session import read_or_none, scratch_path
+from ..session import checkpoint_root, read_or_none, scratch_path
 from ..sources.lake import Lake
 from ..specs import spec as get_spec
 
@@ -76,6 +78,13 @@ def update_stream(spark: SparkSession, landing_dir: str, schema: T.StructType |
     ledger = Ledger(spark, f"{home}/ledger")
     product = get_spec(table_name).dws_dataset
 
+    def spread(batch: DataFrame) -> DataFrame:
+        # a micro-batch may be one file, which one task reads: its rows go to
+        # all cores before they are profiled and staged (by hash of the row,
+        # so that the reading task need not sort them)
+        columns = [f.name for f in batch.schema.fields if isinstance(f.dataType, T.AtomicType)]
+        return batch.repartition(max(spark.sparkContext.defaultParallelism, batch.rdd.getNumPartitions()), *columns)
+
     def run(batch: DataFrame, batch_id: int) -> None:
         steps = ledger.of(batch_id)
         if steps.years("summary") is not None:
@@ -83,7 +92,7 @@ def update_stream(spark: SparkSession, landing_dir: str, schema: T.StructType |
         lake = Lake(spark, lake_root)
         years = steps.years("detail")
         if years is None:
-            years = process_table(lake, table_name, batch, fallback_date, order_first, ledger=steps, order_batches=True)
+            years = process_table(lake, table_name, spread(batch), fallback_date, order_first, ledger=steps, order_batches=True)
         if product is not None:
             rebuild_summary(lake, years, products=(product,))
         steps.finish("summary", years)
@@ -97,7 +106,19 @@ def update_stream(spark: SparkSession, landing_dir: str, schema: T.StructType |
 
 def drain(spark: SparkSession, landing: dict[str, tuple[str, T.StructType | str]], lake_root: str, checkpoints: str, **options) -> None:
     """Bring a lake up to date with several landing folders (table -> (folder,
-    schema)): each one's waiting files, table by table.  ``checkpoints`` is the
-    folder of the streams' checkpoints, the same for every call."""
-    for table_name, (folder, schema) in landing.items():
-        update_stream(spark, folder, schema, lake_root, table_name, checkpoint=f"{checkpoints.rstrip('/')}/{table_name}", **options).awaitTermination()
+    schema)): each one's waiting files, table by table; tables of different
+    summary products, which share no dataset, side by side.  ``checkpoints`` is
+    the folder of the streams' checkpoints, the same for every call."""
+    lanes: dict[str | None, list[str]] = {}
+    for table_name in landing:
+        lanes.setdefault(get_spec(table_name).dws_dataset, []).append(table_name)
+
+    def take(tables: list[str]) -> None:
+        for table_name in tables:
+            folder, schema = landing[table_name]
+            update_stream(spark, folder, schema, lake_root, table_name, checkpoint=f"{checkpoints.rstrip('/')}/{table_name}", **options).awaitTermination()
+
+    checkpoint_root(spark)             # resolve the shared folder before the threads start
+    with ThreadPoolExecutor(max_workers=max(1, len(lanes))) as pool:
+        for lane in [pool.submit(take, tables) for tables in lanes.values()]:
+            lane.result()
