@@ -297,7 +297,7 @@ def group_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str)
 
     Each block is compared with itself, which settles every group of one
     block.  In wider groups, one representative for each part found so far
-    goes on, as long as that leaves a quarter fewer; then blocks of different
+    goes on, as long as that leaves a third fewer; then blocks of different
     parts meet.
     So a family of near copies, however large, is compared once with itself in
     blocks and then only with what is not joined to it."""
@@ -310,7 +310,7 @@ def group_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str)
         parts = wide.join(components(own), F.col("doc_id") == F.col("node"), "left").select("doc_id", "grp", "n", F.coalesce("component", "doc_id").alias("part"))
         heads = written(parts.where("doc_id = part"), "heads")
         after = heads.count()
-        if 4 * after > 3 * before:
+        if 3 * after > 2 * before:
             return links.union(compared(docs, across(parts), id_col, text_col))
         links = links.union(compared(docs, alone(heads), id_col, text_col))
         before = after
